@@ -39,6 +39,25 @@ def representative_row(df: DataFrame, keys: list[str], order: list[Column]) -> D
     )
 
 
+def first_per_key(df: DataFrame, key: str, row_id: str) -> DataFrame:
+    """Keep the row with the lowest id of each key."""
+    ranked = F.row_number().over(W.partitionBy(key).orderBy(row_id))
+    return df.withColumn(_RANK, ranked).filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def unseen(df: DataFrame, key: str, row_id: str, stored: DataFrame | None) -> DataFrame:
+    """First row of each key that the stored side does not hold.
+
+    The stored keys are cut down to the batch's before anything is compared: a small batch
+    is broadcast to their scan, and the large side is not shuffled.
+    """
+    once = first_per_key(df, key, row_id)
+    if stored is None:
+        return once
+    known = stored.select(key).join(df.select(key).distinct(), key, "left_semi")
+    return once.join(known, key, "left_anti")
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys held by more than one row, as a data-quality report."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")

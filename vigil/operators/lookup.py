@@ -62,19 +62,25 @@ def fits_broadcast(df: DataFrame) -> bool:
     session = df.sparkSession
     limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size.compare(session._jvm.scala.math.BigInt(str(limit))) <= 0
+    return int(str(size)) <= limit
 
 
 def cascade(
-    df: DataFrame, dim: DataFrame, key: str, steps: list[dict[str, str]], name: str
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    steps: list[dict[str, str]],
+    name: str,
+    direct: bool | None = None,
 ) -> DataFrame:
     """Resolve `name` by the first step that finds a key.
 
     Each step maps dimension columns to columns of `df`; its values match case-folded.
     A small dimension is joined step by step, broadcast, without moving `df`. For a large
     one the steps run over the distinct value combinations only, and `df` is joined once.
+    `direct` overrides the choice.
     """
-    if fits_broadcast(dim):
+    if fits_broadcast(dim) if direct is None else direct:
         return _first_found(df, dim, key, steps, name)
     sources = sorted({c for step in steps for c in step.values()})
     combos = df.select(*(folded(F.col(c)).alias(f"__c_{c}") for c in sources)).distinct()

@@ -6,8 +6,9 @@ schema made from it needs no merging of Parquet footers, however many files ther
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from vigil.operators.dedup import unseen
 from vigil.sources.files import exists
 from vigil.sources.flatten import Leaf
 from vigil.sources.naming import distinct_names
@@ -78,22 +79,9 @@ class LandingTable:
         return self.read().agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
     def unseen(self, records: DataFrame) -> DataFrame:
-        """First record of each new hash. Needs `_raw_hash` and `id`.
-
-        The stored hashes are filtered down to the batch's before anything is compared, so
-        a small batch is broadcast to the scan and the large side is not shuffled.
-        """
-        first = W.partitionBy("_raw_hash").orderBy("id")
-        once = (
-            records.withColumn("__rank", F.row_number().over(first))
-            .filter("__rank = 1")
-            .drop("__rank")
-        )
-        if not exists(self.spark, self.data):
-            return once
-        stored = self.read().select("_raw_hash")
-        known = stored.join(records.select("_raw_hash").distinct(), "_raw_hash", "left_semi")
-        return once.join(known, "_raw_hash", "left_anti")
+        """First record of each hash the table does not hold. Needs `_raw_hash` and `id`."""
+        stored = self.read() if exists(self.spark, self.data) else None
+        return unseen(records, "_raw_hash", "id", stored)
 
     def append(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.data)
