@@ -48,7 +48,7 @@ _STAMP_TEXT = """CASE event_id % 8 WHEN 0 THEN CAST(ts AS VARCHAR) WHEN 1 THEN r
     WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%d') WHEN 4 THEN strftime(ts, '%d/%m/%Y')
     WHEN 5 THEN concat(CAST(ts AS VARCHAR), '+00') WHEN 6 THEN strftime(ts, '%Y-%m-%d 24:61:00') ELSE '' END"""
 _NUMBER_TEXT = """CASE c_custkey % 6 WHEN 3 THEN '1e2' WHEN 4 THEN concat('+', c_custkey) WHEN 5 THEN concat(c_custkey, '.')
-    ELSE concat(' ', printf('%.2f', c_acctbal / 50)) END"""
+    ELSE concat(' ', CAST(floor(c_acctbal) AS BIGINT) % 250, '.75') END"""
 
 _LAB_WORDS = """CASE WHEN r IN ('positive', 'detected', 'reactive', 'present') THEN 'POSITIVE'
     WHEN r IN ('negative', 'not detected', 'non-reactive', 'non reactive', 'absent') THEN 'NEGATIVE'
@@ -178,7 +178,7 @@ OPERATORS: dict[str, str] = {
     "lookup_cascade_large": _CASCADE,
     "unknown_member_default": """SELECT s_suppkey, CASE WHEN s_nationkey % 3 > 0 THEN md5(n_name) ELSE md5('UNKNOWN') END AS nation_key
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
-    "not_yet_loaded": """SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
+    "not_yet_loaded": """SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""",
     "case_folded_distinct": f"""SELECT lower({cl('t')}) AS segment_normalized, min({cl('t')}) AS segment
         FROM (SELECT CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) WHEN 1 THEN concat(' ', c_mktsegment) ELSE ' ' END AS t
               FROM customer) WHERE {cl('t')} IS NOT NULL GROUP BY 1""",

@@ -126,7 +126,7 @@ LAB = f"""
         concat('load', {_l} % 9) AS dlt_load_id,
         concat('d', {_l}) AS dlt_id,
         CASE WHEN {_l} % 2 = 0 THEN '' ELSE concat('C', l_orderkey) END AS case_identifier,
-        CASE WHEN {_l} % 5 = 0 THEN '' ELSE concat('R', {_l}) END AS id_field,
+        CASE {_l} % 5 WHEN 0 THEN '' WHEN 2 THEN concat('R', {_l} - 1) ELSE concat('R', {_l}) END AS id_field,
         CASE {_l} % 8 WHEN 0 THEN '' WHEN 1 THEN concat('lab', sk % 40) ELSE concat('LAB', sk % 40) END AS testing_lab_code,
         CASE {_l} % 9 WHEN 0 THEN '' WHEN 1 THEN concat('LAB NO ', sk % 40) ELSE concat('Lab no ', sk % 40) END AS testing_lab_name
     FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, min(l_suppkey) AS sk, min(l_shipdate) AS sd

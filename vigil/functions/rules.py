@@ -47,22 +47,30 @@ SCREENING_WORDS = {"SUSPECTED": ["suspected"], "PROBABLE": ["probable"]}
 
 
 def by_words(c: Column, words: dict[str, list[str]], blank: str | None, other: Column) -> Column:
-    """Canonical value for a word; `blank` when there is no text, `other` for the rest."""
-    text = blank_to_null(c)
-    out = F.when(text.isNull(), F.lit(blank))
-    for value, synonyms in words.items():
-        out = out.when(F.lower(text).isin(synonyms), value)
-    return out.otherwise(other)
+    """Canonical value for a word; `blank` when there is no text, `other` for the rest.
+
+    One map lookup, so that the generated code does not repeat the cleaned text per word.
+    """
+    pairs = [(w, value) for value, synonyms in words.items() for w in synonyms]
+    if blank is not None:
+        pairs.append(("", blank))
+    canonical = F.create_map(*(F.lit(x) for pair in pairs for x in pair))
+    word = F.lower(F.coalesce(F.trim(c), F.lit("")))
+    return F.coalesce(F.try_element_at(canonical, word), other)
+
+
+def as_sent(c: Column) -> Column:
+    return F.upper(blank_to_null(c))
 
 
 def initial_classification(c: Column) -> Column:
-    return by_words(c, CLASSIFICATION_WORDS, "UNKNOWN", F.upper(F.trim(c)))
+    return by_words(c, CLASSIFICATION_WORDS, "UNKNOWN", as_sent(c))
 
 
 def final_classification(c: Column) -> Column:
     discarded = CLASSIFICATION_WORDS["DISCARDED"] + FINAL_ONLY_DISCARDED
     words = {**CLASSIFICATION_WORDS, "DISCARDED": discarded}
-    return by_words(c, words, "UNKNOWN", F.upper(F.trim(c)))
+    return by_words(c, words, "UNKNOWN", as_sent(c))
 
 
 def reporting_classification(final: Column, initial: Column) -> Column:
@@ -78,7 +86,7 @@ def investigation_status(final: Column) -> Column:
 
 
 def screening_outcome(c: Column) -> Column:
-    return by_words(c, SCREENING_WORDS, "NORMAL", F.upper(F.trim(c)))
+    return by_words(c, SCREENING_WORDS, "NORMAL", as_sent(c))
 
 
 def screening_category(
@@ -104,11 +112,10 @@ def case_result_category(c: Column) -> Column:
 def source_outcome(c: Column, lab_result: Column) -> Column:
     """Outcome as sent, canonical. A death is not taken from it: with a negative
     laboratory result the person counts as alive, otherwise the value is dropped."""
-    death = F.lower(F.trim(c)).isin(DEATH_WORDS)
-    return (
-        F.when(death & (lab_result == "NEGATIVE"), "ALIVE")
-        .when(death, F.lit(None))
-        .otherwise(by_words(c, OUTCOME_WORDS, None, F.upper(F.trim(c))))
+    alive = {**OUTCOME_WORDS, "ALIVE": OUTCOME_WORDS["ALIVE"] + DEATH_WORDS}
+    not_death = F.when(~F.lower(F.trim(c)).isin(DEATH_WORDS), as_sent(c))
+    return F.when(lab_result == "NEGATIVE", by_words(c, alive, None, as_sent(c))).otherwise(
+        by_words(c, OUTCOME_WORDS, None, not_death)
     )
 
 

@@ -5,26 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # The accepted text forms.
-ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
-DMY_DATE = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
-ISO_SECONDS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?\z"
+# Year 0000 fits none of them.
+ISO_DATE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+DMY_DATE = r"^[0-9]{2}/[0-9]{2}/(?!0000)[0-9]{4}\z"
+ISO_MOMENT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?)?\z"
 ISO_INSTANT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?"
     r"([+-][0-9]{2}(:?[0-9]{2})?|Z)?\z"
 )
-STARTS_WITH_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-YEAR_ZERO = "^0000"
+STARTS_WITH_DATE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}"
 LOCAL_ZONE = "Africa/Nairobi"
 
 
 def safe_date(c: Column) -> Column:
     """YYYY-MM-DD or DD/MM/YYYY with a real calendar day of year 1-9999, else null."""
     text = F.trim(c)
-    parsed = (
-        F.when(text.rlike(ISO_DATE), F.try_to_date(text, "yyyy-MM-dd"))
-        .when(text.rlike(DMY_DATE), F.try_to_date(text, "dd/MM/yyyy"))
+    return F.when(text.rlike(ISO_DATE), F.try_to_date(text, "yyyy-MM-dd")).when(
+        text.rlike(DMY_DATE), F.try_to_date(text, "dd/MM/yyyy")
     )
-    return F.when(F.year(parsed) >= 1, parsed)
 
 
 def safe_timestamp(c: Column, day_first: bool = True) -> Column:
@@ -33,21 +31,17 @@ def safe_timestamp(c: Column, day_first: bool = True) -> Column:
     A text with a zone offset fits none of the forms and gives null.
     """
     text = F.trim(c)
-    parsed = F.when(
-        (text.rlike(ISO_DATE) | text.rlike(ISO_SECONDS)) & ~text.rlike(YEAR_ZERO),
-        text.try_cast("timestamp"),
-    )
+    parsed = F.when(text.rlike(ISO_MOMENT), text.try_cast("timestamp"))
     if day_first:
-        parsed = parsed.when(text.rlike(DMY_DATE), safe_date(c).cast("timestamp"))
+        day = F.try_to_date(text, "dd/MM/yyyy")
+        parsed = parsed.when(text.rlike(DMY_DATE), day.cast("timestamp"))
     return parsed
 
 
 def instant(c: Column) -> Column:
     """ISO text, usually with an offset, to the instant it names; other text is null."""
     text = F.trim(c)
-    return F.when(
-        text.rlike(STARTS_WITH_DATE) & ~text.rlike(YEAR_ZERO), text.try_cast("timestamp")
-    )
+    return F.when(text.rlike(STARTS_WITH_DATE), text.try_cast("timestamp"))
 
 
 def local_date(ts: Column, zone: str = LOCAL_ZONE) -> Column:
@@ -55,23 +49,27 @@ def local_date(ts: Column, zone: str = LOCAL_ZONE) -> Column:
 
 
 def full_years(later: Column, earlier: Column) -> Column:
-    """Whole years between two dates, truncated toward zero, negative if reversed."""
+    """Whole years between two dates, truncated toward zero, negative if reversed.
 
-    def elapsed(high: Column, low: Column) -> Column:
-        not_reached = F.date_format(high, "MMdd") < F.date_format(low, "MMdd")
-        return F.year(high) - F.year(low) - not_reached.cast("int")
+    As numbers of the form yyyymmdd two dates differ by 10000 a year, whatever the day.
+    """
 
-    return F.when(later >= earlier, elapsed(later, earlier)).otherwise(
-        -elapsed(earlier, later)
-    )
+    def number(day: Column) -> Column:
+        return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+
+    return ((number(later) - number(earlier)) / 10000).cast("int")
 
 
 def banded(number: Column, bands: list[tuple[int, str]], last: str) -> Column:
-    """First band whose inclusive upper bound holds the number, else `last`."""
-    out = F.when(number <= bands[0][0], bands[0][1])
-    for upper, label in bands[1:]:
-        out = out.when(number <= upper, label)
-    return out.otherwise(last)
+    """First band whose inclusive upper bound holds the number (0 or more), else `last`.
+
+    The label is read from a constant array by position: one use of the number.
+    """
+    labels, low = [], 0
+    for upper, label in bands:
+        labels += [label] * (upper - low + 1)
+        low = upper + 1
+    return F.coalesce(F.get(F.array(*map(F.lit, labels)), number), F.lit(last))
 
 
 # The two sets of age groups, as (highest age, label).

@@ -41,29 +41,23 @@ def _is_container(v: Column) -> Column:
 
 
 def leaf_rows(records: DataFrame, record: str, order: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per leaf: `order`, `steps` (text) and `value`."""
-    top = F.explode(F.map_entries(F.col(record).cast(_MAP))).alias("e")
-    rows = records.select(F.col(order), top).select(
-        order, F.concat(F.lit("k"), "e.key").alias("steps"), F.col("e.value").alias("value")
-    )
-    for _ in range(max_depth):
-        steps, v = F.col("steps"), F.col("value")
-        fields, items = v.try_cast(_MAP), v.try_cast(_ARRAY)
-
-        def step(kind: str, name: Column, value: Column, steps: Column = steps) -> Column:
-            joined = F.concat(steps, F.lit(_STEP + kind), name.cast("string"))
-            return F.struct(joined.alias("steps"), value.alias("value"))
-
-        children = (
-            F.when(
-                F.size(fields) > 0,
-                F.transform(F.map_entries(fields), lambda e: step("k", e["key"], e["value"])),
-            )
-            .when(F.size(items) > 0, F.transform(items, lambda x, i: step("i", i, x)))
-            .otherwise(F.array(F.struct(steps.alias("steps"), v.alias("value"))))
+    """One row per leaf: `order`, `steps` (text) and `value`.
+
+    Each round opens one level; what is not a filled container passes through unchanged.
+    """
+    tvf = records.sparkSession.tvf
+    rows = records.select(order, F.lit("").alias("steps"), F.col(record).alias("value"))
+    for _ in range(max_depth + 1):
+        opened = tvf.variant_explode_outer(F.col("value").outer()).toDF("pos", "key", "child")
+        name = F.coalesce(F.concat(F.lit("k"), "key"), F.concat(F.lit("i"), F.col("pos").cast("string")))
+        rows = rows.lateralJoin(opened).select(
+            order,
+            F.when(F.col("pos").isNull(), F.col("steps"))
+            .otherwise(F.concat("steps", F.lit(_STEP), name))
+            .alias("steps"),
+            F.coalesce("child", "value").alias("value"),
         )
-        rows = rows.select(order, F.explode(children).alias("c")).select(order, "c.*")
-    return rows
+    return rows.select(order, F.substring("steps", 2, 2**31 - 1).alias("steps"), "value")
 
 
 def leaf_types(records: DataFrame, record: str, order: str, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -83,22 +77,23 @@ def leaf_types(records: DataFrame, record: str, order: str, max_depth: int = MAX
 def discover(records: DataFrame, record: str, order: str, max_depth: int = MAX_DEPTH) -> list[Leaf]:
     """The leaves on the driver, first seen first. Their number is that of the columns."""
     rows = leaf_types(records, record, order, max_depth).orderBy("first_seen", "steps").collect()
+    if any(not r.steps for r in rows):
+        raise ValueError("a record is not a JSON object")
     return [Leaf(tuple(r.steps.split(_STEP)), bool(r.is_boolean), r.has_container) for r in rows]
 
 
-def _at(record: Column, steps: tuple[str, ...]) -> Column:
-    """The VARIANT at a path, null where the path is missing."""
-    keys = [s[1:] for s in steps if s[0] == "k"]
-    if all(k and not ("'" in k and '"' in k) for k in keys):
-        return F.try_variant_get(record, "$" + "".join(map(_path_step, steps)), "variant")
-    out = record
+def _get(record: Column, steps: tuple[str, ...], kind: str) -> Column:
+    """The value at a path as `kind`, null where the path is missing."""
+    if all(s[1:] and not ("'" in s and '"' in s) for s in steps):
+        return F.try_variant_get(record, "$" + "".join(map(_path_step, steps)), kind)
+    out = record  # keys a path cannot spell
     for s in steps:
         out = (
             F.try_element_at(out.try_cast(_MAP), F.lit(s[1:]))
             if s[0] == "k"
             else F.get(out.try_cast(_ARRAY), int(s[1:]))
         )
-    return out
+    return F.try_variant_get(out, "$", kind)
 
 
 def _path_step(step: str) -> str:
@@ -110,10 +105,9 @@ def _path_step(step: str) -> str:
 
 def leaf_text(record: Column, leaf: Leaf, guarded: bool, max_depth: int = MAX_DEPTH) -> Column:
     """Text of a leaf. A container below the depth cap is no leaf and gives null."""
-    value = _at(record, leaf.steps)
-    text = F.try_variant_get(value, "$", "string")
+    text = _get(record, leaf.steps, "string")
     if guarded and len(leaf.steps) <= max_depth:
-        return F.when(~_is_container(value), text)
+        return F.when(~_is_container(_get(record, leaf.steps, "variant")), text)
     return text
 
 
