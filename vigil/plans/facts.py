@@ -1,4 +1,7 @@
-"""Event-grain facts with dimension keys and additive measures."""
+"""Event-grain facts with dimension keys and additive measures.
+
+The entities they read are clean already: text is trimmed and never blank.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.functions import rules
 from vigil.functions.keys import record_id, surrogate_key, unknown_key
-from vigil.functions.text import blank_to_null, folded, yes_flag
+from vigil.functions.text import folded, yes_flag
 from vigil.functions.temporal import local_date
 from vigil.operators.conform import conformed_union
 from vigil.operators.lookup import attributes, cascade, date_keys
@@ -14,10 +17,6 @@ from vigil.operators.lookup import attributes, cascade, date_keys
 AUDIT = {"ingested_at": "_ingested_at", "batch_id": "_batch_id", "source_file": "_source_file"}
 
 
-def _t(name: str) -> Column:
-    return blank_to_null(F.col(name))
-
-
 def _is_type(value: str) -> Column:
     return folded(F.col("type")) == value
 
@@ -32,25 +31,25 @@ def _identity(system: str, *candidates: str) -> dict[str, Column]:
 
 def _person(prefix: str) -> dict[str, Column]:
     return {
-        f"source_{prefix}_name": _t("name"),
-        f"source_{prefix}_identifier": _t("identifier"),
-        f"source_{prefix}_sex": _t("sex"),
+        f"source_{prefix}_name": F.col("name"),
+        f"source_{prefix}_identifier": F.col("identifier"),
+        f"source_{prefix}_sex": F.col("sex"),
         f"source_{prefix}_date_of_birth": F.col("date_of_birth"),
-        f"source_{prefix}_nationality": _t("nationality"),
+        f"source_{prefix}_nationality": F.col("nationality"),
     }
 
 
 def _classification() -> dict[str, Column]:
     return {
-        "source_initial_classification": _t("initial_classification"),
+        "source_initial_classification": F.col("initial_classification"),
         "initial_classification": rules.initial_classification(F.col("initial_classification")),
-        "source_final_classification": _t("final_classification"),
+        "source_final_classification": F.col("final_classification"),
         "final_classification": rules.final_classification(F.col("final_classification")),
     }
 
 
 def _place() -> dict[str, Column]:
-    return {c: _t(c) for c in ("reporting_county", "reporting_subcounty", "health_facility")}
+    return {c: F.col(c) for c in ("reporting_county", "reporting_subcounty", "health_facility")}
 
 
 def _audit() -> dict[str, Column]:
@@ -80,14 +79,14 @@ def _surveillance_events(cases: DataFrame, kind: str, person: str, event: str, c
                 F.col("date_of_investigation"), F.to_date("created_timestamp")
             ),
             f"{event}_datetime": F.col("created_timestamp"),
-            "disease": _t("vhf_disease"),
+            "disease": F.col("vhf_disease"),
             **_place(),
             **_classification(),
-            "source_samples_collected": _t("samples_collected"),
+            "source_samples_collected": F.col("samples_collected"),
             "sample_collected_flag": yes_flag(F.col("samples_collected")),
-            "specimen_identifier": _t("specimen_id"),
-            "source_final_laboratory_result": _t("final_laboratory_results"),
-            "checked_by": _t("checked_by"),
+            "specimen_identifier": F.col("specimen_id"),
+            "source_final_laboratory_result": F.col("final_laboratory_results"),
+            "checked_by": F.col("checked_by"),
             count: F.lit(1),
             "latitude": F.col("latitude"),
             "longitude": F.col("longitude"),
@@ -156,25 +155,25 @@ def treatment_outcomes(
 ) -> DataFrame:
     """Cases with an outcome text or a death date; deaths count only once validated."""
     reported = cases.filter(
-        _is_type("case") & (_t("outcome").isNotNull() | F.col("date_of_death").isNotNull())
+        _is_type("case") & (F.col("outcome").isNotNull() | F.col("date_of_death").isNotNull())
     )
     prepared = _select(
         reported,
         {
             **_identity("ADAM", "id_field", "identifier"),
             **_person("person"),
-            "disease": _t("vhf_disease"),
-            "outcome_text": _t("outcome"),
+            "disease": F.col("vhf_disease"),
+            "outcome_text": F.col("outcome"),
             "date_of_death": F.col("date_of_death"),
             "outcome_recorded_datetime": F.col("created_timestamp"),
             **_classification(),
-            "source_final_laboratory_result": _t("final_laboratory_results"),
+            "source_final_laboratory_result": F.col("final_laboratory_results"),
             "final_laboratory_result": rules.case_result_category(
                 F.col("final_laboratory_results")
             ),
-            "specimen_identifier": _t("specimen_id"),
+            "specimen_identifier": F.col("specimen_id"),
             **_place(),
-            "checked_by": _t("checked_by"),
+            "checked_by": F.col("checked_by"),
             "treatment_outcome_count": F.lit(1),
             "latitude": F.col("latitude"),
             "longitude": F.col("longitude"),
@@ -229,12 +228,12 @@ def screenings(
                     "source_record_id": record_id(
                         F.col("id"), F.col("id_field"), F.col("identifier")
                     ),
-                    "source_person_name": _t("name"),
-                    "source_person_identifier": _t("identifier"),
+                    "source_person_name": F.col("name"),
+                    "source_person_identifier": F.col("identifier"),
                     "screening_date": local_date(F.col("created_timestamp")),
                     "screening_datetime": F.col("created_timestamp"),
-                    "point_of_entry": _t("point_of_entry"),
-                    "source_classification": _t("classification"),
+                    "point_of_entry": F.col("point_of_entry"),
+                    "source_classification": F.col("classification"),
                     "screening_outcome": rules.screening_outcome(F.col("classification")),
                     "screening_count": F.lit(1),
                     "normal_flag": word.isNull().cast("int"),
@@ -280,7 +279,7 @@ LAB_FACT_COLUMNS = [
 
 
 def lab_events(lab: DataFrame) -> DataFrame:
-    result = F.coalesce(_t("conclusion"), _t("value_code"))
+    result = F.coalesce(F.col("conclusion"), F.col("value_code"))
     return _select(
         lab,
         {
@@ -288,7 +287,7 @@ def lab_events(lab: DataFrame) -> DataFrame:
                 "LIMS", "id_field", "identifier", "specimen_identifier", "order_identifier"
             ),
             **{
-                c: _t(c)
+                c: F.col(c)
                 for c in (
                     "subject_identifier", "identifier", "case_identifier",
                     "order_identifier", "specimen_identifier", "specimen_type",
@@ -296,16 +295,16 @@ def lab_events(lab: DataFrame) -> DataFrame:
             },
             "collection_date": F.col("collect_date"),
             "result_datetime": F.col("effective_date_time"),
-            "requesting_facility_mfl": _t("performer_mfl"),
-            "testing_laboratory_code": _t("testing_lab_code"),
-            "testing_laboratory_name": _t("testing_lab_name"),
-            "test_code": _t("code"),
-            "test_name": _t("test_name"),
-            "test_code_text": _t("code_text"),
-            "component_code": _t("component_code"),
-            "result_unit": _t("unit"),
-            "source_result": _t("conclusion"),
-            "source_value_code": _t("value_code"),
+            "requesting_facility_mfl": F.col("performer_mfl"),
+            "testing_laboratory_code": F.col("testing_lab_code"),
+            "testing_laboratory_name": F.col("testing_lab_name"),
+            "test_code": F.col("code"),
+            "test_name": F.col("test_name"),
+            "test_code_text": F.col("code_text"),
+            "component_code": F.col("component_code"),
+            "result_unit": F.col("unit"),
+            "source_result": F.col("conclusion"),
+            "source_value_code": F.col("value_code"),
             "result_value": result,
             "result_category": rules.lab_result_category(result),
             "reference_range_low": F.col("reference_range_low"),
