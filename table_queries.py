@@ -374,13 +374,11 @@ def role_playing_dates(spark, sf):
 
 def epi_week_range_join(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    days = _spine(spark, sf)
-    weeks = cal.epi_weeks(days, settings(spark, sf).as_of)
-    found = lookup.attributes(
-        o, cal.dates_with_weeks(days, weeks), F.col("d"),
+    weeks = cal.epi_weeks(_spine(spark, sf), settings(spark, sf).as_of)
+    found = lookup.enclosing_week(
+        o, weeks, F.col("d"),
         {"epi_week_label": "epi_week_label", "start_of_week": "start_of_week",
          "current_epi_week_flag": "current_epi_week_flag"},
-        "full_date",
     )
     return found.groupBy("epi_week_label", "start_of_week", "current_epi_week_flag").agg(
         F.count("*").alias("n_orders"), F.sum("o_orderkey").alias("key_sum")

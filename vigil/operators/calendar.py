@@ -89,17 +89,3 @@ def epi_weeks(dim_date: DataFrame, as_of: date) -> DataFrame:
         F.lit(False).alias("current_epi_year_flag"),
     )
     return members.unionByName(unset).withColumn("load_date", today)
-
-
-def dates_with_weeks(dim_date: DataFrame, dim_epiweek: DataFrame) -> DataFrame:
-    """Each calendar day with its enclosing week.
-
-    Weeks tile the calendar, so "day between week start and week end" is the same as
-    equality on the computed week start, which Spark can hash-join.
-    """
-    weeks = dim_epiweek.withColumnRenamed("start_of_week", "__start")
-    return (
-        dim_date.join(weeks, tm.epi_week_start(F.col("full_date")) == F.col("__start"), "left")
-        .withColumnRenamed("__start", "start_of_week")
-        .drop("load_date")
-    )

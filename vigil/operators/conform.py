@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from vigil.functions.text import folded
+from vigil.functions.text import blank_to_null
 
 
 def conformed_union(branches: list[DataFrame]) -> DataFrame:
@@ -21,12 +21,14 @@ def conformed_union(branches: list[DataFrame]) -> DataFrame:
 
 
 def canonical_spelling(df: DataFrame, column: str) -> DataFrame:
-    """One spelling (the smallest, in byte order) per case-folded value."""
-    value = F.nullif(F.trim(column), F.lit(""))
+    """One spelling (the smallest, in byte order) per case-folded value.
+
+    Equal spellings collapse in a hash aggregate first; only the distinct ones are compared.
+    """
+    spellings = df.select(blank_to_null(F.col(column)).alias(column)).distinct()
     return (
-        df.select(value.alias(column), folded(F.col(column)).alias(f"{column}_normalized"))
-        .filter(F.col(column).isNotNull())
-        .groupBy(f"{column}_normalized")
+        spellings.filter(F.col(column).isNotNull())
+        .groupBy(F.lower(column).alias(f"{column}_normalized"))
         .agg(F.min(column).alias(column))
     )
 
@@ -36,6 +38,3 @@ def zero_filled_union(branches: list[DataFrame], measures: list[str]) -> DataFra
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
     return union.fillna(0, measures)
 
-
-def empty(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

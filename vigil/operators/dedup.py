@@ -55,7 +55,7 @@ def unseen(df: DataFrame, key: str, row_id: str, stored: DataFrame | None) -> Da
     if stored is None:
         return once
     known = stored.select(key).join(df.select(key).distinct(), key, "left_semi")
-    return once.join(known, key, "left_anti")
+    return once.join(known, key, "left_anti").select(df.columns)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

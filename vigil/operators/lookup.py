@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vigil.functions.temporal import epi_week_start
 from vigil.functions.text import folded
 
 MISSING_DATE_KEY = -1
@@ -46,6 +47,17 @@ def attributes(
     )
 
 
+def enclosing_week(
+    df: DataFrame, dim_epiweek: DataFrame, day: Column, columns: dict[str, str]
+) -> DataFrame:
+    """Columns of the week a date falls in: {output name: week column}.
+
+    Weeks tile the calendar, so "day between week start and week end" is equality on the
+    computed week start, which Spark hash-joins; the range itself would be a nested loop.
+    """
+    return attributes(df, dim_epiweek, epi_week_start(day), columns, "start_of_week")
+
+
 def one_key_per(dim: DataFrame, columns: list[str], key: str) -> DataFrame:
     """Lookup table: the smallest key of each case-folded value (all columns present)."""
     values = {c: folded(F.col(c).cast("string")) for c in columns}
@@ -111,4 +123,4 @@ def _first_found(
 
 def not_in(df: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key the other side does not hold yet."""
-    return df.join(other.select(on), on, "left_anti")
+    return df.join(other.select(on), on, "left_anti").select(df.columns)

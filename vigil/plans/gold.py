@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vigil.functions import rules, temporal as tm
 from vigil.functions.measures import count_when, counts_by_value
 from vigil.functions.text import blank_to_null
-from vigil.operators.calendar import dates_with_weeks
-from vigil.operators.lookup import attributes
+from vigil.operators.lookup import attributes, enclosing_week
 
 # Report column suffix: calendar column.
 DATE_PARTS = {
@@ -40,16 +39,15 @@ def _prefixed(prefix: str, *groups: dict[str, str]) -> dict[str, str]:
     return {f"{prefix}_{name}": c for group in groups for name, c in group.items()}
 
 
-def _select(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*(c.alias(name) for name, c in columns.items()))
+def _dated(df: DataFrame, dim_date: DataFrame, key: str, prefix: str) -> DataFrame:
+    return attributes(df, dim_date, F.col(key), _prefixed(prefix, DATE_PARTS), "date_key")
 
 
 def case_investigation(fact: DataFrame, dim_date: DataFrame, dim_epiweek: DataFrame) -> DataFrame:
-    days = dates_with_weeks(dim_date, dim_epiweek)
-    df = attributes(
-        fact, days, F.col("investigation_date_key"),
-        _prefixed("reporting", DATE_PARTS, WEEK_PARTS, WEEK_DAY_PARTS, CURRENT_PARTS),
-        "date_key",
+    df = enclosing_week(
+        _dated(fact, dim_date, "investigation_date_key", "reporting"),
+        dim_epiweek, F.col("reporting_date"),
+        _prefixed("reporting", WEEK_PARTS, WEEK_DAY_PARTS, CURRENT_PARTS),
     )
     df = attributes(
         df, dim_date, F.col("date_of_birth_key"),
@@ -93,10 +91,10 @@ def _classification_counts(prefix: str, value: Column, n: Column) -> list[Column
 def screening(
     fact: DataFrame, dim_date: DataFrame, dim_epiweek: DataFrame, dim_point_of_entry: DataFrame
 ) -> DataFrame:
-    df = attributes(
-        fact, dates_with_weeks(dim_date, dim_epiweek), F.col("screening_date_key"),
-        _prefixed("reporting", DATE_PARTS, WEEK_PARTS, WEEK_DAY_PARTS, CURRENT_PARTS),
-        "date_key",
+    df = enclosing_week(
+        _dated(fact, dim_date, "screening_date_key", "reporting"),
+        dim_epiweek, F.col("reporting_date"),
+        _prefixed("reporting", WEEK_PARTS, WEEK_DAY_PARTS, CURRENT_PARTS),
     )
     df = attributes(
         df, dim_point_of_entry, F.col("point_of_entry_key"),
@@ -133,18 +131,15 @@ def lab_result(
     dim_facility: DataFrame,
     dim_laboratory: DataFrame,
 ) -> DataFrame:
-    days = dates_with_weeks(dim_date, dim_epiweek)
-    df = attributes(
-        fact, days, F.col("collection_date_key"),
-        _prefixed("reporting_collection", DATE_PARTS, WEEK_PARTS), "date_key",
+    df = enclosing_week(
+        _dated(fact, dim_date, "collection_date_key", "reporting_collection"),
+        dim_epiweek, F.col("reporting_collection_date"),
+        _prefixed("reporting_collection", WEEK_PARTS),
     )
-    df = attributes(
-        df, days, F.col("result_date_key"),
-        {
-            **_prefixed("reporting_result", DATE_PARTS, WEEK_PARTS),
-            **_prefixed("reporting", CURRENT_PARTS),
-        },
-        "date_key",
+    df = enclosing_week(
+        _dated(df, dim_date, "result_date_key", "reporting_result"),
+        dim_epiweek, F.col("reporting_result_date"),
+        {**_prefixed("reporting_result", WEEK_PARTS), **_prefixed("reporting", CURRENT_PARTS)},
     )
     df = attributes(
         df, dim_facility, F.col("requesting_facility_key"),
