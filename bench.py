@@ -40,7 +40,7 @@ def timed(run) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     spark = get_session(
         "bench", f"local[{cpus}]",
         **{

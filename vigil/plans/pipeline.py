@@ -7,9 +7,12 @@ small, and it cuts the lineage at a table that survives a lost executor.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,6 +107,7 @@ class Warehouse:
         self.spark, self.root, self.landing = spark, root.rstrip("/"), landing
         self.settings = settings or Settings()
         self._stored: set[str] = set()
+        self._locks = defaultdict(Lock)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{_BY_NAME[name][0]}/{name}"
@@ -116,18 +120,26 @@ class Warehouse:
         """A landing table, or a model read back from the store (written on first use)."""
         if name not in _BY_NAME:
             return self.landing(name)
-        if name not in self._stored:
-            self.write(name)
+        self._ensure(name)
         return self.spark.read.parquet(self.path(name))
 
+    def _ensure(self, name: str) -> None:
+        with self._locks[name]:
+            if name not in self._stored:
+                self.write(name)
+
     def write(self, name: str) -> None:
         """Full refresh of one model."""
         self.plan(name).write.mode("overwrite").parquet(self.path(name))
         self._stored.add(name)
 
-    def build(self, names: list[str] | None = None) -> None:
-        """Full refresh of the wanted models, upstream first."""
+    def build(self, names: list[str] | None = None, workers: int = 4) -> None:
+        """Full refresh of the wanted models, upstream first.
+
+        Models that do not wait for each other are written at the same time, so that small
+        ones fill the gaps large ones leave on the cluster.
+        """
         self._stored.clear()
-        for _, name, _ in MODELS:
-            if (names is None or name in names) and name not in self._stored:
-                self.write(name)
+        wanted = [name for _, name, _ in MODELS if names is None or name in names]
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(self._ensure, wanted))

@@ -14,6 +14,13 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Settings that count only when the application starts. The models are wide: their plans
+# compile to many large classes, which must stay cached and be compiled to machine code.
+START_CONF = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -26,7 +33,7 @@ def get_session(app: str = "vigil", master: str | None = None, **conf: str) -> S
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED_CONF, **conf}.items():
+    for key, value in {**START_CONF, **REQUIRED_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
