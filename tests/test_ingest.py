@@ -177,6 +177,11 @@ def test_a_bad_line_is_an_error_not_a_loss(spark, tmp_path):
             records.count()
 
 
+def test_a_record_that_is_no_object_is_an_error(spark):
+    with pytest.raises(ValueError, match="not a JSON object"):
+        discover(variants(spark, {"a": 1}, 7), "record", "id")
+
+
 def test_listing_and_folder_discovery(spark, tmp_path):
     base = tmp_path / "krcs_evd_screening_raw"
     assert fs.data_folder(spark, str(base)) is None

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, functions as F
 
 # The words accepted as yes and no.
@@ -57,7 +55,3 @@ def yes_no(c: Column) -> Column:
 def yes_flag(c: Column) -> Column:
     """1 for a yes word, 0 for anything else including null."""
     return F.when(F.lower(F.trim(c)).isin(*YES_WORDS), 1).otherwise(0)
-
-
-def clean_columns(names: Iterable[str]) -> list[Column]:
-    return [blank_to_null(F.col(n)).alias(n) for n in names]

@@ -249,9 +249,12 @@ def screenings(
         ]
     )
     roles = {"screening_date_key": F.col("screening_date")}
+    # A place really called "unknown" has a member of its own beside the default one;
+    # looking it up among the named places keeps one row per screening.
+    named_places = dim_point_of_entry.filter(F.col("source_system") != "SYSTEM")
     placed = attributes(
         date_keys(events, dim_date, roles),
-        dim_point_of_entry,
+        named_places,
         folded(F.col("point_of_entry")),
         {"point_of_entry_key": "point_of_entry_key"},
         "point_of_entry_normalized",

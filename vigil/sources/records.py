@@ -93,10 +93,12 @@ def _parsed(texts: DataFrame) -> DataFrame:
 def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataFrame]:
     """Columns: record, file_path, modified, block_start, seq.
 
-    `seq` rises by one from record to record inside a (file_path, block_start). The parsed
-    text is kept while the block runs, so each file is parsed once.
+    `seq` rises by one from record to record inside a (file_path, block_start). Parsed text
+    and records are kept while the block runs: each file is parsed once, and `seq` comes
+    from one plan, so it is the same for every reader, also after a lost executor.
     """
     lines = _parsed(_texts(spark, files, whole=False)).persist()
+    kept = [lines]
     try:
         # One row per file of this batch comes back to the driver.
         forms = lines.groupBy("file_path").agg(F.count("*").alias("n"), F.count("json").alias("ok"))
@@ -109,9 +111,12 @@ def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataF
             if bad:
                 raise MalformedJson(f"no valid JSON in {sorted(r.file_path for r in bad)}")
             parsed = lines.filter(~F.col("file_path").isin(documents)).union(whole)
-        yield _exploded(parsed)
+        records = _exploded(parsed).persist()
+        kept.append(records)
+        yield records
     finally:
-        lines.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def _exploded(parsed: DataFrame) -> DataFrame:
