@@ -553,7 +553,8 @@ def _whole(text: str) -> str:
 
 # Columns handed over as text: dates and times print alike on both sides.
 TEXT_COLUMNS = (
-    ".*(_date|_datetime|_at|_of_week|_timestamp|_date_time|date_of_birth|date_of_death)"
+    ".*(_date|_datetime|_at|start_of_week|end_of_week|_timestamp|_date_time|date_of_birth|"
+    "date_of_death|date_of_investigation)"
 )
 DOUBLE_COLUMNS = "reference_range_low|reference_range_high|turnaround_time_hours"
 NO_DATES = ("dim_facilitylist", "dim_laboratory", "dim_labtest", "dim_location", "dim_point_of_entry")
