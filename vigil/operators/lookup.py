@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.functions.temporal import epi_week_start
 from vigil.functions.text import folded
+from vigil.session import stored_bytes
 
 MISSING_DATE_KEY = -1
 
@@ -73,8 +74,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's size statistics put the side under the broadcast threshold."""
     session = df.sparkSession
     limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return stored_bytes(df) <= limit
 
 
 def cascade(

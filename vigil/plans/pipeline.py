@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigil.operators.calendar import SPINE_END, SPINE_START
 from vigil.plans import dimensions as dim, facts, gold, silver, summaries
+from vigil.session import size_shuffles, stored_bytes
 
 Table = Callable[[str], DataFrame]
 
@@ -91,6 +92,7 @@ MODELS: list[tuple[str, str, Callable[[Table, SparkSession, Settings], DataFrame
          t("report_treatment_outcome"), t("report_screening"), t("report_lab_result"),
          t("dim_facilitylist"))),
 ]
+LANDING_TABLES = ("adam_cases_raw", "adam_travellers_raw", "lims_raw", "uhai_raw")
 _BY_NAME = {name: (layer, build) for layer, name, build in MODELS}
 
 
@@ -140,6 +142,8 @@ class Warehouse:
         ones fill the gaps large ones leave on the cluster.
         """
         self._stored.clear()
+        largest = max(stored_bytes(self.landing(name)) for name in LANDING_TABLES)
+        size_shuffles(self.spark, largest)
         wanted = [name for _, name, _ in MODELS if names is None or name in names]
         with ThreadPoolExecutor(workers) as pool:
             list(pool.map(self._ensure, wanted))

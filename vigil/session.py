@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+PARTITION_BYTES = 128 << 20
+UNPACKED = 3  # rows in a shuffle against compressed files
+MOST_PARTITIONS = 50_000  # beyond it partitions grow and spill; more blocks would cost more
 
 REQUIRED_CONF = {
     # Dates, days and weeks are computed in UTC; local days use an explicit zone.
@@ -38,6 +43,24 @@ def get_session(app: str = "vigil", master: str | None = None, **conf: str) -> S
     return configure(builder.getOrCreate())
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to what the input needs, never lower it.
+
+    Adaptive execution merges partitions that turn out small but makes no more of them, so
+    at scale the number to start from decides whether a partition fits in memory.
+    """
+    needed = min(math.ceil(input_bytes * UNPACKED / PARTITION_BYTES), MOST_PARTITIONS)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files a table is read from, as Spark's statistics have it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 

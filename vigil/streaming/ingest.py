@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vigil.session import size_shuffles
 from vigil.sources.files import SourceFile, data_folder, exists
 from vigil.sources.flatten import MAX_DEPTH, discover, flat_columns, record_hash
 from vigil.sources.landing import LandingTable
@@ -68,6 +69,7 @@ def load_files(
 ) -> Load:
     """Append the new records of the files and report what happened."""
     spark, now = table.spark, datetime.now(timezone.utc)
+    size_shuffles(spark, sum(f.length for f in files))
     with open_records(spark, files) as records:
         placed, total = numbered(spark, records, table.highest_id())
         hashed = placed.withColumn("_raw_hash", record_hash(F.col("record")))
