@@ -264,6 +264,11 @@ def test_batches_keep_file_order_in_ids(spark, tmp_path, roots):
     assert [r.id for r in rows] == list(range(1, 19))
 
 
+def test_claimed_ids_are_not_given_twice(spark, roots):
+    table = LandingTable(spark, roots["landing_root"], "lims_raw")
+    assert [table.reserve_ids(n) for n in (5, 0, 2, 1)] == [0, 5, 5, 7]
+
+
 def test_missing_or_unclear_folder_is_skipped(spark, roots):
     assert ingest(spark, source_for("krcs_evd_screening_raw"), **roots) is None
     assert ingest(spark, source_for("cbs_raw"), **roots) is None

@@ -22,7 +22,7 @@ def preview_schema(
     if not files:
         return spark.createDataFrame([], _SCHEMA)
     with open_records(spark, files) as records:
-        leaves = discover(numbered(spark, records, 0)[0], "record", "id")
+        leaves = discover(numbered(spark, records, lambda n: 0)[0], "record", "id")
     known = table.columns() if table else []
     names = distinct_names([x.path for x in leaves], {r.path: r.name for r in known})
     types = {r.name: r.type for r in known}

@@ -71,7 +71,7 @@ def load_files(
     spark, now = table.spark, datetime.now(timezone.utc)
     size_shuffles(spark, sum(f.length for f in files))
     with open_records(spark, files) as records:
-        placed, total = numbered(spark, records, table.highest_id())
+        placed, total = numbered(spark, records, table.reserve_ids)
         hashed = placed.withColumn("_raw_hash", record_hash(F.col("record")))
         fresh = table.unseen(hashed).persist()
         try:
