@@ -7,7 +7,6 @@ small, and it cuts the lineage at a table that survives a lost executor.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -109,7 +108,7 @@ class Warehouse:
         self.spark, self.root, self.landing = spark, root.rstrip("/"), landing
         self.settings = settings or Settings()
         self._stored: set[str] = set()
-        self._locks = defaultdict(Lock)
+        self._locks = {name: Lock() for name in _BY_NAME}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{_BY_NAME[name][0]}/{name}"
