@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, minhash
+from vigil.llm import decontaminate, minhash, quality, token_counts
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -21,11 +22,22 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(read(spark, sf, "documents"), path)
+
+
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality(read(spark, sf, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontamination, op9_minhash)
+    f.__name__: f for f in (
+        op3_decontamination, op5_token_counts, op6_quality_rules, op9_minhash,
+    )
 }
 ORACLES: dict[str, str] = {}
