@@ -7,13 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, minhash, quality, token_counts
+from vigil.llm import decontaminate, minhash, quality, token_counts, toxicity
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def toxicity_model(spark: SparkSession, sf: str) -> toxicity.Model:
+    """Fitted on the labelled documents that are not held out."""
+    labels = read(spark, sf, "labels").filter(toxicity.fold() != 0)
+    return toxicity.fit(read(spark, sf, "documents"), labels)
+
+
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.toxicity(read(spark, sf, "documents"), toxicity_model(spark, sf))
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.fold() == 0, F.lit(False)).alias("held_out"), "score", "predicted", "sentences"
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
     return found.select(
@@ -37,7 +50,7 @@ def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_decontamination, op5_token_counts, op6_quality_rules, op9_minhash,
+        op1_toxicity, op3_decontamination, op5_token_counts, op6_quality_rules, op9_minhash,
     )
 }
 ORACLES: dict[str, str] = {}
