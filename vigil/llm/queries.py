@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, minhash, quality, token_counts, toxicity
+from vigil.llm import decontaminate, minhash, quality, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -44,13 +44,50 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(read(spark, sf, "documents"))
 
 
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return url_rules.judge(read(spark, sf, "pages"), url_rules.rule_table(spark, URL_RULES))
+
+
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_toxicity, op3_decontamination, op5_token_counts, op6_quality_rules, op9_minhash,
+        op1_toxicity, op3_decontamination, op5_token_counts, op6_quality_rules,
+        op7_url_filters, op9_minhash,
     )
 }
-ORACLES: dict[str, str] = {}
+
+_URL_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+ORACLES: dict[str, str] = {
+    "op7_url_filters": rf"""
+with rules(rhost, rpath, rverdict) as (values {_URL_RULES_SQL}),
+rest as (
+    select row_number() over () as r, page_id,
+           case when contains(url, '://') then substr(url, position('://' in url) + 3) else '' end as t
+    from pages
+),
+parts as (
+    select r, page_id, translate(regexp_extract(t, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(t, '^[^/?#]*([^?#]*)', 1) as path
+    from rest
+),
+fit as (
+    select r, rhost || rpath as rule, rverdict from parts join rules
+      on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+    qualify row_number() over (partition by r order by length(rhost || rpath) desc, length(rhost) desc) = 1
+)
+select page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict
+from parts left join fit using (r)
+""",
+}
