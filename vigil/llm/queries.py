@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, minhash, quality, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, license_scan, minhash, quality, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -35,6 +35,15 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    found = license_scan.license_scan(read(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(read(spark, sf, "documents"), path)
@@ -62,7 +71,7 @@ def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_toxicity, op3_decontamination, op5_token_counts, op6_quality_rules,
+        op1_toxicity, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
         op7_url_filters, op9_minhash,
     )
 }
