@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, license_scan, minhash, quality, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, license_scan, minhash, pii, quality, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -69,10 +69,23 @@ def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.found_spans(read(spark, sf, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        F.size(F.array_remove(F.transform(kinds, lambda k: k == kind), False)).cast("bigint").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
-        op7_url_filters, op9_minhash,
+        op7_url_filters, op9_minhash, op10_pii,
     )
 }
 
