@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, license_scan, minhash, pii, quality, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, license_scan, minhash, nbest, pii, quality, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -65,6 +65,11 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return url_rules.judge(read(spark, sf, "pages"), url_rules.rule_table(spark, URL_RULES))
 
 
+def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return nbest.n_best_encoding(read(spark, sf, "documents"), path, with_ids=False).drop("ids")
+
+
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf, "documents"))
 
@@ -85,7 +90,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
-        op7_url_filters, op9_minhash, op10_pii,
+        op7_url_filters, op8_sentencepiece, op9_minhash, op10_pii,
     )
 }
 
