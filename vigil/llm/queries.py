@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, license_scan, minhash, nbest, pii, quality, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, license_scan, minhash, nbest, pii, quality, suffix_dedup, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.repeated(read(spark, sf, "documents"), with_text=False).drop("kept_text")
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
     return found.select(
@@ -89,7 +93,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_toxicity, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
+        op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
         op7_url_filters, op8_sentencepiece, op9_minhash, op10_pii,
     )
 }
