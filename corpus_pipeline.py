@@ -41,8 +41,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
-    return pii.mask(docs)
+    """All documents, with personal data replaced by its kind and n_chars as it then is."""
+    return pii.mask(docs).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
