@@ -7,9 +7,10 @@ and are read in one go.
 
 Documents with equal shingle sets form one class, and only a representative of each goes
 on. Candidates come from equal bands. Within a bucket no pairs are spelled out: all members
-are verified against one leader, links merge them into components, and a bucket goes on to
-another leader only while it still holds members of different components. So a bucket ends
-with every pair either verified or already in one component, without a cap.
+are verified against one leader, links merge them into components, and a bucket goes on
+only while it still holds members of different components: those outside its largest
+component lead next, some at a time. So a bucket ends with every pair either verified or
+already in one component, without a cap.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, ngram_hashes, text_bytes
 from vigil.llm.stores import Store, least_label
@@ -28,7 +29,7 @@ SHINGLE = 5
 PERCENT = 75  # of the union that two sets must share
 UNIVERSE = 1 << 20
 BANDS, ROWS = 32, 4  # at the threshold a pair shares no band once in 200,000 times
-SMALL_BUCKET = 32  # members up to which a bucket's open pairs are verified all at once
+LEADERS = 64  # members of a bucket that are verified against all others in one turn
 
 _tables: list[np.ndarray] = []
 
@@ -173,63 +174,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _components(store: Store, buckets: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of all representatives linked with another one."""
-    links = tested = components = None
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    first = buckets.groupBy("band").agg(F.min(F.struct("id", "n")).alias("lead"))
+    pairs = buckets.join(first, "band").filter(F.col("id") != F.col("lead.id")).select(
+        F.col("lead.id").alias("a"), F.col("lead.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")
+    )
     turn = 0
     while True:
         turn += 1
-        lead = buckets.groupBy("band").agg(
-            F.min(F.struct("id", "n")).alias("lead"), F.count("*").alias("c")
-        )
-        if turn == 1:
-            placed = buckets.withColumn("part", F.col("id"))
-        else:
-            # Only buckets that still hold members of different components go on.
-            placed = store.keep(
-                buckets.join(components, F.col("id") == F.col("node"), "left")
-                .select("band", "id", "n", F.coalesce("component", "id").alias("part")),
-                f"placed-{turn}",
-            )
-            open_ = placed.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y")
-            placed = store.keep(placed.join(open_, "band", "left_semi"), f"open-{turn}")
-            if placed.isEmpty():
-                return components
-            lead = placed.groupBy("band").agg(
-                F.min(F.struct("id", "n", "part")).alias("lead"), F.count("*").alias("c")
-            )
-        led = placed.join(lead, "band")
-        pairs = led.filter(F.col("id") != F.col("lead.id")).select(
-            F.col("lead.id").alias("a"), F.col("lead.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb"),
-            (F.col("part") != (F.col("lead.part") if turn > 1 else F.lit(None))).alias("apart"),
-        )
-        rest = led.filter(F.col("id") != F.col("lead.id"))
-        if turn > 1:
-            pairs = pairs.filter("apart")
-            # Few members: verify all their open pairs now, which ends the bucket.
-            few = rest.filter(F.col("c") <= SMALL_BUCKET)
-            other = few.select("band", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
-            pairs = pairs.drop("apart").union(
-                few.join(other, "band").filter("id < b and part <> pb").select(
-                    F.col("id").alias("a"), F.col("n").alias("na"), "b", "nb"
-                )
-            )
-            rest = rest.filter(F.col("c") > SMALL_BUCKET)
         # Sets of too different sizes cannot share enough.
-        pairs = pairs.filter(
-            100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-        ).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = pairs.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        ).distinct()
+        if turn > 1:
+            pairs = pairs.join(store.read([f"pairs-{t}" for t in range(1, turn)]), ["a", "b"], "left_anti")
         pairs = store.keep(pairs, f"pairs-{turn}")
-        right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         # The member's text first: a leader's text then meets its many members in a join
         # whose hot keys Spark splits, and is never shuffled once for each of them.
-        found = store.keep(
+        store.keep(
             pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
             .mapInArrow(_verified, "a bigint, b bigint"),
             f"links-{turn}",
         )
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
+        links = store.read([f"links-{t}" for t in range(1, turn + 1)])
         components = least_label(links, store, f"parts-{turn}")
-        buckets = store.keep(rest.select("band", "id", "n"), f"buckets-{turn}")
+        placed = store.keep(
+            buckets.join(components, F.col("id") == F.col("node"), "left")
+            .select("band", "id", "n", F.coalesce("component", "id").alias("part")),
+            f"placed-{turn}",
+        )
+        # The largest part of a bucket needs no look inside it. Members of other parts lead in
+        # turn and are verified against all members of other parts than their own.
+        size = placed.groupBy("band", "part").agg(F.count("*").alias("c"))
+        main = size.groupBy("band").agg(F.max(F.struct("c", "part")).alias("m"), F.count("*").alias("parts"))
+        placed = placed.join(main.filter("parts > 1").select("band", F.col("m.part").alias("main")), "band")
+        rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
+        leaders = store.keep(
+            placed.filter("part <> main").withColumn("r", rank).filter(F.col("r") <= LEADERS)
+            .select("band", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")),
+            f"leaders-{turn}",
+        )
+        if leaders.isEmpty():
+            return components
+        pairs = placed.join(leaders, "band").filter("part <> pa").select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
+        # Leaders are settled in this bucket afterwards.
+        gone = leaders.select("band", F.col("a").alias("id"))
+        buckets = store.keep(
+            placed.select("band", "id", "n").join(gone, ["band", "id"], "left_anti"), f"buckets-{turn}"
+        )

@@ -21,6 +21,10 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, names: list[str]) -> DataFrame:
+        """Tables of one schema that are kept under these names, as one."""
+        return self.spark.read.parquet(*[f"{self.root}/{name}" for name in names])
+
 
 def least_label(edges: DataFrame, store: Store, name: str) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), for nodes with an edge.

@@ -135,29 +135,31 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     are settled and not touched again.
     """
     n = len(text)
-    padded = np.zeros(n + 7, np.uint64)
+    bits = n.bit_length()
+    h = 5
+    padded = np.zeros(n + h, np.uint64)
     padded[:n] = text
     key = np.zeros(n, np.uint64)
-    h = 7
     for j in range(h):
-        # Nine bits for a byte: past the gap counts less than any byte.
-        key = (key << np.uint64(9)) | np.where(j < left, padded[j : j + n] + np.uint64(1), np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    in_order = key[order]
-    heads = np.r_[True, in_order[1:] != in_order[:-1]]
+        # Nothing follows a gap, so zero there is like nothing else.
+        key = (key << np.uint64(8)) | np.where(j < left, padded[j : j + n], np.uint64(0))
+    order, key = _sorted_by(key, np.arange(n), bits)
+    heads = np.r_[True, key[1:] != key[:-1]][:n]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
     most = int(left.max(initial=0))
+    open_ = np.arange(n)
     while h < most:
-        size = np.diff(np.r_[np.flatnonzero(heads), n])
-        open_ = np.flatnonzero((np.repeat(size, size) > 1) & (left[order] > h))
+        # Places in the order whose group has more than one member.
+        follows = np.r_[~heads[1:], False]
+        open_ = open_[(follows | ~heads)[open_]]
+        open_ = open_[left[order[open_]] > h]
         if not len(open_):
             break
         place = order[open_]
         # Members of a group agree on h bytes, so either all of them go on or none does.
-        key = rank[place] * (n + 1) + rank[place + h] + 1
-        again = np.argsort(key, kind="stable")
-        order[open_], key = place[again], key[again]
+        key = (rank[place].astype(np.uint64) << np.uint64(bits)) | rank[place + h].astype(np.uint64)
+        order[open_], key = _sorted_by(key, place, bits)
         new = np.r_[True, key[1:] != key[:-1]]
         heads[open_] = new
         # A group's rank is where it begins, which its first member says.
@@ -166,6 +168,16 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     return order
 
 
+def _sorted_by(key: np.ndarray, place: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys by key, then place. Keys have 2 * bits bits or 40, places have bits."""
+    if max(3 * bits, 40 + bits) > 64:
+        by = np.lexsort((place, key))
+        return place[by], key[by]
+    # Both fit one number, which is sorted faster than an index.
+    both = np.sort((key << np.uint64(bits)) | place.astype(np.uint64))
+    return (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+
+
 def common_prefixes(
     text: np.ndarray, left: np.ndarray, order: np.ndarray, first: np.ndarray, size: np.ndarray, most: int
 ) -> np.ndarray:
