@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, ngram_hashes, text_bytes
 from vigil.llm.stores import Store, least_label
@@ -29,7 +29,7 @@ SHINGLE = 5
 PERCENT = 75  # of the union that two sets must share
 UNIVERSE = 1 << 20
 BANDS, ROWS = 32, 4  # at the threshold a pair shares no band once in 200,000 times
-LEADERS = 64  # members of a bucket that are verified against all others in one turn
+BLOCK_SHINGLES = 100_000  # about how many shingles of members are verified against as many others at once
 
 _tables: list[np.ndarray] = []
 
@@ -172,54 +172,85 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links of a block between its leaders and members of other parts."""
+    sets = shingle_sets(text_bytes(table.column("text")))
+    ids, parts = table.column("id").to_numpy(), table.column("part").to_numpy()
+    lead = table.column("lead").to_numpy(zero_copy_only=False)
+    others = np.flatnonzero(~lead)
+    sizes = np.array([len(s) for s in sets])
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)]
+    every = np.concatenate([number[starts[i] : starts[i + 1]] for i in others]) if len(others) else number[:0]
+    first = np.r_[0, np.cumsum(sizes[others])][:-1]
+    held = np.zeros(number.max(initial=-1) + 1, np.int64)
+    links = []
+    for i in np.flatnonzero(lead).tolist():
+        if not len(others):
+            break
+        mine = number[starts[i] : starts[i + 1]]
+        held[mine] = 1
+        shared = np.add.reduceat(held[every], first)
+        held[mine] = 0
+        union = sizes[i] + sizes[others] - shared
+        hit = others[(100 * shared >= PERCENT * union) & (parts[others] != parts[i])]
+        links.extend((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in hit)
+    links = sorted(set(links))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
 def _components(store: Store, buckets: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of all representatives linked with another one."""
+    lead = buckets.groupBy("band").agg(F.min(F.struct("id", "n")).alias("lead"))
+    # Sets of too different sizes cannot share enough.
+    pairs = store.keep(
+        buckets.join(lead, "band").filter(F.col("id") != F.col("lead.id"))
+        .filter(100 * F.least("n", "lead.n") >= PERCENT * F.greatest("n", "lead.n"))
+        .select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct(),
+        "pairs",
+    )
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    first = buckets.groupBy("band").agg(F.min(F.struct("id", "n")).alias("lead"))
-    pairs = buckets.join(first, "band").filter(F.col("id") != F.col("lead.id")).select(
-        F.col("lead.id").alias("a"), F.col("lead.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")
+    # The member's text first: a leader's text then meets its many members in a join whose hot
+    # keys Spark splits, and is never shuffled once for each of them.
+    store.keep(
+        pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a bigint, b bigint"),
+        "links-1",
     )
-    turn = 0
+    turn = 1
     while True:
-        turn += 1
-        # Sets of too different sizes cannot share enough.
-        pairs = pairs.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        ).distinct()
-        if turn > 1:
-            pairs = pairs.join(store.read([f"pairs-{t}" for t in range(1, turn)]), ["a", "b"], "left_anti")
-        pairs = store.keep(pairs, f"pairs-{turn}")
-        # The member's text first: a leader's text then meets its many members in a join
-        # whose hot keys Spark splits, and is never shuffled once for each of them.
-        store.keep(
-            pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verified, "a bigint, b bigint"),
-            f"links-{turn}",
-        )
         links = store.read([f"links-{t}" for t in range(1, turn + 1)])
         components = least_label(links, store, f"parts-{turn}")
+        turn += 1
         placed = store.keep(
             buckets.join(components, F.col("id") == F.col("node"), "left")
             .select("band", "id", "n", F.coalesce("component", "id").alias("part")),
             f"placed-{turn}",
         )
-        # The largest part of a bucket needs no look inside it. Members of other parts lead in
-        # turn and are verified against all members of other parts than their own.
-        size = placed.groupBy("band", "part").agg(F.count("*").alias("c"))
-        main = size.groupBy("band").agg(F.max(F.struct("c", "part")).alias("m"), F.count("*").alias("parts"))
-        placed = placed.join(main.filter("parts > 1").select("band", F.col("m.part").alias("main")), "band")
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
-        leaders = store.keep(
-            placed.filter("part <> main").withColumn("r", rank).filter(F.col("r") <= LEADERS)
-            .select("band", F.col("id").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")),
-            f"leaders-{turn}",
+        # The largest part of a bucket needs no look inside it. Members of the other parts lead
+        # in turn: about BLOCK_SHINGLES of them are held against all others, in blocks of that
+        # size too. So no task holds more than two blocks, whatever the size of a bucket.
+        size = placed.groupBy("band", "part").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+        main = size.groupBy("band").agg(
+            F.max(F.struct("c", "part", "s")).alias("m"), F.sum("s").alias("all"), F.count("*").alias("parts")
+        )
+        groups = main.filter("parts > 1").select(
+            "band", F.col("m.part").alias("main"),
+            F.ceil(F.col("all") / BLOCK_SHINGLES).alias("blocks"), F.ceil((F.col("all") - F.col("m.s")) / BLOCK_SHINGLES).alias("turns"),
         )
-        if leaders.isEmpty():
+        open_ = store.keep(placed.join(groups, "band"), f"open-{turn}")
+        if open_.isEmpty():
             return components
-        pairs = placed.join(leaders, "band").filter("part <> pa").select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb"))
-        # Leaders are settled in this bucket afterwards.
-        gone = leaders.select("band", F.col("a").alias("id"))
-        buckets = store.keep(
-            placed.select("band", "id", "n").join(gone, ["band", "id"], "left_anti"), f"buckets-{turn}"
+        leads = (F.col("part") != F.col("main")) & (F.pmod(F.xxhash64("id", F.lit(turn)), F.col("turns")) == 0)
+        rows = open_.select(
+            "band", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "id", "part", F.lit(False).alias("lead")
+        ).union(
+            open_.filter(leads).select(
+                "band", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "id", "part", F.lit(True)
+            )
+        )
+        store.keep(
+            rows.join(texts, "id").groupBy("band", "block").applyInArrow(_block_links, "a bigint, b bigint"), f"links-{turn}"
         )
+        # Leaders are settled in this bucket from now on.
+        buckets = store.keep(open_.filter(~leads).select("band", "id", "n"), f"buckets-{turn}")
