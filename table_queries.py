@@ -193,7 +193,7 @@ def stream_ingest_loads(spark, sf):
 
 def preview_columns(spark, sf):
     _, folder = _landed_orders(spark, sf)
-    return preview_schema(spark, folder, sample=10**6).select("column", "type", "is_new")
+    return preview_schema(spark, folder, sample=None).select("column", "type", "is_new")
 
 
 # --- cleaning -------------------------------------------------------------------------

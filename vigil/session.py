@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 128 << 20
 UNPACKED = 3  # rows in a shuffle against compressed files
-MOST_PARTITIONS = 50_000  # beyond it partitions grow and spill; more blocks would cost more
 
 REQUIRED_CONF = {
     # Dates, days and weeks are computed in UTC; local days use an explicit zone.
@@ -49,7 +48,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     Adaptive execution merges partitions that turn out small but makes no more of them, so
     at scale the number to start from decides whether a partition fits in memory.
     """
-    needed = min(math.ceil(input_bytes * UNPACKED / PARTITION_BYTES), MOST_PARTITIONS)
+    needed = math.ceil(input_bytes * UNPACKED / PARTITION_BYTES)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if needed > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))

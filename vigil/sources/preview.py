@@ -15,9 +15,9 @@ _SCHEMA = "column string, type string, is_new boolean, path string"
 
 
 def preview_schema(
-    spark: SparkSession, folder: str, sample: int = 20, table: LandingTable | None = None
+    spark: SparkSession, folder: str, sample: int | None = 20, table: LandingTable | None = None
 ) -> DataFrame:
-    """Inferred columns of the oldest `sample` files."""
+    """Inferred columns of the oldest `sample` files, or of all files for None."""
     files = list_files(spark, folder)[:sample]
     if not files:
         return spark.createDataFrame([], _SCHEMA)
