@@ -350,7 +350,7 @@ MODELS: dict[str, str] = {
             {RECORD_ID} AS source_record_id, name AS source_person_name, identifier AS source_person_identifier,
             CAST((created_timestamp AT TIME ZONE 'UTC') AT TIME ZONE 'Africa/Nairobi' AS DATE) AS screening_date,
             created_timestamp AS screening_datetime, point_of_entry, classification AS source_classification,
-            coalesce(upper(classification), 'NORMAL') AS screening_outcome, 1 AS screening_count,
+            coalesce(upper(classification), 'NORMAL') AS screening_outcome, screened, 1 AS screening_count,
             CAST(classification IS NULL AS INTEGER) AS normal_flag,
             CAST(coalesce(lower(classification) IN ('suspected', 'probable'), false) AS INTEGER) AS flagged_flag,
             CAST(coalesce(lower(classification) = 'suspected', false) AS INTEGER) AS suspected_flag,
@@ -476,9 +476,7 @@ MODELS: dict[str, str] = {
         FROM (SELECT *, {years('reporting_date', 'source_person_date_of_birth')} AS age_at_outcome
               FROM (SELECT *, coalesce(outcome_date, CAST(outcome_recorded_datetime AS DATE)) AS reporting_date
                     FROM fct_treatment_outcome))""",
-    "case_rows": f"""SELECT reporting_epi_week_key AS epi_week_key, reporting_epi_year AS epi_year, reporting_epi_week AS epi_week,
-            reporting_epi_week_label AS epi_week_label, reporting_epi_week_start_date AS start_of_week,
-            reporting_epi_week_end_date AS end_of_week, reporting_date AS d, reporting_county AS county,
+    "case_rows": f"""SELECT {sunday_week('investigation_date')}, investigation_date AS d, reporting_county AS county,
             reporting_subcounty AS subcounty, health_facility, source_system, 'case' AS record_type, 1 AS n,
             CAST(reporting_case_classification = 'SUSPECTED' AS INTEGER) AS suspected,
             CAST(reporting_case_classification = 'PROBABLE' AS INTEGER) AS probable,
@@ -509,7 +507,7 @@ MODELS: dict[str, str] = {
             reporting_epi_week_label AS epi_week_label, reporting_epi_week_start_date AS start_of_week,
             reporting_epi_week_end_date AS end_of_week, reporting_point_of_entry AS point_of_entry, source_system,
             reporting_screening_category AS classification, count(*) AS total_screening_records,
-            count(*) FILTER (reporting_screening_category <> 'UNKNOWN') AS total_screened,
+            count(*) FILTER (screened) AS total_screened,
             sum(suspected_screening_count) AS total_suspected, sum(flagged_screening_count) AS total_flagged
             FROM report_screening GROUP BY ALL)""",
     "lab_days": """SELECT r.*, coalesce(reporting_result_date, reporting_collection_date) AS d, f.county, f.subcounty, f.facility_name
@@ -539,7 +537,7 @@ MODELS: dict[str, str] = {
                 confirmed AS b, died AS c, 0 AS s, 0 AS t, 0 AS u, 0 AS l, 0 AS p, 0 AS q, 0 AS i
               FROM case_rows WHERE record_type = 'case'
             UNION ALL SELECT reporting_date, NULL, NULL, reporting_point_of_entry, NULL, 0, 0, 0, 1,
-                CASE WHEN reporting_screening_category <> 'UNKNOWN' THEN 1 ELSE 0 END, suspected_screening_count, 0, 0, 0, 0
+                CASE WHEN screened THEN 1 ELSE 0 END, suspected_screening_count, 0, 0, 0, 0
               FROM report_screening
             UNION ALL SELECT d, county, subcounty, NULL, facility_name, 0, 0, 0, 0, 0, 0, 1, positive_test_count,
                 negative_test_count, inconclusive_test_count FROM lab_days) GROUP BY ALL)""",

@@ -278,3 +278,57 @@ def test_preview_writes_nothing(spark, tmp_path):
     assert [(r.column, r.type, r.is_new) for r in rows] == [("a", "boolean", True), ("b__c", "string", True)]
     assert sorted(os.listdir(folder)) == ["new.json", "old.json"]
     assert preview_schema(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_old_resent_and_oddly_named_files_are_loaded_before_they_are_archived(spark, tmp_path, roots):
+    folder = tmp_path / "raw" / "lims_raw" / "records"
+    archive = tmp_path / "raw" / "_processed_lims_raw" / "records"
+    spec, now = source_for("lims_raw"), time.time() - 1000
+    put(folder / "a.json", '{"n":1}', now)
+    ingest(spark, spec, **roots)
+    assert not list(folder.glob("*.json")) and [p.name for p in archive.iterdir()] == ["a.json"]
+    put(folder / "a.json", '{"n":2}', now + 50)
+    put(folder / "late.json", '{"n":3}', now - 40 * 86400)
+    put(folder / "_under.json", '{"n":4}', now + 60)
+    put(folder / ".dot.json", '[\n{"n":5}]', now + 70)
+    (load,) = ingest(spark, spec, **roots)
+    assert (load.batch, load.rows_inserted, load.rows_deduped) == (1, 4, 0)
+    rows = LandingTable(spark, roots["landing_root"], "lims_raw").read().orderBy("id").collect()
+    assert [r.n for r in rows] == ["1", "3", "2", "4", "5"]
+    assert rows[3]._source_file == "lims_raw/records/_under.json"
+    assert not list(folder.glob("*.json")) and len(list(archive.glob("*.json*"))) == 5
+    assert any(p.read_text() == '{"n":2}' for p in archive.glob("a.json*"))
+
+
+def test_a_load_that_breaks_before_the_ledger_is_repeated_without_effect(
+    spark, tmp_path, roots, monkeypatch
+):
+    folder = tmp_path / "raw" / "lims_raw" / "records"
+    put(folder / "a.json", '{"n":1}\n{"n":2}', time.time() - 100)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("vigil.streaming.ingest.Ledger.add", broken)
+        with pytest.raises(OSError):
+            ingest(spark, source_for("lims_raw"), **roots)
+    assert (folder / "a.json").exists()
+    (load,) = ingest(spark, source_for("lims_raw"), **roots)
+    table = LandingTable(spark, roots["landing_root"], "lims_raw")
+    assert (load.rows_inserted, load.rows_deduped) == (0, 2) and table.read().count() == 2
+    assert not (folder / "a.json").exists()
+
+
+def test_a_bad_file_keeps_no_other_back_and_is_reported(spark, tmp_path, roots):
+    folder, now = tmp_path / "raw" / "lims_raw" / "records", time.time() - 100
+    put(folder / "good.json", '{"n":1}', now)
+    put(folder / "bad.json", '{"n":', now)
+    (load,) = ingest(spark, source_for("lims_raw"), **roots)
+    assert (load.files_processed, load.rows_inserted) == (1, 1)
+    assert [p.rpartition("/")[2] for p in load.files_rejected] == ["bad.json"]
+    assert [p.name for p in folder.glob("*.json")] == ["bad.json"]
+    assert ingest(spark, source_for("lims_raw"), **roots) == []
+    put(folder / "bad.json", '{"n":2}', now + 10)
+    (load,) = ingest(spark, source_for("lims_raw"), **roots)
+    assert load.rows_inserted == 1 and not list(folder.glob("*.json"))

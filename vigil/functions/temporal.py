@@ -157,8 +157,10 @@ def turnaround_days(collected: Column, resulted: Column) -> Column:
 
 def turnaround_hours(collected: Column, resulted: Column) -> Column:
     start = collected.cast("timestamp")
-    micros = (F.unix_micros(resulted) - F.unix_micros(start)).cast("decimal(20,0)")
-    hours = F.round(micros / F.lit(3_600_000_000).cast("decimal(20,0)"), 2)
+    # Hundredths of an hour, halves up, as whole numbers.
+    micros = F.unix_micros(resulted) - F.unix_micros(start)
+    hundredths = F.call_function("div", micros + 18_000_000, F.lit(36_000_000))
+    hours = hundredths.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")
     return F.when(resulted >= start, hours.cast("decimal(18,2)"))
 
 

@@ -235,6 +235,7 @@ def screenings(
                     "point_of_entry": F.col("point_of_entry"),
                     "source_classification": F.col("classification"),
                     "screening_outcome": rules.screening_outcome(F.col("classification")),
+                    "screened": F.col("screened"),
                     "screening_count": F.lit(1),
                     "normal_flag": word.isNull().cast("int"),
                     "flagged_flag": F.when(word.isin("suspected", "probable"), 1).otherwise(0),

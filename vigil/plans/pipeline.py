@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigil.operators.calendar import SPINE_END, SPINE_START
 from vigil.plans import dimensions as dim, facts, gold, silver, summaries
-from vigil.session import size_shuffles, stored_bytes
+from vigil.session import sized_shuffles, stored_bytes
 
 Table = Callable[[str], DataFrame]
 
@@ -142,7 +142,6 @@ class Warehouse:
         """
         self._stored.clear()
         largest = max(stored_bytes(self.landing(name)) for name in LANDING_TABLES)
-        size_shuffles(self.spark, largest)
         wanted = [name for _, name, _ in MODELS if names is None or name in names]
-        with ThreadPoolExecutor(workers) as pool:
+        with sized_shuffles(self.spark, largest), ThreadPoolExecutor(workers) as pool:
             list(pool.map(self._ensure, wanted))

@@ -53,13 +53,20 @@ def _is(column: str, value: str) -> Column:
     return F.when(F.col(column) == value, 1).otherwise(0)
 
 
+def _screened() -> Column:
+    """Records that say the person was screened; no answer does not count."""
+    return F.when(F.col("screened"), F.col("total_screening_count")).otherwise(0)
+
+
 def _case_rows(cases: DataFrame, outcomes: DataFrame, contacts: DataFrame) -> DataFrame:
     """Cases, contacts and outcomes as one stream of week-stamped counters.
 
-    Outcomes come from their own report, so the domains are stacked, not joined.
+    Outcomes come from their own report, so the domains are stacked, not joined. Days and
+    weeks are those of the row, so that dates outside the calendar count as well.
     """
-    case = cases.select(
-        *_week(), "reporting_date", "reporting_county", "reporting_subcounty",
+    investigated = cases.withColumn("reporting_date", F.col("investigation_date"))
+    case = _with_epi_week(investigated).select(
+        *WEEK, "reporting_date", "reporting_county", "reporting_subcounty",
         "health_facility", "source_system", F.lit("case").alias("record_type"),
         F.col("total_investigation_count").alias("n"),
         _is("reporting_case_classification", "SUSPECTED").alias("suspected"),
@@ -158,13 +165,12 @@ def screening_summary(screenings: DataFrame) -> DataFrame:
         "source_system",
         F.col("reporting_screening_category").alias("classification"),
     ]
-    screened = F.when(F.col("reporting_screening_category") != "UNKNOWN", F.col("total_screening_count")).otherwise(0)
     daily = totals(
         screenings,
         by,
         {
             "total_screening_records": "total_screening_count",
-            "total_screened": screened,
+            "total_screened": _screened(),
             "total_suspected": "suspected_screening_count",
             "total_flagged": "flagged_screening_count",
         },
@@ -263,9 +269,7 @@ def geographic_summary(
         ],
         {
             "total_screening_records": "total_screening_count",
-            "total_screened": F.when(
-                F.col("reporting_screening_category") != "UNKNOWN", F.col("total_screening_count")
-            ).otherwise(0),
+            "total_screened": _screened(),
             "suspected_screenings": "suspected_screening_count",
         },
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,16 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return max(needed, current)
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """`size_shuffles` for the length of a block; the session's number is put back after it."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(spark, input_bytes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Size of the files a table is read from, as Spark's statistics have it."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -18,7 +18,7 @@ def preview_schema(
     spark: SparkSession, folder: str, sample: int | None = 20, table: LandingTable | None = None
 ) -> DataFrame:
     """Inferred columns of the oldest `sample` files, or of all files for None."""
-    files = list_files(spark, folder)[:sample]
+    files = [f for f in list_files(spark, folder) if f.length][:sample]
     if not files:
         return spark.createDataFrame([], _SCHEMA)
     with open_records(spark, files) as records:

@@ -18,14 +18,18 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.sources.files import SourceFile, is_gzip
+from vigil.sources.files import SourceFile, packed_files
 
 _SCHEMA = "value string, file_path string, modified timestamp, block_start bigint"
 _META = ["_metadata.file_path", "_metadata.file_modification_time as modified"]
 
 
 class MalformedJson(ValueError):
-    """Files that hold no valid JSON in any accepted form."""
+    """Files that hold no valid JSON in any accepted form; `paths` names them."""
+
+    def __init__(self, paths: list[str]):
+        super().__init__(f"no valid JSON, or a document too large for Spark, in {paths}")
+        self.paths = paths
 
 
 def _same(path: str) -> str:
@@ -61,9 +65,10 @@ def _literal(path: str) -> str:
 def _texts(spark: SparkSession, files: list[SourceFile], whole: bool) -> DataFrame:
     """Text of the files by line, or one row per file."""
     plain, hidden = [], []
+    packed = packed_files(spark, files)
     for f in files:
         named = f.path.endswith(".gz")
-        (plain if named == is_gzip(spark, f.path) else hidden).append(_literal(f.path))
+        (plain if named == (f.path in packed) else hidden).append(_literal(f.path))
     parts = []
     if plain:
         parts.append(
@@ -109,7 +114,8 @@ def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataF
             whole = _parsed(_texts(spark, [f for f in files if _same(f.path) in wanted], True))
             bad = whole.filter("json is null").select("file_path").collect()
             if bad:
-                raise MalformedJson(f"no valid JSON in {sorted(r.file_path for r in bad)}")
+                names = {_same(r.file_path) for r in bad}
+                raise MalformedJson([f.path for f in files if _same(f.path) in names])
             parsed = lines.filter(~F.col("file_path").isin(documents)).union(whole)
         records = _exploded(parsed).persist()
         kept.append(records)

@@ -1,29 +1,36 @@
-"""Files to landing tables, as a stream that stops when the folder is empty.
-
-The stream itself carries file names only; its checkpoint is the list of work done. Each
-micro-batch reads its files, keeps records whose hash is new, widens the table if needed
-and appends. A batch that is run twice adds nothing the second time.
+"""Files to landing tables, in batches until the folder holds nothing new.
+
+A ledger of path, modification time and length is the list of work done. It is written after
+the rows, so what is listed and not in the ledger is loaded: a file of any age or name, and a
+file sent again under its name with other content. A batch reads its files, keeps records
+whose hash is new, widens the table if needed and appends; run twice, it adds nothing the
+second time. Content changed within one tick of the store's clock and of equal length cannot
+be told from the old.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+import hashlib
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vigil.session import size_shuffles
-from vigil.sources.files import SourceFile, data_folder, exists
+from vigil.session import sized_shuffles
+from vigil.sources.files import (
+    SourceFile, copy_file, data_folder, exists, list_files, move_unchanged,
+)
 from vigil.sources.flatten import MAX_DEPTH, discover, flat_columns, record_hash
 from vigil.sources.landing import LandingTable
 from vigil.sources.numbering import numbered
-from vigil.sources.records import open_records
+from vigil.sources.records import MalformedJson, open_records
 from vigil.sources.specs import SourceSpec
 
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+_LEDGER = "path string, modified bigint, length bigint, problem string"
 _LOAD_SCHEMA = (
     "batch bigint, loaded_at timestamp, files_processed bigint, rows_inserted bigint, "
-    "rows_deduped bigint, columns_added array<string>"
+    "rows_deduped bigint, columns_added array<string>, files_rejected array<string>"
 )
 
 
@@ -35,26 +42,33 @@ class Load:
     rows_inserted: int
     rows_deduped: int
     columns_added: list[str]
+    files_rejected: list[str]
 
 
-def _file_batch_id(table: str, batch: int, at: datetime) -> Column:
-    digest = F.md5(F.concat_ws("|", F.lit(f"{table}|{batch}|{at.isoformat()}"), "file_path"))
+def _file_batch_id(table: str, batch: int) -> Column:
+    """One id per file and batch, the same when the batch is run again."""
+    stamp = F.unix_micros("modified").cast("string")
+    digest = F.md5(F.concat_ws("|", F.lit(f"{table}|{batch}"), "file_path", stamp))
     return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
 def _append(
-    table: LandingTable, source: str, fresh: DataFrame, batch: int, now: datetime, max_depth: int
+    table: LandingTable, source: str, fresh: DataFrame, batch: int, now: datetime, max_depth: int,
+    renamed: dict[str, str],
 ) -> list[str]:
     """Widen the table, write the rows, return the added columns."""
     leaves = discover(fresh, "record", "id", max_depth)
     names, types, added = table.evolve(leaves)
     columns, rescued = flat_columns(F.col("record"), leaves, names, types, max_depth)
+    path = F.col("file_path")
+    for copy, original in renamed.items():
+        path = F.when(F.endswith("file_path", F.lit(copy)), original).otherwise(path)
     envelope = {
         "id": F.col("id"),
         "_ingested_at": F.lit(now),
         "_source": F.lit(source),
-        "_batch_id": _file_batch_id(table.name, batch, now),
-        "_source_file": F.regexp_replace("file_path", f"^.*?/(?={source}_raw/)", ""),
+        "_batch_id": _file_batch_id(table.name, batch),
+        "_source_file": F.regexp_replace(path, f"^.*?/(?={source}_raw/)", ""),
         "_raw_hash": F.col("_raw_hash"),
         "_processed": F.lit(False),
         "_rescued_data": rescued,
@@ -63,27 +77,66 @@ def _append(
     return added
 
 
+def _readable(table: LandingTable, files: list[SourceFile]) -> Iterator[tuple[SourceFile, SourceFile]]:
+    """Each file with the one to read: Spark passes over names that start with `_` or `.`, so
+    such a file is read from a copy under a plain name."""
+    for f in files:
+        folder, _, name = f.path.rpartition("/")
+        if name.startswith(("_", ".")):
+            key = hashlib.md5(f"{f.path}|{f.modified}".encode()).hexdigest()
+            copy = f"{table.base}/renamed/{key}/{name.lstrip('_.') or 'file'}"
+            yield f, replace(f, path=copy_file(table.spark, f, copy))
+        else:
+            yield f, f
+
+
 def load_files(
     table: LandingTable, source: str, files: list[SourceFile], batch: int = 0,
     max_depth: int = MAX_DEPTH,
 ) -> Load:
-    """Append the new records of the files and report what happened."""
+    """Append the new records of the files and report what happened.
+
+    A file that is no JSON is named in the report and keeps no other file back.
+    """
     spark, now = table.spark, datetime.now(timezone.utc)
-    size_shuffles(spark, sum(f.length for f in files))
-    with open_records(spark, files) as records:
-        placed, total = numbered(spark, records, table.reserve_ids)
+    wanted, rejected = list(_readable(table, files)), []
+    inserted, total, added = 0, 0, []
+    while wanted:
+        try:
+            with sized_shuffles(spark, sum(f.length for f in files)):
+                inserted, total, added = _load(
+                    table, source, wanted, batch, now, max_depth
+                )
+            break
+        except MalformedJson as problem:
+            bad = set(problem.paths)
+            rejected += [f.path for f, read in wanted if read.path in bad]
+            wanted = [(f, read) for f, read in wanted if read.path not in bad]
+    load = Load(batch, now, len(wanted), inserted, total - inserted, added, sorted(rejected))
+    spark.createDataFrame([tuple(asdict(load).values())], _LOAD_SCHEMA).coalesce(
+        1
+    ).write.mode("overwrite").parquet(f"{table.loads}/load={batch}")
+    return load
+
+
+def _load(
+    table: LandingTable, source: str, files: list[tuple[SourceFile, SourceFile]], batch: int,
+    now: datetime, max_depth: int,
+) -> tuple[int, int, list[str]]:
+    """Number of new records, of all records, and the added columns."""
+    renamed = {
+        read.path[read.path.index("/renamed/") :]: f.path for f, read in files if f.path != read.path
+    }
+    with open_records(table.spark, [read for _, read in files]) as records:
+        placed, total = numbered(table.spark, records, table.reserve_ids)
         hashed = placed.withColumn("_raw_hash", record_hash(F.col("record")))
         fresh = table.unseen(hashed).persist()
         try:
             inserted = fresh.count()
-            added = _append(table, source, fresh, batch, now, max_depth) if inserted else []
+            added = _append(table, source, fresh, batch, now, max_depth, renamed) if inserted else []
         finally:
             fresh.unpersist()
-    load = Load(batch, now, len(files), inserted, total - inserted, added)
-    spark.createDataFrame([tuple(asdict(load).values())], _LOAD_SCHEMA).coalesce(
-        1
-    ).write.mode("append").parquet(table.loads)
-    return load
+    return inserted, total, added
 
 
 def source_folder(spark: SparkSession, spec: SourceSpec, raw_root: str) -> str | None:
@@ -94,6 +147,58 @@ def source_folder(spark: SparkSession, spec: SourceSpec, raw_root: str) -> str |
     return folder if exists(spark, folder) else None
 
 
+class Ledger:
+    """Which files have been dealt with, and what was wrong with those that were rejected."""
+
+    def __init__(self, spark: SparkSession, root: str, table: LandingTable):
+        self.spark, self.path, self.table = spark, f"{root.rstrip('/')}/{table.name}/files", table
+
+    def rows(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], f"{_LEDGER}, batch bigint")
+        return self.spark.read.schema(f"{_LEDGER}, batch bigint").parquet(self.path)
+
+    def next_batch(self) -> int:
+        """After the last one here; after the last one reported if the ledger is lost."""
+        if exists(self.spark, self.path):
+            return self.rows().agg(F.max("batch")).first()[0] + 1
+        if exists(self.spark, self.table.loads):
+            return self.spark.read.parquet(self.table.loads).agg(F.max("batch")).first()[0] + 1
+        return 0
+
+    def split(self, files: list[SourceFile]) -> tuple[list[SourceFile], list[SourceFile]]:
+        """Files to load, and files that were loaded and lie there still; oldest first."""
+        if not files:
+            return [], []
+        key = ["path", "modified", "length"]
+        listed = self.spark.createDataFrame([(f.path, f.modified, f.length) for f in files], key)
+        known = self.rows().groupBy(key).agg(F.max("problem").alias("problem"), F.lit(True).alias("done"))
+        state = listed.join(known, key, "left").orderBy("modified", "path").collect()
+        new = [SourceFile(r.path, r.modified, r.length) for r in state if not r.done]
+        old = [SourceFile(r.path, r.modified, r.length) for r in state if r.done and not r.problem]
+        return new, old
+
+    def add(self, files: list[SourceFile], rejected: list[str], batch: int) -> None:
+        bad = set(rejected)
+        rows = [(f.path, f.modified, f.length, "no valid JSON" if f.path in bad else None) for f in files]
+        self.spark.createDataFrame(rows, _LEDGER).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}/batch={batch}"
+        )
+
+
+def batches(files: list[SourceFile], max_files: int, max_bytes: int) -> Iterator[list[SourceFile]]:
+    """Runs of files in order, within both bounds; a larger file is a batch by itself."""
+    batch, size = [], 0
+    for f in files:
+        if batch and (len(batch) == max_files or size + f.length > max_bytes):
+            yield batch
+            batch, size = [], 0
+        batch.append(f)
+        size += f.length
+    if batch:
+        yield batch
+
+
 def ingest(
     spark: SparkSession,
     spec: SourceSpec,
@@ -101,46 +206,35 @@ def ingest(
     landing_root: str,
     checkpoint_root: str,
     max_files: int = 1000,
+    max_bytes: int = 1 << 40,
     archive: bool = True,
 ) -> list[Load] | None:
     """Load everything that has arrived, oldest files first; None if there is no folder.
 
-    With `archive`, Spark moves files of finished batches to `_processed_<system>_raw`.
-    The files of the last batch move on the next run; the checkpoint already skips them.
+    With `archive`, loaded files move to `_processed_<base>/<folder>` once they are in the
+    ledger, unless they have changed since they were listed: then the next run loads them
+    again. Rejected files stay where they are and are tried again when they change.
     """
     folder = source_folder(spark, spec, raw_root)
     if folder is None:
         return None
     table = LandingTable(spark, landing_root, spec.table)
-    loads: list[Load] = []
-
-    def run(files: DataFrame, batch: int) -> None:
-        # Names of at most max_files files.
-        listed = [
-            SourceFile(r.path, int(r.modificationTime.timestamp() * 1000), r.length)
-            for r in files.collect()
-            if r.length
-        ]
-        if listed:
-            loads.append(load_files(table, spec.source, listed, batch))
-
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("maxFilesPerTrigger", max_files)
-        .option("recursiveFileLookup", True)
-    )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option(
-            "sourceArchiveDir", f"{raw_root.rstrip('/')}/_processed_{spec.base}"
-        )
-    query = (
-        reader.load(folder)
-        .select("path", "modificationTime", "length")
-        .writeStream.foreachBatch(run)
-        .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.table}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    ledger = Ledger(spark, checkpoint_root, table)
+
+    def put_away(files: list[SourceFile]) -> None:
+        if archive:
+            inside = f"/{spec.base}/"
+            to = f"{raw_root.rstrip('/')}/_processed_{spec.base}"
+            move_unchanged(spark, [(f, f"{to}/{f.path.rpartition(inside)[2]}") for f in files])
+
+    new, left_over = ledger.split(list_files(spark, folder))
+    put_away(left_over)
+    loads, number = [], ledger.next_batch()
+    for number, batch in enumerate(batches(new, max_files, max_bytes), number):
+        filled, rejected = [f for f in batch if f.length], []
+        if filled:
+            loads.append(load_files(table, spec.source, filled, number))
+            rejected = loads[-1].files_rejected
+        ledger.add(batch, rejected, number)
+        put_away([f for f in batch if f.path not in set(rejected)])
     return loads
