@@ -180,7 +180,11 @@ def test_dimensions(house):
 
 def test_summaries(house):
     trend = house.table("report_case_trend").filter("record_type = 'case'").orderBy("start_of_week").collect()
-    assert sum(r.total_cases for r in trend) == 3 and sum(r.deaths for r in trend) == 1
+    # All four dated cases, also the one of 2019, before the calendar starts.
+    assert sum(r.total_cases for r in trend) == 4 and sum(r.deaths for r in trend) == 1
+    assert trend[0].start_of_week == date(2019, 12, 29) and trend[0].total_cases == 1
+    screened = house.table("report_screening_summary").agg(F.sum("total_screened")).first()
+    assert screened[0] == 2
     whole = house.table("report_case_distribution").agg(F.sum("total_cases"), F.sum("deaths")).first()
     assert tuple(whole) == (5, 1)
     labs = house.table("report_laboratory_summary").agg(F.sum("total_tests")).first()
