@@ -82,7 +82,8 @@ OPERATORS: dict[str, str] = {
         min(event_id) AS first_event FROM {EVENT_LEAVES} GROUP BY steps""",
     "flatten_leaf_counts": f"""SELECT steps, count(*) AS n_leaves, count(DISTINCT event_id) AS n_records
         FROM {EVENT_LEAVES} GROUP BY steps""",
-    "record_hash_dedup": "SELECT event_id, event_id AS id FROM events WHERE event_type <> 'view'",
+    "record_hash_dedup": """SELECT event_id, event_id + spelling * 1000000000000 AS id
+        FROM events, (VALUES (0), (2)) t(spelling) WHERE event_type <> 'view'""",
     "stream_ingest": """SELECT CAST(o_orderkey AS VARCHAR) AS "order", CAST(o_custkey AS VARCHAR) AS customer__id,
         o_orderpriority AS customer__rank, o_orderstatus = 'F' AS done, 'lims' AS _source, false AS _processed FROM orders""",
     "stream_ingest_loads": """SELECT count(*) AS rows_inserted, count(*) AS rows_deduped,

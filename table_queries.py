@@ -15,7 +15,7 @@ from vigil.plans import dimensions as dim, facts, gold, silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
 from vigil.session import configure, shared_dir
 from vigil.sources.files import exists
-from vigil.sources.flatten import flatten, leaf_rows, leaf_types, record_hash
+from vigil.sources.flatten import exact_json, flatten, leaf_rows, leaf_types, record_hash
 from vigil.sources.landing import LandingTable
 from vigil.sources.preview import preview_schema
 from vigil.sources.specs import source_for
@@ -137,15 +137,17 @@ def flatten_leaf_counts(spark, sf):
 
 
 def record_hash_dedup(spark, sf):
-    """Each event twice with its keys in another order, against a half-loaded table."""
+    """Each event twice with its keys in another order, and once with another spelling of its
+    number, which makes it another record; against a half-loaded table."""
     e = read(spark, sf, "events")
     one = F.to_json(F.struct("event_id", "event_type", F.struct("user_id", "value").alias("x")))
     two = F.to_json(F.struct(F.struct("value", "user_id").alias("x"), "event_type", "event_id"))
-    last = F.lit(10**12)
-    both = e.select("event_id", "event_type", (F.col("event_id") * 1).alias("id"), one.alias("text")).unionByName(
-        e.select("event_id", "event_type", (F.col("event_id") + last).alias("id"), two.alias("text"))
-    )
-    hashed = both.withColumn("_raw_hash", record_hash(F.parse_json("text")))
+    pointed = F.regexp_replace(one, r'^\{"event_id":([0-9]+)', r'{"event_id":$1.0')
+    texts = F.array(one, two, pointed)
+    each = e.select("event_id", "event_type", F.posexplode(texts).alias("form", "text"))
+    every = each.withColumn("id", F.col("event_id") + F.col("form") * F.lit(10**12))
+    exact = F.try_parse_json(exact_json(F.col("text")))
+    hashed = every.withColumn("_raw_hash", record_hash(F.parse_json("text"), exact))
     stored = hashed.filter(F.col("event_type") == "view")
     return dedup.unseen(hashed, "_raw_hash", "id", stored).select("event_id", "id")
 

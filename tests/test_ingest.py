@@ -120,6 +120,21 @@ def test_hash_sees_values_not_the_order_of_keys(spark):
     assert one == swapped and other != one
 
 
+def test_numbers_written_with_and_without_a_point_are_different_records(spark, tmp_path, roots):
+    folder = tmp_path / "raw" / "lims_raw" / "records"
+    lines = [
+        '{"v":1.0,"s":"1.0"}', '{"v":1,"s":"1.0"}', '{"s":"1.0", "v": 1.00}',
+        '{"v":-1.0,"s":"a\\"2.0"}', '{"v":-1,"s":"a\\"2.0"}',
+        '[{"v":[2.0,10.05]},{"v":[2,10.05]},{"v":1.0e1}]',
+    ]
+    put(folder / "a.json", "\n".join(lines), time.time() - 100)
+    (load,) = ingest(spark, source_for("lims_raw"), **roots)
+    assert (load.rows_inserted, load.rows_deduped) == (7, 1)
+    rows = LandingTable(spark, roots["landing_root"], "lims_raw").read().orderBy("id").collect()
+    assert [r.s for r in rows[:4]] == ["1.0", "1.0", 'a"2.0', 'a"2.0']
+    assert [r.v for r in rows[:4]] == ["1", "1", "-1", "-1"]
+
+
 def test_every_file_form_gives_the_same_records(spark, tmp_path):
     recs = [{"k": i, "s": f"v{i}"} for i in range(5)]
     lines = "\n".join(json.dumps(r) for r in recs) + "\n\n"

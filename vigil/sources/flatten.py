@@ -18,6 +18,12 @@ MAX_DEPTH = 6
 SEPARATOR = "__"
 _STEP = "\u0001"  # between steps; each step starts with k (object key) or i (array index)
 _MAP, _ARRAY = "map<string,variant>", "array<variant>"
+# Pieces of JSON text other than whole numbers with a point. Nothing is given back, so a
+# text is read once.
+_OTHER = (
+    r'[^"0-9-]++|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    r"|(?!-?[0-9]+\.0+(?![0-9eE]))-?[0-9][0-9.eE+-]*+"
+)
 
 
 @dataclass(frozen=True)
@@ -31,9 +37,21 @@ class Leaf:
         return SEPARATOR.join(s[1:] for s in self.steps)
 
 
-def record_hash(record: Column) -> Column:
-    """md5 of the record with sorted keys: key order does not matter, values do."""
-    return F.md5(F.to_json(record))
+def exact_json(text: Column) -> Column:
+    """JSON text with every whole number that has a point (`1.0`) put in a string of its own
+    kind; null if there is none. VARIANT drops the zeros, so `1.0` and `1` would be the same."""
+    marked = F.regexp_replace(
+        text, rf"\G((?:{_OTHER})*+)(-?[0-9]+\.0)0*(?![0-9eE])", r'$1"\\u0001$2"'
+    )
+    return F.when(text.rlike(r"[0-9]\.0"), marked)
+
+
+def record_hash(record: Column, exact: Column | None = None) -> Column:
+    """md5 of the record with sorted keys: key order does not matter, values do.
+
+    `exact` is the record as parsed from `exact_json`, or null.
+    """
+    return F.md5(F.to_json(record if exact is None else F.coalesce(exact, record)))
 
 
 def _is_container(v: Column) -> Column:

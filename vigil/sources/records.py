@@ -16,9 +16,10 @@ from functools import reduce
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.sources.files import SourceFile, packed_files
+from vigil.sources.flatten import exact_json
 
 _SCHEMA = "value string, file_path string, modified timestamp, block_start bigint"
 _META = ["_metadata.file_path", "_metadata.file_modification_time as modified"]
@@ -90,14 +91,17 @@ def _parsed(texts: DataFrame) -> DataFrame:
     """Wrapped in brackets, so that a second value after the first is an error."""
     wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
     return texts.filter(F.col("value").rlike(r"\S")).select(
-        F.try_parse_json(wrapped).alias("json"), "file_path", "modified", "block_start"
+        F.try_parse_json(wrapped).alias("json"),
+        F.try_parse_json(exact_json(wrapped)).alias("exact"),
+        "file_path", "modified", "block_start",
     )
 
 
 @contextmanager
 def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataFrame]:
-    """Columns: record, file_path, modified, block_start, seq.
+    """Columns: record, exact, file_path, modified, block_start, seq.
 
+    `exact` is the record with its numbers told apart, for hashing; null if it is the same.
     `seq` rises by one from record to record inside a (file_path, block_start). Parsed text
     and records are kept while the block runs: each file is parsed once, and `seq` comes
     from one plan, so it is the same for every reader, also after a lost executor.
@@ -127,12 +131,18 @@ def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataF
 
 def _exploded(parsed: DataFrame) -> DataFrame:
     """A line or document may itself be an array of records."""
-    values = F.flatten(
-        F.transform(
-            F.col("json").cast("array<variant>"),
+
+    def values(json: str) -> Column:
+        opened = F.transform(
+            F.col(json).cast("array<variant>"),
             lambda e: F.coalesce(e.try_cast("array<variant>"), F.array(e)),
         )
+        return F.coalesce(F.flatten(opened), F.array().cast("array<variant>"))
+
+    # Equally long, or the second is empty and gives nulls.
+    pairs = F.zip_with(
+        values("json"), values("exact"), lambda r, e: F.struct(r.alias("record"), e.alias("exact"))
+    )
+    return parsed.select(F.inline(pairs), "file_path", "modified", "block_start").withColumn(
+        "seq", F.monotonically_increasing_id()
     )
-    return parsed.select(
-        F.explode(values).alias("record"), "file_path", "modified", "block_start"
-    ).withColumn("seq", F.monotonically_increasing_id())

@@ -129,7 +129,8 @@ def _load(
     }
     with open_records(table.spark, [read for _, read in files]) as records:
         placed, total = numbered(table.spark, records, table.reserve_ids)
-        hashed = placed.withColumn("_raw_hash", record_hash(F.col("record")))
+        told_apart = record_hash(F.col("record"), F.col("exact"))
+        hashed = placed.withColumn("_raw_hash", told_apart).drop("exact")
         fresh = table.unseen(hashed).persist()
         try:
             inserted = fresh.count()
