@@ -76,7 +76,7 @@ def warehouse(spark: SparkSession, sf: str) -> Warehouse:
 
 
 def model(name: str):
-    return lambda spark, sf: warehouse(spark, sf).plan(name)
+    return lambda spark, sf: warehouse(spark, sf).prepared(name)
 
 
 def confirmed_by_week_and_county(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,7 +333,7 @@ def representative_row(spark, sf):
 
 def duplicate_fact_keys(spark, sf):
     """Record ids by another priority than the one rows were deduplicated on."""
-    lab = warehouse(spark, sf).table("fct_lab_result")
+    lab = warehouse(spark, sf).prepared("fct_lab_result")
     return dedup.duplicate_keys(lab, "lab_result_key")
 
 

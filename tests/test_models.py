@@ -200,6 +200,30 @@ def test_rebuild_gives_the_same_rows(house):
     assert {n: house.table(n).count() for n in before} == before
 
 
+def test_a_plan_writes_nothing_and_a_full_store_is_used_as_it_is(house, spark, tmp_path):
+    empty = Warehouse(spark, str(tmp_path / "none"), house.landing, house.settings)
+    assert empty.plan("report_case_trend").count() == house.table("report_case_trend").count()
+    assert empty.table("fct_screening").count() == 4 and not (tmp_path / "none").exists()
+    stored = {n: house.path(n) for _, n, _ in MODELS}
+    again = Warehouse(spark, house.root, house.landing, house.settings)
+    assert again.table("fct_screening").count() == 4 and again.prepared("report_case_trend").count()
+    assert {n: again.path(n) for n in stored} == stored
+
+
+def test_a_build_that_fails_leaves_the_old_table(house, spark):
+    old = house.path("slv_lims_results")
+    rows = house.table("slv_lims_results").count()
+    broken = lambda name: house.landing(name).withColumn("id", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        Warehouse(spark, house.root, broken, house.settings).build(["slv_lims_results"])
+    assert house.path("slv_lims_results") == old and house.table("slv_lims_results").count() == rows
+    for _ in range(3):
+        house.build(["slv_lims_results"])
+    assert house.path("slv_lims_results") != old and house.table("slv_lims_results").count() == rows
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(old)
+
+
 def test_facts_and_reports_add_no_shuffle_of_the_fact(house):
     """Dimensions are small here, so every lookup is a broadcast and rows stay in place."""
     for name in ("fct_case_investigation", "fct_screening", "report_screening", "report_lab_result"):

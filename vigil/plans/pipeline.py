@@ -7,7 +7,9 @@ small, and it cuts the lineage at a table that survives a lost executor.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -18,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.operators.calendar import SPINE_END, SPINE_START
 from vigil.plans import dimensions as dim, facts, gold, silver, summaries
 from vigil.session import sized_shuffles, stored_bytes
+from vigil.sources.files import exists, remove_folder, subfolders
 
 Table = Callable[[str], DataFrame]
+_VERSION = r"v[0-9]{8}-[0-9a-f]{8}"
+KEPT_VERSIONS = 2  # of each model
 
 
 @dataclass(frozen=True)
@@ -96,7 +101,13 @@ _BY_NAME = {name: (layer, build) for layer, name, build in MODELS}
 
 
 class Warehouse:
-    """Landing tables plus the models stored under one root, one folder per layer."""
+    """Landing tables plus the models stored under one root.
+
+    Every build writes to a version folder of its own, with a folder per layer. A model is
+    read from the newest version that finished writing it, which Spark's `_SUCCESS` file
+    tells; so a build that fails leaves the tables before it, and readers see no gap. The
+    version before the newest stays for readers that are under way. One build at a time.
+    """
 
     def __init__(
         self,
@@ -107,32 +118,70 @@ class Warehouse:
     ):
         self.spark, self.root, self.landing = spark, root.rstrip("/"), landing
         self.settings = settings or Settings()
-        self._stored: set[str] = set()
+        self._fresh: set[str] = set()
         self._locks = {name: Lock() for name in _BY_NAME}
+        self._version: str | None = None
+        self._version_lock = Lock()
+
+    def _versions(self) -> list[str]:
+        return [v for v in subfolders(self.spark, self.root) if re.fullmatch(_VERSION, v)]
+
+    def _finished(self, name: str, versions: list[str]) -> Iterator[str]:
+        """Folders of the model that were written to the end, newest first."""
+        for version in reversed(versions):
+            folder = f"{self.root}/{version}/{_BY_NAME[name][0]}/{name}"
+            if exists(self.spark, f"{folder}/_SUCCESS"):
+                yield folder
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{_BY_NAME[name][0]}/{name}"
+    def path(self, name: str) -> str | None:
+        """Where the model is stored now; None if it is not."""
+        return next(self._finished(name, self._versions()), None)
 
     def plan(self, name: str) -> DataFrame:
-        """The model's query over stored upstream tables; nothing of it is written."""
+        """The model's query over upstream tables as stored, or over their queries where they
+        are not. Nothing is written."""
         return _BY_NAME[name][1](self.table, self.spark, self.settings)
 
+    def prepared(self, name: str) -> DataFrame:
+        """The model's query, after writing the upstream tables that are not stored."""
+        return _BY_NAME[name][1](self._filled, self.spark, self.settings)
+
     def table(self, name: str) -> DataFrame:
-        """A landing table, or a model read back from the store (written on first use)."""
+        """A landing table, or a model as it is stored; its query if it is not."""
         if name not in _BY_NAME:
             return self.landing(name)
-        self._ensure(name)
-        return self.spark.read.parquet(self.path(name))
-
-    def _ensure(self, name: str) -> None:
-        with self._locks[name]:
-            if name not in self._stored:
-                self.write(name)
-
-    def write(self, name: str) -> None:
-        """Full refresh of one model."""
-        self.plan(name).write.mode("overwrite").parquet(self.path(name))
-        self._stored.add(name)
+        stored = self.path(name)
+        return self.spark.read.parquet(stored) if stored else self.plan(name)
+
+    def _filled(self, name: str) -> DataFrame:
+        if name in _BY_NAME:
+            with self._locks[name]:
+                if not self.path(name):
+                    self._write(name, self._filled)
+        return self.table(name)
+
+    def _refreshed(self, name: str) -> DataFrame:
+        if name in _BY_NAME:
+            with self._locks[name]:
+                if name not in self._fresh:
+                    self._write(name, self._refreshed)
+                    self._fresh.add(name)
+        return self.table(name)
+
+    def _write(self, name: str, upstream: Table) -> None:
+        layer, build = _BY_NAME[name]
+        rows = build(upstream, self.spark, self.settings)
+        rows.write.parquet(f"{self.root}/{self._current()}/{layer}/{name}")
+        for old in list(self._finished(name, self._versions()))[KEPT_VERSIONS:]:
+            remove_folder(self.spark, old)
+
+    def _current(self) -> str:
+        """The version being written: the next number, and a name that no other writer has."""
+        with self._version_lock:
+            if self._version is None:
+                last = max((int(v[1:9]) for v in self._versions()), default=0)
+                self._version = f"v{last + 1:08d}-{uuid.uuid4().hex[:8]}"
+            return self._version
 
     def build(self, names: list[str] | None = None, workers: int = 4) -> None:
         """Full refresh of the wanted models, upstream first.
@@ -140,8 +189,9 @@ class Warehouse:
         Models that do not wait for each other are written at the same time, so that small
         ones fill the gaps large ones leave on the cluster.
         """
-        self._stored.clear()
+        self._fresh.clear()
+        self._version = None
         largest = max(stored_bytes(self.landing(name)) for name in LANDING_TABLES)
         wanted = [name for _, name, _ in MODELS if names is None or name in names]
         with sized_shuffles(self.spark, largest), ThreadPoolExecutor(workers) as pool:
-            list(pool.map(self._ensure, wanted))
+            list(pool.map(self._refreshed, wanted))

@@ -53,6 +53,11 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    fs, p = _fs(spark, folder)
+    fs.delete(p, True)
+
+
 def data_folder(spark: SparkSession, base: str) -> str | None:
     """The only data folder under `base`, ignoring loader bookkeeping; None if unclear."""
     found = [f for f in subfolders(spark, base) if not f.startswith("_dlt")]
