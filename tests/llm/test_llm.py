@@ -5,6 +5,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -66,6 +67,37 @@ def test_noisy_or_learns_sentences_from_documents(spark):
     assert toxicity.toxicity(docs, nothing).filter("predicted = 1").count() == 0
 
 
+def test_long_clean_texts_stay_clean(spark, monkeypatch, tmp_path):
+    """Labels that no sentence explains must not add up over a long text's sentences, and long
+    labelled documents are in the fit."""
+    clean = ["\n".join(f"{prose(i * 50 + k, 12, 3000)}." for k in range(1 + i % 40)) for i in range(300)]
+    toxic = [f"{prose(9000 + i, 12, 3000)}. you are a blorg{i % 3} now. {prose(9500 + i, 12, 3000)}." for i in range(60)]
+    odd = ["\n".join(f"{prose(7000 + i * 50 + k, 12, 3000)}." for k in range(20)) for i in range(15)]  # toxic for no reason
+    def long(size):
+        return ("\n".join(clean) * (1 + size // 300_000))[:size]
+
+    marked = long(5_000_000) + "\nyou are a blorg1 now.\n" + long(9000)
+    texts = clean + toxic + odd + [long(100_000), long(500_000), long(2_000_000), long(5_000_000), marked]
+    n, m = len(clean), len(clean) + len(toxic) + len(odd)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(n <= i < m)) for i in range(m + 1)], "doc_id bigint, toxic int")
+    sample = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic")
+    assert sample.filter(F.octet_length("text") == 100_000).count() == 1
+    model = toxicity.fit(docs, labels)
+    found = {r.doc_id: r for r in toxicity.toxicity(docs.filter(F.col("doc_id") >= m), model).collect()}
+    assert [found[i].predicted for i in range(m, m + 5)] == [0, 0, 0, 0, 1]
+    assert [marked[s.start : s.end].strip() for s in found[m + 4].sentences] == ["you are a blorg1 now"]
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    assert {*range(n), *range(m, m + 4)} <= kept and m + 4 not in kept
+    # One job a step gives what the driver's own arrays give.
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    here = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "DRIVER_HITS", 0)
+    there = toxicity.fit(docs, labels)
+    assert np.allclose(here.weights, there.weights) and np.isclose(here.bias, there.bias)
+
+
 def cut_by_hand(texts):
     n = suffix_dedup.LENGTH
     seen = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))

@@ -3,16 +3,20 @@
 A sentence's probability is logistic in the words and word beginnings it holds. A document is
 toxic if any of its sentences is: the noisy-or 1 - prod(1 - p). Training maximises the
 likelihood of the document labels under that noisy-or, so what it learns are sentence
-scores, and the sentences that make a document toxic can be pointed out.
-
-The features are chosen by Spark from the training documents; the weights are fitted on
-the driver from what those features leave of a bounded sample (at most MOST_PER_CLASS
-documents of each label and MOST_BYTES a document, by the hash of the id).
+scores, and the sentences that make a document toxic can be pointed out. In training, every
+document has a leak besides its sentences: one chance, the same for all and not part of any
+score, that the label is toxic for no reason that a sentence shows. Without it such labels
+raise the bias of every sentence, and a clean text comes out toxic if it is long enough.
+
+The features are chosen by Spark from the training documents; the weights are fitted from
+what those features leave of a sample (at most MOST_PER_CLASS documents of each label, by the
+hash of the id, whatever their length). Up to DRIVER_HITS the fit runs on the driver; beyond
+that every step is a Spark job over the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +27,15 @@ from vigil.llm.bytetext import ALNUM, Words, bounded_batches, chunks, text_bytes
 from vigil.llm.stores import Store
 
 MOST_PER_CLASS = 4000
-MOST_BYTES = 1 << 16
+DRIVER_HITS = 4_000_000  # features of sentences that the driver fits on by itself
 BUCKETS = 1 << 20
 BEGINNINGS = (4, 5)  # bytes of a word that are features beside the word itself
 FEATURES = 1024
 LEAST_DOCUMENTS = 3
 STEPS, RATE, SHRINK = 400, 0.1, 0.1
+# Clean sentences weigh more in the fit, and logits are steepened after it, which moves no
+# sentence over 0.5: long clean texts have many sentences, each with a small chance.
+CLEAN_WEIGHT, SLOPE = 10.0, 2.0
 SENTENCE_END = np.isin(np.arange(256), np.frombuffer(b".!?\n", np.uint8))
 
 
@@ -78,14 +85,14 @@ class Model:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, toxic): the bounded sample that a model is fitted on."""
+    """(text, toxic): the sample that a model is fitted on. Texts of any length are in it."""
     own = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("toxic"))
     own = own.filter("id is not null and toxic in (0, 1)").distinct()
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
     chosen = own.withColumn("rank", rank).filter(F.col("rank") <= MOST_PER_CLASS).select("id", "toxic")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     # At most 2 * MOST_PER_CLASS rows of two numbers: small enough for every task.
-    return texts.filter(F.octet_length("text") <= MOST_BYTES).join(F.broadcast(chosen), "id").select("text", "toxic")
+    return texts.join(F.broadcast(chosen), "id").select("text", "toxic")
 
 
 def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,22 +122,22 @@ def _bags(features: np.ndarray):
             texts, toxic = text_bytes(batch.column("text")), batch.column("toxic")
             for a, b in chunks(texts):
                 s = Sentences(texts[a:b])
-                rows: list[tuple[list, list]] = [([], []) for _ in range(b - a)]
                 first = np.searchsorted(s.text_of, np.arange(b - a))
+                found = [np.empty((3, 0), np.int64)]
                 for k in s.buckets:
-                    f = slot[k]
-                    hit = np.flatnonzero(f >= 0)
+                    hit = np.flatnonzero(slot[k] >= 0)
                     sentence = s.of_word[hit]
                     doc = s.text_of[sentence] if s.n else sentence
-                    for d, i, j in zip(doc.tolist(), (sentence - first[doc]).tolist(), f[hit].tolist()):
-                        rows[d][0].append(i)
-                        rows[d][1].append(j)
+                    found.append(np.stack([doc, sentence - first[doc], slot[k[hit]]]))
+                doc, sentence, feature = np.concatenate(found, axis=1)
+                order = np.argsort(doc, kind="stable")
+                ends = pa.array(np.r_[0, np.cumsum(np.bincount(doc, minlength=b - a))], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         toxic.slice(a, b - a),
                         pa.array(np.bincount(s.text_of, minlength=b - a), pa.int64()),
-                        pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                        pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(ends, pa.array(sentence[order])),
+                        pa.ListArray.from_arrays(ends, pa.array(feature[order])),
                     ],
                     ["toxic", "n_sentences", "sentence", "feature"],
                 )
@@ -161,49 +168,85 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .orderBy(F.desc("z"), "bucket").limit(FEATURES)
     )
     features = np.sort(np.array([r.bucket for r in best.collect()], np.int64))
-    bags = sample.mapInArrow(
-        _bags(features), "toxic int, n_sentences bigint, sentence array<bigint>, feature array<bigint>"
-    ).collect()
-    weights, bias = noisy_or_fit(bags, len(features))
+    bags = store.keep(
+        sample.mapInArrow(
+            _bags(features), "toxic int, n_sentences bigint, sentence array<bigint>, feature array<bigint>"
+        ),
+        "bags",
+    )
+    hits = bags.agg(F.sum(F.size("feature"))).first()[0] or 0
+    gradient = Bags(bags.toArrow()).gradient if hits <= DRIVER_HITS else _spark_gradient(bags)
+    weights, bias = noisy_or_fit(gradient, n[0] + n[1], len(features))
     return Model(features, weights, bias)
 
 
-def noisy_or_fit(bags: list, n_features: int) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the document labels likeliest under the noisy-or.
+class Bags:
+    """Documents as labels, sentences and the chosen features of these.
 
     Sentences without any chosen feature all have the bias for a logit and are counted, not
-    listed. With z a sentence's logit and Q the chance that no sentence of the document is
-    toxic, the gradient of -log likelihood by z is p for clean documents and -p Q / (1 - Q)
-    for toxic ones.
+    listed.
     """
-    toxic = np.array([b.toxic for b in bags], bool)
-    owner, sentence, feature, plain = [], [], [], np.zeros(len(bags))
-    total = 0
-    for d, b in enumerate(bags):
-        used, local = np.unique(np.asarray(b.sentence, np.int64), return_inverse=True)
-        owner.append(np.full(len(used), d))
-        sentence.append(local + total)
-        feature.append(np.asarray(b.feature, np.int64))
-        plain[d] = b.n_sentences - len(used)
-        total += len(used)
-    owner, sentence, feature = map(np.concatenate, (owner, sentence, feature))
-    w, first, second = np.zeros((3, n_features + 1))
-    w[-1] = -6.0
-    for step in range(1, STEPS + 1):
-        z = np.bincount(sentence, w[feature], minlength=total) + w[-1]
-        log_q = -np.bincount(owner, np.logaddexp(0, z), minlength=len(bags)) - plain * np.logaddexp(0, w[-1])
-        q = np.exp(np.minimum(log_q, -1e-9))
-        pull = np.where(toxic, -q / (1 - q), 1.0)
-        g = pull[owner] * np.exp(-np.logaddexp(0, -z))
+
+    def __init__(self, table: pa.Table | pa.RecordBatch):
+        def flat(name: str) -> pa.Array:
+            column = table.column(name)
+            return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+        self.toxic = flat("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        n_sentences = flat("n_sentences").to_numpy(zero_copy_only=False)
+        doc = np.repeat(np.arange(len(self.toxic)), flat("sentence").value_lengths().to_numpy(zero_copy_only=False))
+        number = (np.cumsum(n_sentences) - n_sentences)[doc] + flat("sentence").flatten().to_numpy(zero_copy_only=False)
+        used, first, self.sentence = np.unique(number, return_index=True, return_inverse=True)
+        self.owner = doc[first]
+        self.feature = flat("feature").flatten().to_numpy(zero_copy_only=False)
+        self.plain = n_sentences - np.bincount(self.owner, minlength=len(self.toxic))
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """Of -log likelihood, by the weights, the leak's logit and the bias.
+
+        With z a sentence's logit and Q the chance that no sentence of the document is toxic,
+        the gradient by z is p (times CLEAN_WEIGHT, but for the leak) for clean documents and
+        -p Q / (1 - Q) for toxic ones.
+        """
         grad = np.zeros_like(w)
-        grad[:-1] = np.bincount(feature, g[sentence], minlength=n_features)
-        grad[-1] = g.sum() + (pull * plain).sum() / (1 + np.exp(-w[-1]))
-        grad /= len(bags)
-        grad[:-1] += SHRINK / len(bags) * w[:-1]
+        if not len(self.toxic):
+            return grad
+        z = np.bincount(self.sentence, w[self.feature], minlength=len(self.owner)) + w[-1]
+        log_q = -np.bincount(self.owner, np.logaddexp(0, z), minlength=len(self.toxic)) - self.plain * np.logaddexp(0, w[-1])
+        log_q -= np.logaddexp(0, w[-2])
+        q = np.exp(np.minimum(log_q, -1e-9))
+        pull = np.where(self.toxic, -q / (1 - q), CLEAN_WEIGHT)
+        g = pull[self.owner] * np.exp(-np.logaddexp(0, -z))
+        grad[:-2] = np.bincount(self.feature, g[self.sentence], minlength=len(w) - 2)
+        grad[-2] = np.where(self.toxic, pull, 1.0).sum() / (1 + np.exp(-w[-2]))
+        grad[-1] = g.sum() + (pull * self.plain).sum() / (1 + np.exp(-w[-1]))
+        return grad
+
+
+def _spark_gradient(bags: DataFrame):
+    """Bags.gradient summed over the rows of a table, by one job."""
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = sum((Bags(batch).gradient(w) for batch in batches), np.zeros_like(w))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["g"])
+
+        return np.sum([r.g for r in bags.mapInArrow(run, "g array<double>").collect()], axis=0)
+
+    return gradient
+
+
+def noisy_or_fit(gradient: Callable[[np.ndarray], np.ndarray], n_docs: int, n_features: int) -> tuple[np.ndarray, float]:
+    """Weights and bias that make the document labels likeliest under the noisy-or."""
+    w, first, second = np.zeros((3, n_features + 2))
+    w[-2:] = -4.0, -6.0
+    for step in range(1, STEPS + 1):
+        grad = gradient(w) / n_docs
+        grad[:-2] += SHRINK / n_docs * w[:-2]
         first += 0.1 * (grad - first)
         second += 0.01 * (grad**2 - second)
         w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    return w[:-1], float(w[-1])
+    return SLOPE * w[:-2], SLOPE * float(w[-1])
 
 
 # --- scoring ----------------------------------------------------------------------------
