@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on nulls, empty texts, ties, repeats,
 empty tables and clashing columns."""
 
+import base64
 import hashlib
 import re
 from collections import Counter, defaultdict
@@ -178,6 +179,19 @@ def test_quality_counts_and_bands(spark):
     assert not quality.compression(noise.encode(), press)[3]
 
 
+def test_the_rest_of_a_text_is_judged_too():
+    press = quality.zstandard.ZstdCompressor(level=3)
+    rng = np.random.default_rng(4)
+    words = ["".join(chr(97 + x) for x in rng.integers(0, 26, 3 + i % 7)) for i in range(900)]
+    text = " ".join(words[x] for x in (900 * rng.random(6000) ** 2).astype(int)).encode()
+    noise = base64.b64encode(rng.bytes(9000))
+    assert quality.compression(text[:8191], press)[1:] == (2, 0, True)
+    assert quality.compression(text[:4096] + noise[:4095], press)[1:] == (2, 1, False)
+    assert quality.compression(text[:6000] + b"again and " * 209, press)[1:] == (2, 1, False)
+    # A rest weighs by its bytes: 300 of 4396 are no quarter.
+    assert quality.compression(text[:4096] + noise[:300], press)[1:] == (2, 1, True)
+
+
 def test_nested_url_rules(spark):
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.net", "/en/x", "block"), ("a.example.net", "/", "allow")]
     urls = ["http://EXAMPLE.net/en/1", "https://m.example.net/en/xy?q", "http://a.example.net/de/", "http://example.net", "badexample.net/en/",

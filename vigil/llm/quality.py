@@ -3,7 +3,8 @@
 A text's zstandard ratio tells how much of it repeats. Whole texts and their fixed chunks are
 held against limits for their length, because short texts compress worse: below the lower
 limit a text is repetitive, above the upper one it is noise. A text whose whole lies in its
-band still fails if too many of its chunks do not.
+band still fails if chunks with more than BAD_CHUNK_SHARE of its bytes do not; the last chunk
+is what remains, held against the limits for its own length.
 """
 
 from __future__ import annotations
@@ -87,13 +88,15 @@ def compression(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, in
         return 1.0, 0, 0, True
     ratio = len(press.compress(text)) / len(text)
     whole = in_band(len(text), ratio)
-    n = bad = 0
+    n = bad = bad_bytes = 0
     if len(text) > CHUNK:
-        # A short rest at the end goes with the whole only.
-        for at in range(0, len(text) - CHUNK + 1, CHUNK):
+        for at in range(0, len(text), CHUNK):
+            part = text[at : at + CHUNK]
             n += 1
-            bad += not in_band(CHUNK, len(press.compress(text[at : at + CHUNK])) / CHUNK)
-    return ratio, n, bad, whole and bad <= BAD_CHUNK_SHARE * n
+            if not in_band(len(part), len(press.compress(part)) / len(part)):
+                bad += 1
+                bad_bytes += len(part)
+    return ratio, n, bad, whole and bad_bytes <= BAD_CHUNK_SHARE * len(text)
 
 
 
