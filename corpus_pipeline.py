@@ -46,7 +46,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source and the best segmentation's ids, with the scores of the n best."""
+    """doc_id, lang, source and the ids and scores of the n best segmentations."""
     encode = nbest.encoder(spark, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
     return docs.select("doc_id", "lang", "source", encode("text").alias("r")).select("doc_id", "lang", "source", "r.*")
 

@@ -238,6 +238,20 @@ def test_n_best_segmentations(text):
         assert len({i for _, i in found}) == len(found)
 
 
+def test_every_rank_of_whole_texts_has_its_ids(spark):
+    model = nbest.model(PIECES)
+    texts = ["hello world", "  a  b", "aab ba", "中😀ａ\n\tx", "", None]
+    rows = nbest.n_best_encoding(table(spark, texts), PIECES)
+    for text, r in zip(texts, rows.collect()):
+        every = every_segmentation(model, nbest.normalised(text or ""))
+        assert len(r.n_best_ids) == len(r.scores) == min(4, len(every)) and r.n_best_ids[0] == r.ids
+        assert len({tuple(ids) for ids in r.n_best_ids}) == len(r.n_best_ids)
+        for ids, score in zip(r.n_best_ids, r.scores):
+            assert any(tuple(ids) == i and abs(score - s) < 1e-9 for s, i in every)
+    back = nbest.decoding(rows.select("doc_id", F.explode("n_best_ids").alias("ids")), PIECES)
+    assert {r.text for r in back.collect()} == {t or "" for t in texts}
+
+
 @pytest.mark.parametrize("block", [100_000, 300])
 def test_near_duplicates_are_all_that_brute_force_finds(spark, monkeypatch, block):
     """With small blocks, buckets take several turns of several blocks each."""

@@ -280,6 +280,17 @@ class Model:
         encoded = self.encoded
         return b"".join([encoded[i] for i in k.tolist()]), [float(total - loss) for loss, _ in ways], [c for _, c in ways]
 
+    def segmentations(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]]) -> list[bytes]:
+        """Ids of each of the n best, from what `encode` says that each changes."""
+        best = [self.encoded[self.index[p]] for p in parts]
+        out = []
+        for change in changes:
+            own = best.copy()
+            for p, ids in change.items():
+                own[p] = np.array(ids, np.int32).tobytes()
+            out.append(b"".join(own))
+        return out
+
     def decode(self, ids: list[int]) -> str:
         """The text that ids stand for. Bytes that are no valid UTF-8 become U+FFFD."""
         if self.high.isdisjoint(ids):
@@ -301,11 +312,12 @@ def model(path: str) -> Model:
 
 
 def encoder(spark: SparkSession, path: str, n: int = N_BEST, with_ids: bool = False):
-    """Column of texts to struct(n_pieces, scores, ids_sha256, round_trip, ids).
+    """Column of texts to struct(n_pieces, scores, ids_sha256, round_trip, ids, n_best_sha256, n_best_ids).
 
-    `scores` are those of the up to n best segmentations, best first. The digest is of the best
-    one's ids as little-endian 32-bit numbers; the ids themselves come with `with_ids`, else
-    null. `round_trip` says whether decoding the ids gives the text back, which it does unless
+    `scores` are those of the up to n best segmentations, best first, and `n_best_ids` their ids
+    in that order; `ids` are the first one's. `ids_sha256` is of those as little-endian 32-bit
+    numbers, `n_best_sha256` of all n, each after its number of ids. The ids themselves come
+    with `with_ids`, else null. `round_trip` says whether decoding the ids gives the text back, which it does unless
     the text has a space mark (U+2581) itself. Null counts as empty, which has no piece.
     """
     bounded_batches(spark)
@@ -319,23 +331,50 @@ def encoder(spark: SparkSession, path: str, n: int = N_BEST, with_ids: bool = Fa
                 size += len(texts[i])
                 continue
             for text, parts in zip(texts[first:i], own.prepare(texts[first:i])):
-                raw, scores, _ = own.encode(parts, n)
+                raw, scores, changes = own.encode(parts, n)
                 ids = np.frombuffer(raw, np.int32)
+                ranks = own.segmentations(parts, changes)
+                every = hashlib.sha256()
+                for way in ranks:
+                    every.update((len(way) // 4).to_bytes(4, "little") + way)
                 rows.append(
-                    (len(ids), scores, hashlib.sha256(raw).hexdigest(), own.decode(ids.tolist()) == text, ids if with_ids else None)
+                    (
+                        len(ids), scores, hashlib.sha256(raw).hexdigest(), own.decode(ids.tolist()) == text,
+                        ids if with_ids else None, every.hexdigest(),
+                        [np.frombuffer(way, np.int32) for way in ranks] if with_ids else None,
+                    )
                 )
             first, size = i, len(texts[i]) if i < len(texts) else 0
-        kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), pa.list_(pa.int32())]
+        number = pa.list_(pa.int32())
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), number, pa.string(), pa.list_(number)]
         return pa.StructArray.from_arrays(
             [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
-            ["n_pieces", "scores", "ids_sha256", "round_trip", "ids"],
+            ["n_pieces", "scores", "ids_sha256", "round_trip", "ids", "n_best_sha256", "n_best_ids"],
         )
 
     return F.arrow_udf(
-        run, "struct<n_pieces:bigint,scores:array<double>,ids_sha256:string,round_trip:boolean,ids:array<int>>"
+        run,
+        """struct<n_pieces:bigint,scores:array<double>,ids_sha256:string,round_trip:boolean,ids:array<int>,
+           n_best_sha256:string,n_best_ids:array<array<int>>>""",
     )
 
 
+def decoder(spark: SparkSession, path: str):
+    """Column of ids to the text that they stand for; null gives null."""
+    bounded_batches(spark)
+
+    def run(column: pa.Array) -> pa.Array:
+        own = model(path)
+        return pa.array([None if ids is None else own.decode(ids) for ids in column.to_pylist()], pa.string())
+
+    return F.arrow_udf(run, "string")
+
+
+def decoding(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """doc_id and text for each row of ids; other columns are not read."""
+    return encoded.select(F.col(id_col).alias("doc_id"), decoder(encoded.sparkSession, path)(F.col(ids_col)).alias("text"))
+
+
 def n_best_encoding(
     docs: DataFrame, path: str, n: int = N_BEST, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

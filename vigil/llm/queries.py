@@ -71,7 +71,7 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return nbest.n_best_encoding(read(spark, sf, "documents"), path, with_ids=False).drop("ids")
+    return nbest.n_best_encoding(read(spark, sf, "documents"), path, with_ids=False).drop("ids", "n_best_ids")
 
 
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
