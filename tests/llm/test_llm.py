@@ -3,7 +3,10 @@ empty tables and clashing columns."""
 
 import base64
 import hashlib
+import os
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -252,6 +255,45 @@ def test_every_rank_of_whole_texts_has_its_ids(spark):
     assert {r.text for r in back.collect()} == {t or "" for t in texts}
 
 
+@pytest.mark.parametrize("text", ["hello world aaaaaaaaaaaab", "éeaueau leß中😀ａ\n\tx==", "QmFzZTY0IGlzIG5vIHByb3Nl"])
+def test_long_parts_in_blocks_give_the_same(monkeypatch, text):
+    model = nbest.model(PIECES)
+    every = []
+    for long in (1024, 6, 1):
+        monkeypatch.setattr(nbest, "LONG_PART", long)
+        model.forget()
+        (parts,) = model.prepare([text])
+        assert "".join(parts) == nbest.normalised(text)
+        raw, scores, changes = model.encode(parts, 4)
+        ranks = model.segmentations(parts, changes)
+        assert len(set(ranks)) == 4 and all(model.decode(np.frombuffer(w, np.int32).tolist()) == text for w in ranks)
+        every.append(scores)
+    model.forget()
+    assert np.allclose(every[0], every[1]) and np.allclose(every[0], every[2])
+    for n in (1, 2, 6):
+        assert np.allclose([s for s, _ in model.n_best(text[:9], n)], [s for s, _ in model.n_best_long(text[:9], n)])
+
+
+LONG_PART_TEST = """
+import base64, resource, sys
+import numpy as np
+resource.setrlimit(resource.RLIMIT_AS, (3 << 30, 3 << 30))
+from vigil.llm import nbest
+model = nbest.model(sys.argv[1])
+for text in (base64.b64encode(np.random.default_rng(1).bytes(750_000)).decode(), "a" * 100_000):
+    (parts,) = model.prepare([text])
+    raw, scores, changes = model.encode(parts, 4)
+    ranks = model.segmentations(parts, changes)
+    assert len(set(ranks)) == 4 and scores == sorted(scores, reverse=True)
+    assert all(model.decode(np.frombuffer(w, np.int32).tolist()) == text for w in ranks)
+"""
+
+
+def test_a_megabyte_without_spaces_fits_in_memory():
+    env = dict(os.environ, OPENBLAS_NUM_THREADS="1", PYTHONPATH=os.pathsep.join(sys.path))
+    subprocess.run([sys.executable, "-c", LONG_PART_TEST, PIECES], env=env, check=True, timeout=300)
+
+
 @pytest.mark.parametrize("block", [100_000, 300])
 def test_near_duplicates_are_all_that_brute_force_finds(spark, monkeypatch, block):
     """With small blocks, buckets take several turns of several blocks each."""

@@ -7,6 +7,10 @@ lattice falls into parts (a word with the marks before it) that can be solved on
 Forward Viterbi gives the best score of every prefix of a part. Searching backward from the
 end, that score is the exact rest of the way: A* over (suffix so far, place) takes the
 segmentations of a part from the heap in the order of their scores, and no dead ends.
+Entries of the heap link to the one they go on from, and a place is left at most N times.
+Parts of more than LONG_PART characters are cut at every place that no piece crosses, which
+changes nothing. What is still longer gets the N best of every prefix instead, which keeps
+N numbers a character.
 Forward Viterbi runs over many parts at once, place by place, and the same pass backward
 tells how far the second best of each part lies behind. Only the N-1 parts of a text whose
 second best is closest can take part in its N best, so A* runs for those alone.
@@ -17,6 +21,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
+from collections import deque
 from itertools import count, groupby
 
 import numpy as np
@@ -30,6 +36,7 @@ SPACE = "▁"
 UNKNOWN_BELOW = 10.0  # a character without a piece scores this below the worst piece
 CACHE_PARTS = 600_000
 CHUNK_CHARS = 1 << 20
+LONG_PART = 1024
 SLOTS_LOG = 20
 
 _PART = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -124,17 +131,70 @@ class Model:
             into.append(self.edges(part, j))
             forward.append(max(forward[i] + s for i, s, _ in into[j]))
         order = count()
-        heap = [(-forward[-1], next(order), len(part), 0.0, ())]
-        out = []
+        # (-score of the whole path, number, place, score of the suffix, ids of its first piece, the rest)
+        heap = [(-forward[-1], next(order), len(part), 0.0, (), None)]
+        out, left = [], [0] * (len(part) + 1)
         while heap and len(out) < n:
-            _, _, place, suffix, ids = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            place, suffix = entry[2], entry[3]
             if not place:
-                out.append((suffix, ids))
+                ids = []
+                while entry is not None:
+                    ids.extend(entry[4])
+                    entry = entry[5]
+                out.append((suffix, tuple(ids)))
                 continue
+            if left[place] == n:
+                continue  # n suffixes from here are as good, and go on alike
+            left[place] += 1
             for i, s, piece in into[place]:
-                heapq.heappush(heap, (-(forward[i] + s + suffix), next(order), i, s + suffix, piece + ids))
+                heapq.heappush(heap, (-(forward[i] + s + suffix), next(order), i, s + suffix, piece, entry))
         return out
 
+    def n_best_long(self, part: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The same by the n best of every prefix; of these only the last piece is kept."""
+        size, rank = array("i", bytes(4 * n * (len(part) + 1))), array("i", bytes(4 * n * (len(part) + 1)))
+        recent = deque([[0.0]], self.longest)  # scores of the n best of the last prefixes
+        for j in range(1, len(part) + 1):
+            ways = [
+                (score + s, j - i, r)
+                for i, s, _ in self.edges(part, j) for r, score in enumerate(recent[i - j])
+            ]
+            ways = heapq.nlargest(n, ways) if len(ways) > n else sorted(ways, reverse=True)
+            for k, (_, length, r) in enumerate(ways, n * j):
+                size[k], rank[k] = length, r
+            recent.append([way[0] for way in ways])
+        out = []
+        for r, score in enumerate(recent[-1]):
+            ids, place = [], len(part)
+            while place:
+                k = n * place + r
+                piece = part[place - size[k] : place]
+                own = self.id_of.get(piece)
+                ids.extend([own] if own is not None else [self.byte_ids[x] for x in reversed(piece.encode("utf-8", "surrogatepass"))])
+                place, r = place - size[k], rank[k]
+            out.append((score, tuple(reversed(ids))))
+        return out
+
+    def cut(self, part: str) -> list[str]:
+        """A part in blocks between the places that no piece crosses."""
+        codes = _codes(part).astype(np.uint64) + np.uint64(1)
+        total = len(codes)
+        crossed = np.zeros(total + 1, bool)
+        # A slab at a time; pieces that begin in it may end beyond it.
+        for low in range(0, total, CHUNK_CHARS):
+            own = codes[low : low + CHUNK_CHARS + self.longest]
+            prefix = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(own * powers(_BASE, len(own)), out=prefix[1:])
+            back = powers(pow(_BASE, -1, 1 << 64), len(own) + 1)
+            for n in range(2, min(self.longest, len(own)) + 1):
+                i = np.arange(min(CHUNK_CHARS, len(own) - n + 1))
+                i = i[self.find(mix((prefix[i + n] - prefix[i]) * back[i])) >= 0] + low
+                for k in range(1, n):
+                    crossed[i + k] = True
+        places = np.flatnonzero(~crossed).tolist()
+        return [part[a:b] for a, b in zip(places, places[1:])]
+
     # --- many parts ---
 
     def solve(self, parts: list[str]) -> None:
@@ -239,7 +299,7 @@ class Model:
         the one already chosen."""
         if k not in self.near:
             chosen = tuple(np.frombuffer(self.encoded[k], np.int32).tolist())
-            found = self.n_best(part, n + 1)
+            found = (self.n_best if len(part) <= LONG_PART else self.n_best_long)(part, n + 1)
             others = [(self.best[k] - s, ids) for s, ids in found if ids != chosen]
             self.near[k] = [(0.0, chosen), *others][:n]
         return self.near[k]
@@ -250,12 +310,22 @@ class Model:
         """Parts of each text, all solved."""
         split = [_PART.findall(normalised(t)) for t in texts]
         wanted = set().union(*split)
+        if any(len(p) > LONG_PART for p in wanted):
+            split = [[b for p in own for b in (self.cut(p) if len(p) > LONG_PART else [p])] for own in split]
+            wanted = set().union(*split)
         new = wanted.difference(self.index)
         if len(self.index) + len(new) > CACHE_PARTS and self.index:
             self.forget()
             new = wanted
-        if new:
-            self.solve(list(new))
+        short = [p for p in new if len(p) <= LONG_PART]
+        if short:
+            self.solve(short)
+        for part in new:
+            if len(part) > LONG_PART:
+                found = self.n_best_long(part, 2)
+                behind = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+                ids = np.array(found[0][1], np.int32)
+                self._remember([part], np.array([found[0][0]]), np.array([behind]), ids, np.array([0, len(ids)]))
         return split
 
     def encode(self, parts: list[str], n: int) -> tuple[bytes, list[float], list[dict[int, tuple[int, ...]]]]:
