@@ -357,3 +357,19 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     texts = [f"please contact office at user{i}@mail.org today" for i in range(12)] + ["contact office at X99-1234-AB today", "number of 123456"]
     rows = pii.found_spans(table(spark, texts)).filter("size(base) = 0").select(pii.as_text(F.col("spans")).alias("s")).collect()
     assert sorted(r.s for r in rows) == ["", "email:18:29"]
+
+
+def test_found_identifiers_bring_new_contexts(spark):
+    """seed -> pattern -> identifier -> new pattern -> new identifier, which is a handle."""
+    texts = [f"please contact office at user{i}@mail.org today" for i in range(80)]
+    texts += [f"contact office at team_{'abcdefghijklmno'[i]} today" for i in range(15)]
+    texts += [f"always ask for team_{'abcdefghijklmno'[i]} first" for i in range(15)]
+    texts += ["always ask for @someone first", "never look for @nobody first", "read section 5 first"]
+    rows = pii.found_spans(table(spark, texts)).filter("size(base) = 0").select(pii.as_text(F.col("spans")).alias("s")).collect()
+    assert Counter(r.s for r in rows) == {"email:18:24": 15, "email:15:21": 15, "email:15:23": 1, "": 2}
+
+
+def test_forms_of_candidates():
+    form = re.compile(pii.FORMS["token"].replace("\\p{L}", "[a-zA-Z]"))
+    text = "jane.doe x_y @me a1 12 end. well-known plain ... -- (see e.g."
+    assert [m[0] for m in form.finditer(text)] == ["jane.doe", "x_y", "@me", "a1", "12", "well-known", "e.g."]

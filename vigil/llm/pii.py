@@ -4,8 +4,9 @@ E-mail and IP addresses, card and phone numbers are found by their form. These s
 lexical patterns, the two words before them. Patterns and the identifiers seen with them are
 the two sides of a graph that Spark scores in turns: a pattern is worth the share of its
 identifiers that are known or believed, an identifier is believed as far as its patterns are
-worth it. Patterns that end with enough seeds and a high score tag the unseen identifiers
-they stand before.
+worth it. Seeds, and identifiers that a pattern of high score stands before, support the
+patterns of the next turn, until nothing is added. Patterns that end with enough support and a
+high score tag the unseen identifiers they stand before.
 
 Only mentions are shuffled, never texts. One row of its own keeps every document in the result.
 """
@@ -25,15 +26,15 @@ FORMS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    # What may be an identifier of another form: a run without white space that has a digit.
-    "token": r"(?<!\S)(?=[^\s0-9]*+[0-9])\S++",
+    # What may be an identifier of another form: a run without white space that has a digit, @
+    # or _, or begins with letters around a point or hyphen.
+    "token": r"(?<!\S)(?=[^\s0-9@_]*+[0-9@_]|\p{L}++[.-]\p{L})\S++",
 }
 NEEDS = {"email": "@", "phone": "+"}  # without it a text has no match
-TOKEN_LENGTH = (6, 128)
-TOKEN_DIGITS = 4
+TOKEN_LENGTH = (3, 128)
 CONTEXT_CHARS = 80
-TURNS = 3
-LEAST_SEEDS = 5  # different ones, before a pattern may tag anything
+TURNS = 3  # at least
+LEAST_SEEDS = 5  # different seeds or sure identifiers, before a pattern may tag anything
 PRIOR = 1.0  # unknown identifiers that every pattern is charged with
 SURE = 0.8
 
@@ -84,7 +85,7 @@ def _valid(kind: Column, value: Column) -> Column:
         .when(kind == "ip", part)
         .when(kind == "card", count.between(14, 19) & luhn(F.when(count.between(14, 19), digits).otherwise("1")))
         .when(kind == "phone", count.between(10, 15))
-        .otherwise(F.length(value).between(*TOKEN_LENGTH) & (count >= TOKEN_DIGITS))
+        .otherwise(F.length(value).between(*TOKEN_LENGTH))
     )
 
 
@@ -115,16 +116,20 @@ def mentions(docs: DataFrame, store: Store, id_col: str, text_col: str) -> DataF
 
 def pattern_scores(edges: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     """Scores of patterns (pattern, kind, seeds, score) and of unseen identifiers (value, kind,
-    score) after some turns over the graph of distinct (pattern, value, kind) edges.
+    sure, score) after turns over the graph of distinct (pattern, value, kind) edges.
 
     `kind` is null for identifiers that are not seeds. A value that is a seed anywhere is one.
+    `seeds` counts seeds and sure identifiers. Patterns and scores only grow from turn to turn,
+    so the turns end.
     """
     edges = store.keep(edges.distinct(), "edges")
     known = edges.filter("kind is not null").select("value", "kind").distinct()
     size = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
-    believed = known.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(1))
+    believed = seeds = known.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(1))
     links = edges.select("pattern", "value").distinct()
-    for turn in range(1, TURNS + 1):
+    turn, before = 0, None
+    while True:
+        turn += 1
         patterns = store.keep(
             links.join(believed, "value")
             .groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.sum("seed").alias("seeds"))
@@ -137,13 +142,19 @@ def pattern_scores(edges: DataFrame, store: Store) -> tuple[DataFrame, DataFrame
             links.join(patterns, "pattern")
             .join(known.select("value").distinct(), "value", "left_anti")
             .groupBy("value", "kind")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.999)))))).alias("score")),
+            .agg(
+                (F.max("score") >= SURE).cast("int").alias("sure"),
+                (1 - F.exp(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.999)))))).alias("score"),
+            ),
             f"unseen-{turn}",
         )
-        believed = known.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(1)).unionByName(
-            unseen.withColumn("seed", F.lit(0))
-        )
-    return patterns, unseen
+        # Nothing is added and scores have settled to a thousandth.
+        worth = patterns.agg(F.count("*"), F.count(F.when(F.col("score") >= SURE, 1)), F.sum("score")).first()
+        now = (*worth[:2], unseen.filter("sure = 1").count(), worth[2] or 0.0)
+        if turn >= TURNS and now[:3] == before[:3] and now[3] - before[3] < 0.001:
+            return patterns, unseen
+        before = now
+        believed = seeds.unionByName(unseen.withColumnRenamed("sure", "seed"))
 
 
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
