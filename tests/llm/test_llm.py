@@ -127,6 +127,18 @@ def test_repeated_passages(spark, monkeypatch, shard_bytes):
     assert Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == cut_by_hand(texts)
 
 
+def test_split_anchors_are_merged_in_as_many_ranges_as_they_need(spark, monkeypatch):
+    seen, shard = [], suffix_dedup._shard
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 6000)
+    monkeypatch.setattr(suffix_dedup, "RANGE_STARTS", 400)
+    monkeypatch.setattr(suffix_dedup, "_shard", lambda ranges: seen.append(ranges) or shard(ranges))
+    passage = prose(1, 100).encode()[:430]
+    texts = [prose(100 + i, 150).encode() + passage + prose(300 + i, 150).encode() for i in range(60)]
+    rows = suffix_dedup.repeated(table(spark, [t.decode() for t in texts])).collect()
+    assert Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == cut_by_hand(texts)
+    assert seen[0] > 64
+
+
 def test_contamination_and_proximity(spark, monkeypatch):
     passage = "the quick brown fox jumps over the lazy dog and runs far away home"
     texts = [prose(5, 50) + " " + passage.upper() + " tail", passage.replace("lazy", "sleepy"), "tiny Item here", prose(6, 80)]

@@ -12,8 +12,9 @@ Every byte that a string of LENGTH bytes covers goes if the string also starts e
    prefixes of neighbours. A string is repeated if its piece occurs again or the common prefix
    with a neighbour has LENGTH bytes.
 3. An anchor whose pieces would overfill a shard is split over several. Their strings are
-   merged across shards: each shard sends the sorted fingerprints of its strings by range, and
-   in each range one shard's run is searched in the others' by bisection.
+   merged across shards: each shard sends the sorted fingerprints of its strings by range, each
+   once, and in each range those that several shards sent are found by one sort. There are as
+   many ranges as the bytes of the split anchors ask for.
 
 Decisions depend on the text alone, so copies of a text are handled once.
 """
@@ -34,7 +35,7 @@ LENGTH = 400
 K = 64
 SHARD_BYTES = 1 << 20
 SLICE = 1 << 24  # starts of strings that are looked at together; longer texts take several
-RANGES = 64
+RANGE_STARTS = 1 << 18  # strings of split anchors in one range, at most on average
 _PLACE_BITS = 26
 _BASE = 0xD6E8FEB86659FD93
 _GAP = 0xFF  # in no UTF-8 text
@@ -251,9 +252,18 @@ def intervals(flags: np.ndarray) -> list[dict[str, int]]:
 _STARTS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
-def _shard(table: pa.Table) -> pa.Table:
+def range_cuts(ranges: int) -> np.ndarray:
+    """The least fingerprint of each range."""
+    return np.array([(r << 64) // ranges for r in range(ranges)], np.uint64)
+
+
+def _shard(ranges: int):
+    return lambda table: _shard_rows(table, ranges)
+
+
+def _shard_rows(table: pa.Table, ranges: int) -> pa.Table:
     """Repeated starts of each piece, within the shard; of split anchors also the fingerprints
-    of what is left, sorted and cut to ranges."""
+    of what they hold, sorted and cut to ranges."""
     rows = table.to_pylist()
     again = repeated_starts([r["body"] for r in rows])
     out, left, at = [], [], 0
@@ -269,8 +279,10 @@ def _shard(table: pa.Table) -> pa.Table:
     if left:
         prints, s1, s2, start = (np.concatenate(x) for x in zip(*left))
         order = np.argsort(prints, kind="stable")
+        # What the shard has several times is settled here; once is enough for the others.
+        order = order[np.r_[True, prints[order[1:]] != prints[order[:-1]]]]
         prints, s1, s2, start = prints[order], s1[order], s2[order], start[order]
-        cut = np.searchsorted(prints, np.arange(RANGES, dtype=np.uint64) << np.uint64(64 - RANGES.bit_length() + 1))
+        cut = np.searchsorted(prints, range_cuts(ranges))
         for r, (a, b) in enumerate(zip(cut, np.r_[cut[1:], len(prints)])):
             if b > a:
                 sent.append((r, *(x[a:b].tobytes() for x in (prints, s1, s2, start))))
@@ -295,18 +307,18 @@ _SHARD_SCHEMA = """s1 bigint, s2 bigint, starts array<struct<first:bigint,last:b
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Strings of one range that more than one shard holds, found by searching each shard's
-    sorted run in the others'. A string that its own shard already found again changes nothing."""
-    runs = [np.frombuffer(x, np.uint64) for x in table.column("prints").to_pylist()]
+    """Strings of one range that more than one shard sent, found by one sort: no shard sends a
+    string twice. A string that its own shard already found again changes nothing."""
+    prints, s1, s2, start = (
+        np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+        for c, kind in (("prints", np.uint64), ("p1", np.int64), ("p2", np.int64), ("at", np.int64))
+    )
+    order = np.argsort(prints, kind="stable")
+    same = prints[order[1:]] == prints[order[:-1]]
+    hit = order[np.r_[False, same] | np.r_[same, False]]
     out: dict[tuple[int, int], list[int]] = {}
-    for r, (prints, *named) in enumerate(zip(runs, *(table.column(c).to_pylist() for c in ("p1", "p2", "at")))):
-        hit = np.zeros(len(prints), bool)
-        for q, other in enumerate(runs):
-            if q != r:
-                at = np.minimum(np.searchsorted(other, prints), len(other) - 1)
-                hit |= other[at] == prints
-        for s1, s2, start in zip(*(np.frombuffer(x, np.int64)[hit].tolist() for x in named)):
-            out.setdefault((s1, s2), []).append(start)
+    for a, b, at in zip(s1[hit].tolist(), s2[hit].tolist(), start[hit].tolist()):
+        out.setdefault((a, b), []).append(at)
     return pa.table(
         {
             "s1": pa.array([k[0] for k in out], pa.int64()),
@@ -420,7 +432,9 @@ def _repeated_pieces(store: Store, distinct: DataFrame) -> DataFrame:
         F.when(F.col("salts").isNull(), F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .otherwise(-1 - F.pmod(F.xxhash64("anchor", F.pmod(F.col("s1"), F.col("salts"))), F.lit(1 << 40))).alias("shard"),
     )
-    found = store.keep(dealt.groupBy("shard").applyInArrow(_shard, _SHARD_SCHEMA), "shards")
+    split_bytes = hot.join(per_anchor, "anchor").agg(F.sum("bytes")).first()[0] or 0
+    shard = _shard(int(split_bytes // RANGE_STARTS) + 1)
+    found = store.keep(dealt.groupBy("shard").applyInArrow(shard, _SHARD_SCHEMA), "shards")
     merged = (
         found.filter("`range` is not null").groupBy("range")
         .applyInArrow(_merge, "s1 bigint, s2 bigint, starts array<struct<first:bigint,last:bigint>>")
