@@ -23,9 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    copies = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near duplicates: that with the smallest id.
+
+    Rows are told apart by id and text, so null, shared and repeated ids do no harm.
+    """
+    return minhash.without_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -332,6 +332,18 @@ def test_near_duplicates_are_all_that_brute_force_finds(spark, monkeypatch, bloc
     assert rows[None].component_id is None and rows[None].kept
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (prose(s, 60, 9000) for s in range(4))
+    rows = [(2, b), (5, a), (5, b + " x"), (7, c), (7, c), (None, c), (9, c + " y"), (None, d), (None, d), (8, ""), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(2, b), (5, a), (7, c), (None, d), (8, ""), (8, "")])
+    # Two classes with one smallest id: each is verified by its own text.
+    docs = spark.createDataFrame([(1, a), (1, b), (3, a + " x"), (4, b + " y")], "doc_id bigint, text string")
+    found = minhash.near_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in found) == Counter([(1, 1, True)] * 2 + [(3, 1, False), (4, 1, False)])
+
+
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, ngram_hashes, text_bytes
 from vigil.llm.stores import Store, least_label
@@ -123,7 +123,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts and texts without words have no shingles and are linked with
     nothing. Rows without an id are linked with nothing either: their component is null and
     they are kept. Rows that share an id are judged each by its own text. Other columns are
-    not read. Equal texts are one class; the smallest id stays.
+    not read. Equal texts are one class; the smallest id stays, and of its texts one. Rows that
+    repeat both id and text are all kept if one is; `without_copies` leaves one of them.
+    """
+    grouped = _grouped(docs, id_col, text_col, nameless=False)
+    return grouped.select(
+        "doc_id", "n_shingles", F.coalesce("lead.doc_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("row") == F.col("lead.row"), F.lit(True)).alias("kept"),
+    )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with exactly one row of each group of near duplicates, that with the smallest id.
+
+    Rows without an id are members too, and stay only if no other member has one. Rows are
+    told apart by id and text; of rows that share both, any one stays. Rows whose texts have no
+    words are in no group and all stay.
+    """
+    store = Store(docs.sparkSession, "copies")
+    rows = store.keep(_grouped(docs, id_col, text_col, nameless=True).filter("lead is not null"), "rows")
+    number = store.keep(
+        rows.groupBy("row").agg(F.first(F.col("row") == F.col("lead.row")).alias("stays"), F.count("*").alias("n"))
+        .filter("not stays or n > 1"),
+        "marked",
+    )
+    keyed = docs.withColumn("_row", _row_key(F.col(id_col), F.xxhash64(text_col)))
+    rest = keyed.join(number.select(F.col("row").alias("_row")), "_row", "left_anti")
+    once = keyed.join(number.filter("stays").select(F.col("row").alias("_row")), "_row", "left_semi").dropDuplicates(["_row"])
+    return rest.unionByName(once).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _row_key(doc_id: Column, text_key: Column) -> Column:
+    doc_id = doc_id.cast("bigint")
+    return F.xxhash64(doc_id, doc_id.isNull(), text_key)
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, nameless: bool) -> DataFrame:
+    """doc_id, row (a hash of id and text), n_shingles and lead, the (doc_id, row) that stands for the row's group;
+    lead is null for rows in no group, as are those without an id unless `nameless`.
+
+    Groups are found over classes of equal shingle sets, whose key is a hash of the set, so
+    that ids may be shared or missing.
     """
     spark = docs.sparkSession
     store = Store(spark, "minhash")
@@ -138,37 +178,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, bands array<bigint>",
         ),
         "signatures",
-    )
+    ).withColumn("row", _row_key(F.col("doc_id"), F.col("text_key")))
+    if not nameless:
+        signed = signed.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest")))
     # One representative for all documents with the same set; its bands stand for theirs.
     classes = store.keep(
-        signed.filter("digest is not null and doc_id is not null")
+        signed.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "bands")).alias("r"))
-        .select("digest", "r.*"),
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row", "n_shingles", "bands")).alias("r"))
+        .select("digest", F.xxhash64("digest").alias("id"), "r.*"),
         "classes",
     )
-    member = classes.select(
-        F.explode("bands").alias("band"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")
-    )
+    member = classes.select(F.explode("bands").alias("band"), "id", F.col("n_shingles").alias("n"))
     crowded = member.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
     buckets = store.keep(member.join(crowded, "band"), "buckets-0")
-    wanted = buckets.select("id").distinct()
+    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "row")
     texts = store.keep(
-        own.join(
-            classes.join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text_key"),
-            ["doc_id", "text_key"], "left_semi",
-        ).groupBy(F.col("doc_id").alias("id")).agg(F.first("text").alias("text")),
+        own.withColumn("row", _row_key(F.col("doc_id"), F.col("text_key"))).join(wanted, "row")
+        .groupBy("id").agg(F.first("text").alias("text")),
         "texts",
     )
     components = _components(store, buckets, texts)
-    of_class = classes.join(components, F.col("doc_id") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "doc_id").alias("component")
+    placed = store.keep(
+        classes.join(components, F.col("id") == F.col("node"), "left").select(
+            "digest", F.coalesce("component", "id").alias("part"), F.struct("none", "doc_id", "text_key", "row").alias("own")
+        ),
+        "placed",
     )
+    leads = placed.groupBy("part").agg(F.min("own").alias("own")).select("part", F.struct("own.doc_id", "own.row").alias("lead"))
     return (
-        signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-        .join(of_class, "digest", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        signed.select("doc_id", "row", "n_shingles", "digest")
+        .join(placed.select("digest", "part").join(leads, "part").select("digest", "lead"), "digest", "left")
+        .select("doc_id", "row", "n_shingles", "lead")
     )
 
 
