@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, license_scan, minhash, nbest, pii, quality, suffix_dedup, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, filter_audit, license_scan, minhash, nbest, pii, quality, suffix_dedup, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -91,10 +91,15 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
         op7_url_filters, op8_sentencepiece, op9_minhash, op10_pii,
+        op12_filter_audit,
     )
 }
 
@@ -120,5 +125,48 @@ fit as (
 )
 select page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict
 from parts left join fit using (r)
+""",
+    "op12_filter_audit": r"""
+with recursive letters(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders(filter_order) as (
+    select '' union all
+    select filter_order || letter from orders join letters on not contains(filter_order, letter)
+),
+applied as (
+    select filter_order, k as step, l.letter, l.bit,
+           coalesce((select sum(b.bit) from letters b where contains(left(filter_order, k - 1), b.letter)), 0)::int as before
+    from orders, range(1, 6) steps(k), letters l
+    where length(filter_order) = 5 and l.letter = filter_order[k]
+),
+texts as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+    from documents
+),
+masks as (
+    select part,
+           (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+           + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::int
+           + 8 * regexp_matches(t, '[#$%&*|]')::int
+           + 16 * (doc_id > min(doc_id) over (partition by t))::int as mask,
+           coalesce(quality = 1, false)::int as good, coalesce(toxic = 1, false)::int as toxic
+    from texts left join labels using (doc_id)
+),
+cells as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from masks group by all),
+steps as (
+    select part, filter_order, step, letter,
+           sum(n) filter (mask & (before | bit) = 0) as kept,
+           sum(n) filter (mask & bit <> 0 and mask & before = 0) as removed,
+           sum(n) filter (mask & bit <> 0 and mask & before <> 0) as redundant,
+           sum(n) filter (mask = bit) as unique_fails,
+           sum(good) filter (mask & bit <> 0 and mask & before = 0) as good_lost,
+           sum(toxic) filter (mask & bit <> 0 and mask & before = 0) as toxic_lost
+    from cells, applied group by all
+)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+       coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+       coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+       coalesce(sum(removed) over (partition by part, letter), 0)::bigint as shapley
+from steps
 """,
 }
