@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, filter_audit, license_scan, minhash, nbest, pii, quality, suffix_dedup, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, filter_audit, license_scan, minhash, nbest, pii, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -91,6 +91,12 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_copies(read(spark, sf, "documents"))
+    hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
@@ -99,7 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
         op7_url_filters, op8_sentencepiece, op9_minhash, op10_pii,
-        op12_filter_audit,
+        op11_simhash, op12_filter_audit,
     )
 }
 
