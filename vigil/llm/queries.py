@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import decontaminate, filter_audit, license_scan, minhash, nbest, pii, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
+from vigil.llm import decontaminate, filter_audit, license_scan, minhash, nbest, phrases, pii, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
 
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -101,11 +101,15 @@ def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf, "documents"), read(spark, sf, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_suffix_dedup, op3_decontamination, op4_license_scans, op5_token_counts, op6_quality_rules,
         op7_url_filters, op8_sentencepiece, op9_minhash, op10_pii,
-        op11_simhash, op12_filter_audit,
+        op11_simhash, op12_filter_audit, op13_collocations,
     )
 }
 
@@ -174,5 +178,37 @@ select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
        coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
        coalesce(sum(removed) over (partition by part, letter), 0)::bigint as shapley
 from steps
+""",
+    "op13_collocations": r"""
+with texts as (
+    select row_number() over () as t, coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+),
+pieces as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from texts),
+words as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces where len(w) > 0),
+phrases as (
+    select lang, array_to_string(w[i : i + size - 1], ' ') as phrase, size, count(*) as f
+    from words, range(1, 5) sizes(size) where i + size - 1 <= len(w) group by all
+),
+candidates as (select lang, phrase, f as a, size, string_split(phrase, ' ') as w from phrases where size > 1 and f >= 30),
+cuts as (
+    select c.lang, c.phrase, c.a, k, l.f as l, r.f as r,
+           ((2000000::hugeint * c.a) // (l.f + r.f))::bigint as score
+    from (select *, unnest(range(1, size)) as k from candidates) c
+    join phrases l on l.lang = c.lang and l.phrase = array_to_string(c.w[1 : k], ' ')
+    join phrases r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1 :], ' ')
+    qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1
+),
+held as (
+    select lang, array_to_string(w[i : i + m - 1], ' ') as phrase, max(a) as longer
+    from (select *, unnest(range(1, size)) as i from candidates where size > 2), range(2, 4) inner_sizes(m)
+    where m < size and i + m - 1 <= size group by all
+),
+totals as (select lang, sum(f)::bigint as n from phrases where size = 1 group by lang)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from cuts left join held using (lang, phrase) join totals using (lang)
+where longer is null or 100::hugeint * longer < 80::hugeint * a
+qualify rank <= 2000
 """,
 }
