@@ -1,10 +1,12 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every query of the library against its SQL, on the smallest tables."""
 
 import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle_queries import all_oracles
+from table_queries import all_queries
 from tools.check_oracles import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,10 +19,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(all_oracles()) == set(all_queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, name):
     outcome = compare(spark, con, name, FOLDER)
     assert outcome.startswith("ok"), outcome
