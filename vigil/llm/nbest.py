@@ -27,14 +27,16 @@ from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.llm.bytetext import bounded_batches, mix, powers
 
 N_BEST = 4
 SPACE = "▁"
 UNKNOWN_BELOW = 10.0  # a character without a piece scores this below the worst piece
-CACHE_PARTS = 600_000
+CACHE_BYTES = 64 << 20  # of solved parts that a worker keeps
+PART_BYTES = 300  # about what a part takes beside 8 bytes a character
+SLAB_CHARS = 1 << 17  # of parts that are solved at once
 CHUNK_CHARS = 1 << 20
 LONG_PART = 1024
 SLOTS_LOG = 20
@@ -107,6 +109,9 @@ class Model:
         self.index: dict[str, int] = {}
         self.best = np.empty(1024)
         self.behind = np.empty(1024)
+        self.n_ids = np.empty(1024, np.int64)
+        self.whole = np.empty(1024, bool)
+        self.held = 0
         self.encoded: list[bytes] = []
         self.near: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
@@ -272,7 +277,9 @@ class Model:
     def _remember(self, parts, best, behind, ids, known) -> None:
         n = len(self.index)
         while len(self.best) < n + len(parts):
-            self.best, self.behind = np.resize(self.best, 2 * len(self.best)), np.resize(self.behind, 2 * len(self.behind))
+            self.best, self.behind, self.n_ids, self.whole = (
+                np.resize(x, 2 * len(x)) for x in (self.best, self.behind, self.n_ids, self.whole)
+            )
         self.best[n : n + len(parts)] = best
         self.behind[n : n + len(parts)] = behind
         self.index.update(zip(parts, range(n, n + len(parts))))
@@ -282,6 +289,11 @@ class Model:
         for k in np.unique(lacking).tolist():
             own = self._with_bytes(parts[k], ids[known[k] : known[k + 1]])
             self.encoded[n + k] = np.array(own, np.int32).tobytes()
+        # What a part's ids spell is seen once, when it is solved.
+        for k, part in enumerate(parts, n):
+            own = array("i", self.encoded[k])
+            self.n_ids[k], self.whole[k] = len(own), self._spelled(own) == part
+        self.held += sum(map(_bytes_of, parts))
 
     def _with_bytes(self, part: str, ids: np.ndarray) -> list[int]:
         out, at = [], 0
@@ -314,12 +326,19 @@ class Model:
             split = [[b for p in own for b in (self.cut(p) if len(p) > LONG_PART else [p])] for own in split]
             wanted = set().union(*split)
         new = wanted.difference(self.index)
-        if len(self.index) + len(new) > CACHE_PARTS and self.index:
+        if self.index and self.held + sum(map(_bytes_of, new)) > CACHE_BYTES:
             self.forget()
             new = wanted
-        short = [p for p in new if len(p) <= LONG_PART]
-        if short:
-            self.solve(short)
+        slab: list[str] = []
+        size = 0
+        for part in sorted((p for p in new if len(p) <= LONG_PART), key=len):
+            if slab and size + len(part) > SLAB_CHARS:
+                self.solve(slab)
+                slab, size = [], 0
+            slab.append(part)
+            size += len(part)
+        if slab:
+            self.solve(slab)
         for part in new:
             if len(part) > LONG_PART:
                 found = self.n_best_long(part, 2)
@@ -350,29 +369,51 @@ class Model:
         encoded = self.encoded
         return b"".join([encoded[i] for i in k.tolist()]), [float(total - loss) for loss, _ in ways], [c for _, c in ways]
 
-    def segmentations(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]]) -> list[bytes]:
-        """Ids of each of the n best, from what `encode` says that each changes."""
-        best = [self.encoded[self.index[p]] for p in parts]
+    def patches(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]]) -> list[tuple[int, int, int, tuple[int, ...]]]:
+        """(rank, place, count, ids): at this place of the best ids, so many are replaced by others
+        in the segmentation of this rank; the last place of a rank comes first."""
         out = []
-        for change in changes:
-            own = best.copy()
-            for p, ids in change.items():
-                own[p] = np.array(ids, np.int32).tobytes()
-            out.append(b"".join(own))
+        if any(changes):
+            at = self.n_ids[np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))]
+            end = np.cumsum(at)
+            for rank, change in enumerate(changes):
+                out += [(rank, int(end[p] - at[p]), int(at[p]), change[p]) for p in sorted(change, reverse=True)]
+        return out
+
+    def segmentations(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]], raw: bytes | None = None) -> list[bytes]:
+        """Ids of each of the n best, from what `encode` says that each changes."""
+        if raw is None:
+            raw = b"".join([self.encoded[self.index[p]] for p in parts])
+        out = [raw] * len(changes)
+        for rank, place, count, ids in self.patches(parts, changes):
+            own = out[rank]
+            out[rank] = own[: 4 * place] + np.array(ids, np.int32).tobytes() + own[4 * (place + count) :]
         return out
 
+    def round_trip(self, text: str, parts: list[str]) -> bool:
+        """Whether decoding the best ids gives the text back. Parts hold whole characters, so
+        the text's ids spell what its parts' ids spell."""
+        return SPACE not in text and bool(self.whole[[self.index[p] for p in parts]].all())
+
+    def _spelled(self, ids) -> str:
+        """Pieces side by side. Bytes that are no valid UTF-8 become U+FFFD."""
+        if self.high.isdisjoint(ids):
+            return "".join(map(self.plain.__getitem__, ids))
+        out = []
+        for is_byte, run in groupby(ids, self.byte_of.__contains__):
+            if is_byte:
+                out.append(bytes(map(self.byte_of.__getitem__, run)).decode("utf-8", "replace"))
+            else:
+                out.extend(map(self.text.__getitem__, run))
+        return "".join(out)
+
     def decode(self, ids: list[int]) -> str:
         """The text that ids stand for. Bytes that are no valid UTF-8 become U+FFFD."""
-        if self.high.isdisjoint(ids):
-            out = list(map(self.plain.__getitem__, ids))
-        else:
-            out = []
-            for is_byte, run in groupby(ids, self.byte_of.__contains__):
-                if is_byte:
-                    out.append(bytes(map(self.byte_of.__getitem__, run)).decode("utf-8", "replace"))
-                else:
-                    out.extend(map(self.text.__getitem__, run))
-        return "".join(out).replace(SPACE, " ").removeprefix(" ")
+        return self._spelled(ids).replace(SPACE, " ").removeprefix(" ")
+
+
+def _bytes_of(part: str) -> int:
+    return PART_BYTES + 8 * len(part)
 
 
 def model(path: str) -> Model:
@@ -382,53 +423,67 @@ def model(path: str) -> Model:
 
 
 def encoder(spark: SparkSession, path: str, n: int = N_BEST, with_ids: bool = False):
-    """Column of texts to struct(n_pieces, scores, ids_sha256, round_trip, ids, n_best_sha256, n_best_ids).
-
-    `scores` are those of the up to n best segmentations, best first, and `n_best_ids` their ids
-    in that order; `ids` are the first one's. `ids_sha256` is of those as little-endian 32-bit
-    numbers, `n_best_sha256` of all n, each after its number of ids. The ids themselves come
-    with `with_ids`, else null. `round_trip` says whether decoding the ids gives the text back, which it does unless
-    the text has a space mark (U+2581) itself. Null counts as empty, which has no piece.
+    """Column of texts to struct(n_pieces, scores, ids_sha256, round_trip, ids, n_best_sha256, changes).
+
+    `scores` are those of the up to n best segmentations, best first; `ids` are the first one's.
+    The others are put out as `changes`, (rank, place, count, ids): at this place of `ids`,
+    counted from 0, so many are replaced (see `n_best_ids`). `ids_sha256` is of the first ids as
+    little-endian 32-bit numbers, `n_best_sha256` of all n, each after its number of ids. The
+    ids and changes come with `with_ids`, else null. `round_trip` says whether decoding the ids
+    gives the text back, which it does unless the text has a space mark (U+2581) itself. Null
+    counts as empty, which has no piece.
     """
     bounded_batches(spark)
+    change = pa.struct([("rank", pa.int32()), ("place", pa.int32()), ("count", pa.int32()), ("ids", pa.list_(pa.int32()))])
+    kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.string(), pa.list_(change)]
+    names = ["n_pieces", "scores", "ids_sha256", "round_trip", "ids", "n_best_sha256", "changes"]
+
+    def slab(own: Model, texts: list[str]) -> pa.StructArray:
+        rows = []
+        for text, parts in zip(texts, own.prepare(texts)):
+            raw, scores, changes = own.encode(parts, n)
+            every = hashlib.sha256()
+            for way in own.segmentations(parts, changes, raw):
+                every.update((len(way) // 4).to_bytes(4, "little") + way)
+            patches = [dict(zip(("rank", "place", "count", "ids"), x)) for x in own.patches(parts, changes)] if with_ids else None
+            rows.append(
+                (
+                    len(raw) // 4, scores, hashlib.sha256(raw).hexdigest(), own.round_trip(text, parts),
+                    np.frombuffer(raw, np.int32) if with_ids else None, every.hexdigest(), patches,
+                )
+            )
+        return pa.StructArray.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
 
     def run(column: pa.Array) -> pa.Array:
         own, texts = model(path), [t or "" for t in column.to_pylist()]
-        rows = []
+        out = []
         first = size = 0
         for i in range(len(texts) + 1):
             if i < len(texts) and (i == first or size + len(texts[i]) <= CHUNK_CHARS):
                 size += len(texts[i])
                 continue
-            for text, parts in zip(texts[first:i], own.prepare(texts[first:i])):
-                raw, scores, changes = own.encode(parts, n)
-                ids = np.frombuffer(raw, np.int32)
-                ranks = own.segmentations(parts, changes)
-                every = hashlib.sha256()
-                for way in ranks:
-                    every.update((len(way) // 4).to_bytes(4, "little") + way)
-                rows.append(
-                    (
-                        len(ids), scores, hashlib.sha256(raw).hexdigest(), own.decode(ids.tolist()) == text,
-                        ids if with_ids else None, every.hexdigest(),
-                        [np.frombuffer(way, np.int32) for way in ranks] if with_ids else None,
-                    )
-                )
+            out.append(slab(own, texts[first:i]))
             first, size = i, len(texts[i]) if i < len(texts) else 0
-        number = pa.list_(pa.int32())
-        kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), number, pa.string(), pa.list_(number)]
-        return pa.StructArray.from_arrays(
-            [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
-            ["n_pieces", "scores", "ids_sha256", "round_trip", "ids", "n_best_sha256", "n_best_ids"],
-        )
+        return pa.concat_arrays(out)
 
     return F.arrow_udf(
         run,
         """struct<n_pieces:bigint,scores:array<double>,ids_sha256:string,round_trip:boolean,ids:array<int>,
-           n_best_sha256:string,n_best_ids:array<array<int>>>""",
+           n_best_sha256:string,changes:array<struct<rank:int,place:int,count:int,ids:array<int>>>>""",
     )
 
 
+def n_best_ids(ids: Column, scores: Column, changes: Column) -> Column:
+    """Ids of each of the n best segmentations, from what `encoder` puts out."""
+
+    def changed(acc: Column, c: Column) -> Column:
+        rest = F.slice(acc, c["place"] + c["count"] + 1, F.greatest(F.size(acc) - c["place"] - c["count"], F.lit(0)))
+        return F.concat(F.slice(acc, F.lit(1), c["place"]), c["ids"], rest)
+
+    ranks = F.sequence(F.lit(0), F.size(scores) - 1)
+    return F.transform(ranks, lambda r: F.aggregate(F.filter(changes, lambda c: c["rank"] == r), ids, changed))
+
+
 def decoder(spark: SparkSession, path: str):
     """Column of ids to the text that they stand for; null gives null."""
     bounded_batches(spark)
@@ -448,10 +503,12 @@ def decoding(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
 def n_best_encoding(
     docs: DataFrame, path: str, n: int = N_BEST, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id and the fields of `encoder` for each row of docs.
+    """doc_id and the fields of `encoder` for each row of docs; with ids also `n_best_ids`, those of
+    each of the n best segmentations.
 
     Rows that repeat, or share an id, or have none, are encoded one by one; other columns are
     not read; an empty table gives an empty result.
     """
     encode = encoder(docs.sparkSession, path, n, with_ids)
-    return docs.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    out = docs.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    return out.withColumn("n_best_ids", n_best_ids(F.col("ids"), F.col("scores"), F.col("changes"))) if with_ids else out

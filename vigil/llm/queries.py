@@ -71,7 +71,8 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return nbest.n_best_encoding(read(spark, sf, "documents"), path, with_ids=False).drop("ids", "n_best_ids")
+    encode = nbest.encoder(spark, path, with_ids=True)
+    return read(spark, sf, "documents").select("doc_id", encode("text").alias("r")).select("doc_id", "r.*")
 
 
 def op9_minhash(spark: SparkSession, sf: str) -> DataFrame:
