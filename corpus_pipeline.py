@@ -48,7 +48,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source and the ids and scores of the n best segmentations."""
+    """doc_id, lang, source and the scores of the n best segmentations, with the ids of the best
+    and what each other one changes of them (`nbest.n_best_ids` makes those out of it)."""
     encode = nbest.encoder(spark, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
     return docs.select("doc_id", "lang", "source", encode("text").alias("r")).select("doc_id", "lang", "source", "r.*")
 
