@@ -86,6 +86,10 @@ OPERATORS: dict[str, str] = {
         FROM events, (VALUES (0), (2)) t(spelling) WHERE event_type <> 'view'""",
     "stream_ingest": """SELECT CAST(o_orderkey AS VARCHAR) AS "order", CAST(o_custkey AS VARCHAR) AS customer__id,
         o_orderpriority AS customer__rank, o_orderstatus = 'F' AS done, 'lims' AS _source, false AS _processed FROM orders""",
+    "ingest_array_document": """SELECT CAST(o_orderkey AS VARCHAR) AS "order", CAST(o_custkey AS VARCHAR) AS customer__id,
+        o_orderpriority AS customer__rank, concat('],{"', o_orderstatus) AS marks__0__status FROM orders""",
+    "ingest_archived": """SELECT CAST(o_orderkey AS VARCHAR) AS "order", CAST(o_custkey AS VARCHAR) AS customer__id,
+        0 AS n_left, 5 AS n_archived FROM orders""",
     "stream_ingest_loads": """SELECT count(*) AS rows_inserted, count(*) AS rows_deduped,
         'customer__id,customer__rank,done,order' AS columns_added FROM orders""",
     "preview_columns": """SELECT * FROM (VALUES ('order', 'string', true), ('customer__id', 'string', true),

@@ -14,7 +14,7 @@ from vigil.operators import calendar as cal, conform, dedup, lookup, rollup
 from vigil.plans import dimensions as dim, facts, gold, silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
 from vigil.session import configure, shared_dir
-from vigil.sources.files import exists
+from vigil.sources.files import exists, list_files
 from vigil.sources.flatten import exact_json, flatten, leaf_rows, leaf_types, record_hash
 from vigil.sources.landing import LandingTable
 from vigil.sources.preview import preview_schema
@@ -178,6 +178,61 @@ def stream_ingest(spark, sf):
     return table.select("order", "customer__id", "customer__rank", "done", "_source", "_processed")
 
 
+def _place(spark, df: DataFrame, folder: str, name: str, packed: bool = False) -> None:
+    """One JSON file of this name; packed ones do not say so in their name."""
+    apart = f"{folder}-{uuid.uuid4().hex}"
+    writer = df.coalesce(1).write
+    (writer.option("compression", "gzip") if packed else writer).json(apart)
+    (file,) = [f for f in list_files(spark, apart) if f.length]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    store.delete(path(f"{folder}/{name}"), False)
+    assert store.rename(path(file.path), path(f"{folder}/{name}"))
+
+
+def ingest_archived(spark, sf):
+    """Two loads with archiving on: a plain file, a packed one that does not say so and one named
+    `_late.json`; then other records under the first name, and a file that is older than all.
+    Also how many files are left where they arrived, and how many are in the archive."""
+    root = f"{shared_dir(spark)}/vigil-{uuid.uuid4().hex}"
+    folder = f"{root}/raw/lims_raw/records"
+    o = read(spark, sf, "orders")
+    body = o.select(F.col("o_orderkey").alias("order"), F.struct(F.col("o_custkey").alias("id")).alias("customer"))
+    part = [body.filter(F.col("order") % 5 == k) for k in range(5)]
+    _place(spark, part[0], folder, "a.json")
+    _place(spark, part[1], folder, "b.json", packed=True)
+    _place(spark, part[2].union(part[0]), folder, "_late.json")
+    for turn in range(2):
+        if turn:
+            _place(spark, part[3], folder, "a.json")
+            _place(spark, part[4].union(part[1]), folder, "old.json")
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/old.json")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(path, 1_000_000_000_000, -1)
+        ingest(spark, source_for("lims_raw"), f"{root}/raw", f"{root}/landing", f"{root}/ckpt")
+    left, kept = (len([f for f in list_files(spark, x) if f.length]) for x in (folder, f"{root}/raw/_processed_lims_raw/records"))
+    table = LandingTable(spark, f"{root}/landing", "lims_raw").read()
+    return table.select("order", "customer__id", F.lit(left).alias("n_left"), F.lit(kept).alias("n_archived"))
+
+
+def ingest_array_document(spark, sf):
+    """Orders as one pretty-printed array, a document of the size of the table."""
+    root = f"{shared_dir(spark)}/vigil-{uuid.uuid4().hex}"
+    o = read(spark, sf, "orders")
+    body = F.struct(
+        F.col("o_orderkey").alias("order"),
+        F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("rank")).alias("customer"),
+        F.array(F.struct(F.concat(F.lit('],{"'), "o_orderstatus").alias("status"))).alias("marks"),
+    )
+    first = F.monotonically_increasing_id() == 0
+    elements = o.select(F.concat(F.when(first, "[").otherwise(","), F.to_json(body, {"pretty": "true"})).alias("value"))
+    end = spark.range(1).select(F.lit("]").alias("value"))
+    elements.union(end).coalesce(1).write.text(f"{root}/raw/lims_raw/records")
+    ingest(spark, source_for("lims_raw"), f"{root}/raw", f"{root}/landing", f"{root}/ckpt", archive=False)
+    table = LandingTable(spark, f"{root}/landing", "lims_raw").read()
+    return table.select("order", "customer__id", "customer__rank", "marks__0__status")
+
+
 def stream_ingest_loads(spark, sf):
     """What the load reports: files, new rows, repeats, added columns."""
     root, _ = _landed_orders(spark, sf)
@@ -657,7 +712,7 @@ def domain_union_summary(spark, sf):
 
 OPERATORS = [
     confirmed_by_week_and_county, flatten_events, flatten_paths, flatten_leaf_counts,
-    record_hash_dedup, stream_ingest, stream_ingest_loads, preview_columns, blank_to_null,
+    record_hash_dedup, stream_ingest, ingest_array_document, ingest_archived, stream_ingest_loads, preview_columns, blank_to_null,
     yes_no_flag, sex_normalised, safe_date_parse, safe_timestamp_parse, timestamp_profile,
     bounded_numbers, latest_per_key, representative_row, duplicate_fact_keys,
     calendar_activity, date_key_lookup, role_playing_dates, epi_week_range_join, local_date,

@@ -2,7 +2,7 @@
 
 A file holds one object, an array, or one object per line, plain or gzipped. Content
 decides, not the name: if every non-blank line is JSON by itself the file is read by
-line (and split across tasks); otherwise it is one document.
+line; otherwise it is one document (`documents`). Both are split across tasks.
 """
 
 from __future__ import annotations
@@ -18,10 +18,13 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vigil.sources.documents import OPENS, document_records
 from vigil.sources.files import SourceFile, packed_files
 from vigil.sources.flatten import exact_json
 
 _SCHEMA = "value string, file_path string, modified timestamp, block_start bigint"
+LINE_BYTES = 64 << 20  # a longer line is no record by itself
+UNPACK_BYTES = 4 << 20
 _META = ["_metadata.file_path", "_metadata.file_modification_time as modified"]
 
 
@@ -37,17 +40,13 @@ def _same(path: str) -> str:
     return unquote(path).replace("file:///", "file:/")
 
 
-def _unpacked(frames: Iterable[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
-    """Lines (or the whole text) of files whose name hides how they are packed."""
+def _unpacked(frames: Iterable[pd.DataFrame], sep: str) -> Iterator[pd.DataFrame]:
+    """Text, in pieces that end at `sep`, of files whose name hides how they are packed."""
     for frame in frames:
         for row in frame.itertuples(index=False):
             raw = io.BytesIO(row.content)
             packed = row.content[:2] == b"\x1f\x8b"
-            text = io.TextIOWrapper(gzip.open(raw) if packed else raw, encoding="utf-8")
-            while True:
-                values = [text.read()] if whole else text.readlines(1 << 22)
-                if not values or values == [""]:
-                    break
+            for values in _pieces(gzip.open(raw) if packed else raw, sep.encode()):
                 yield pd.DataFrame(
                     {
                         "value": values,
@@ -58,31 +57,49 @@ def _unpacked(frames: Iterable[pd.DataFrame], whole: bool) -> Iterator[pd.DataFr
                 )
 
 
+def _pieces(stream, sep: bytes) -> Iterator[list[str]]:
+    """Text of a stream cut at `sep`, unpacked a little at a time."""
+    held: list[bytes] = []
+    while chunk := stream.read(UNPACK_BYTES):
+        first, *more = chunk.split(sep)
+        held.append(first)
+        if more:
+            yield [x.decode("utf-8", "replace") for x in (b"".join(held), *more[:-1])]
+            held = [more[-1]]
+    if any(held):
+        yield [b"".join(held).decode("utf-8", "replace")]
+
+
 def _literal(path: str) -> str:
     """A path as a pattern that matches only itself."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def _texts(spark: SparkSession, files: list[SourceFile], whole: bool) -> DataFrame:
-    """Text of the files by line, or one row per file."""
-    plain, hidden = [], []
+def _texts(spark: SparkSession, files: list[SourceFile], sep: str) -> DataFrame:
+    """Text of the files in pieces that end at `sep`. Lines over LINE_BYTES are left out of
+    files that are not packed; the column `size` tells that some are."""
+    plain, hidden, named_packed = [], [], []
     packed = packed_files(spark, files)
     for f in files:
         named = f.path.endswith(".gz")
-        (plain if named == (f.path in packed) else hidden).append(_literal(f.path))
+        kind = hidden if named != (f.path in packed) else named_packed if named else plain
+        kind.append(_literal(f.path))
+    columns = ["value", *_META, "_metadata.file_block_start as block_start"]
     parts = []
     if plain:
-        parts.append(
-            spark.read.text(plain, wholetext=whole).selectExpr(
-                "value", *_META, "_metadata.file_block_start as block_start"
-            )
-        )
+        reader = spark.read.option("lineSep", sep)
+        if sep == "\n":
+            reader = reader.option("mapreduce.input.linerecordreader.line.maxlength", str(LINE_BYTES))
+        parts.append(reader.text(plain).selectExpr(*columns, "_metadata.file_size as size"))
+    if named_packed:
+        parts.append(spark.read.option("lineSep", sep).text(named_packed).selectExpr(*columns, "0L as size"))
     if hidden:
         parts.append(
             spark.read.format("binaryFile")
             .load(hidden)
             .selectExpr("content", *_META)
-            .mapInPandas(lambda frames: _unpacked(frames, whole), _SCHEMA)
+            .mapInPandas(lambda frames: _unpacked(frames, sep), _SCHEMA)
+            .selectExpr("*", "0L as size")
         )
     return reduce(DataFrame.union, parts)
 
@@ -90,10 +107,12 @@ def _texts(spark: SparkSession, files: list[SourceFile], whole: bool) -> DataFra
 def _parsed(texts: DataFrame) -> DataFrame:
     """Wrapped in brackets, so that a second value after the first is an error."""
     wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    return texts.filter(F.col("value").rlike(r"\S")).select(
-        F.try_parse_json(wrapped).alias("json"),
-        F.try_parse_json(exact_json(wrapped)).alias("exact"),
-        "file_path", "modified", "block_start",
+    filled = F.col("value").rlike(r"\S")
+    return texts.select(
+        F.when(filled, F.try_parse_json(wrapped)).alias("json"),
+        F.when(filled, F.try_parse_json(exact_json(wrapped))).alias("exact"),
+        filled.alias("filled"),
+        "file_path", "modified", "block_start", F.octet_length("value").alias("n_bytes"), "size",
     )
 
 
@@ -102,33 +121,56 @@ def open_records(spark: SparkSession, files: list[SourceFile]) -> Iterator[DataF
     """Columns: record, exact, file_path, modified, block_start, seq.
 
     `exact` is the record with its numbers told apart, for hashing; null if it is the same.
-    `seq` rises by one from record to record inside a (file_path, block_start). Parsed text
-    and records are kept while the block runs: each file is parsed once, and `seq` comes
-    from one plan, so it is the same for every reader, also after a lost executor.
+    `seq` rises by one from record to record inside a (file_path, block_start). Records are
+    kept while the block runs: each is parsed once, and `seq` comes from one plan, so it is the
+    same for every reader, also after a lost executor.
     """
-    lines = _parsed(_texts(spark, files, whole=False)).persist()
-    kept = [lines]
+    lines = _texts(spark, files, "\n")
+    parsed = _parsed(lines).persist()
+    kept = [parsed]
     try:
         # One row per file of this batch comes back to the driver.
-        forms = lines.groupBy("file_path").agg(F.count("*").alias("n"), F.count("json").alias("ok"))
-        documents = [r.file_path for r in forms.collect() if r.ok < r.n]
-        parsed = lines
+        forms = parsed.groupBy("file_path").agg(
+            F.count_if("filled").alias("n"), F.count("json").alias("ok"),
+            # Each line ends with one byte that is not read; a mark of three may stand first.
+            (F.max("size") - F.sum(F.col("n_bytes") + 1) > 3).alias("unread"),
+        )
+        state = {_same(r.file_path): r for r in forms.collect()}
+        by_line = {p for p, r in state.items() if r.ok == r.n and not r.unread}
+        # A file of one line that is too long gave no line at all.
+        documents = [f for f in files if _same(f.path) not in by_line]
+        records = parsed
+        if apart := [r.file_path for p, r in state.items() if p not in by_line]:
+            records = parsed.filter(~F.col("file_path").isin(apart))
+        every = _exploded(records)
         if documents:
-            wanted = {_same(d) for d in documents}
-            whole = _parsed(_texts(spark, [f for f in files if _same(f.path) in wanted], True))
-            bad = whole.filter("json is null").select("file_path").collect()
+            cut, bad = document_records(_texts(spark, documents, OPENS).drop("size"))
+            opened = _opened(cut).persist()
+            kept.append(opened)
+            bad = {_same(p) for p in bad} | {_same(r.file_path) for r in opened.filter("json is null or seq < 0").select("file_path").distinct().collect()}
             if bad:
-                names = {_same(r.file_path) for r in bad}
-                raise MalformedJson([f.path for f in files if _same(f.path) in names])
-            parsed = lines.filter(~F.col("file_path").isin(documents)).union(whole)
-        records = _exploded(parsed).persist()
-        kept.append(records)
-        yield records
+                raise MalformedJson([f.path for f in documents if _same(f.path) in bad])
+            every = every.union(opened.select("record", "exact", "file_path", "modified", "block_start", "seq"))
+        every = every.persist()
+        kept.append(every)
+        yield every
     finally:
         for df in kept:
             df.unpersist()
 
 
+def _opened(cut: DataFrame) -> DataFrame:
+    """Records of documents, parsed; json is null where one is no valid JSON."""
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    both = cut.select(
+        F.try_parse_json(wrapped).cast("array<variant>").alias("json"), F.try_parse_json(exact_json(wrapped)).cast("array<variant>").alias("exact"),
+        "file_path", "modified", F.lit(0).cast("bigint").alias("block_start"), F.col("number").alias("seq"),
+    )
+    # Nothing between two commas is no record.
+    one = F.when(F.size("json") == 1, F.col("json"))
+    return both.select(one.alias("json"), F.get("json", F.lit(0)).alias("record"), F.get("exact", F.lit(0)).alias("exact"), "file_path", "modified", "block_start", "seq")
+
+
 def _exploded(parsed: DataFrame) -> DataFrame:
     """A line or document may itself be an array of records."""
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from vigil.session import sized_shuffles
 from vigil.sources.files import (
@@ -53,11 +53,15 @@ def _file_batch_id(table: str, batch: int) -> Column:
 
 
 def _append(
-    table: LandingTable, source: str, fresh: DataFrame, batch: int, now: datetime, max_depth: int,
+    table: LandingTable, source: str, records: DataFrame, batch: int, now: datetime, max_depth: int,
     renamed: dict[str, str],
-) -> list[str]:
-    """Widen the table, write the rows, return the added columns."""
-    leaves = discover(fresh, "record", "id", max_depth)
+) -> tuple[int, list[str]]:
+    """Widen the table, write the new records, return their number and the added columns.
+
+    Columns are found in all records: those of a repeat are those of its first, which has the
+    smaller id or is stored. The new ones are made once, and counted as they are written.
+    """
+    leaves = discover(records, "record", "id", max_depth)
     names, types, added = table.evolve(leaves)
     columns, rescued = flat_columns(F.col("record"), leaves, names, types, max_depth)
     path = F.col("file_path")
@@ -73,8 +77,12 @@ def _append(
         "_processed": F.lit(False),
         "_rescued_data": rescued,
     }
-    table.append(fresh.select(*(c.alias(n) for n, c in {**envelope, **columns}.items())))
-    return added
+    fresh = table.unseen(records)
+    written = Observation()
+    table.append(
+        fresh.select(*(c.alias(n) for n, c in {**envelope, **columns}.items())).observe(written, F.count("*").alias("n"))
+    )
+    return written.get["n"], added
 
 
 def _readable(table: LandingTable, files: list[SourceFile]) -> Iterator[tuple[SourceFile, SourceFile]]:
@@ -131,12 +139,7 @@ def _load(
         placed, total = numbered(table.spark, records, table.reserve_ids)
         told_apart = record_hash(F.col("record"), F.col("exact"))
         hashed = placed.withColumn("_raw_hash", told_apart).drop("exact")
-        fresh = table.unseen(hashed).persist()
-        try:
-            inserted = fresh.count()
-            added = _append(table, source, fresh, batch, now, max_depth, renamed) if inserted else []
-        finally:
-            fresh.unpersist()
+        inserted, added = _append(table, source, hashed, batch, now, max_depth, renamed) if total else (0, [])
     return inserted, total, added
 
 
