@@ -53,6 +53,12 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, which appears at once or not at all."""
+    fs, p = _fs(spark, path)
+    fs.createNewFile(p)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     fs, p = _fs(spark, folder)
     fs.delete(p, True)

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from vigil.operators.dedup import unseen
 from vigil.sources.files import exists
 from vigil.sources.flatten import Leaf
+from vigil.sources.hash_index import HashIndex, Run
 from vigil.sources.naming import distinct_names
 
 ENVELOPE = T.StructType(
@@ -37,6 +37,7 @@ class LandingTable:
         self.base = f"{root.rstrip('/')}/{name}"
         self.data, self.column_list = f"{self.base}/data", f"{self.base}/columns"
         self.loads, self.ids = f"{self.base}/loads", f"{self.base}/ids"
+        self.hashes = HashIndex(spark, f"{self.base}/hashes")
 
     def columns(self) -> list[T.Row]:
         if not exists(self.spark, self.column_list):
@@ -87,10 +88,31 @@ class LandingTable:
             claim.write.mode("append").parquet(self.ids)
         return last
 
-    def unseen(self, records: DataFrame) -> DataFrame:
-        """First record of each hash the table does not hold. Needs `_raw_hash` and `id`."""
-        stored = self.read() if exists(self.spark, self.data) else None
-        return unseen(records, "_raw_hash", "id", stored)
+    def unseen(self, records: DataFrame) -> tuple[DataFrame, Run]:
+        """First record of each hash the table does not hold, and the run of their hashes to hand
+        to `append`. Needs `_raw_hash` and `id`, which must be the same whenever they are read.
 
-    def append(self, rows: DataFrame) -> None:
+        Only hashes and ids are compared; a record itself moves at most once, to meet its id.
+        """
+        self._catch_up()
+        once = records.groupBy("_raw_hash").agg(F.min("id").alias("id"))
+        path = f"{self.base}/arriving"
+        once.write.mode("overwrite").parquet(path)
+        arriving = self.spark.read.schema(once.schema).parquet(path)
+        held = self.hashes.holding(arriving)
+        run = self.hashes.add(arriving if held is None else arriving.join(held, "_raw_hash", "left_anti"))
+        return records.join(self.hashes.read(run).select("id"), "id", "left_semi"), run
+
+    def _catch_up(self) -> None:
+        stored = None
+        if exists(self.spark, self.data):
+            stored = self.spark.read.schema("id bigint, _raw_hash string").parquet(self.data)
+        self.hashes.settle(stored)
+        # Rows of a table from before it had an index, or whose index was lost.
+        if stored is not None and not self.hashes.runs():
+            self.hashes.commit(self.hashes.add(stored))
+
+    def append(self, rows: DataFrame, run: Run) -> None:
+        """Store new rows; their hashes count from then on."""
         rows.write.mode("append").parquet(self.data)
+        self.hashes.commit(run)

@@ -77,10 +77,10 @@ def _append(
         "_processed": F.lit(False),
         "_rescued_data": rescued,
     }
-    fresh = table.unseen(records)
+    fresh, run = table.unseen(records)
     written = Observation()
     table.append(
-        fresh.select(*(c.alias(n) for n, c in {**envelope, **columns}.items())).observe(written, F.count("*").alias("n"))
+        fresh.select(*(c.alias(n) for n, c in {**envelope, **columns}.items())).observe(written, F.count("*").alias("n")), run
     )
     return written.get["n"], added
 
