@@ -499,17 +499,36 @@ MODELS: dict[str, str] = {
             lag(total_cases) OVER (PARTITION BY {_GROUP} ORDER BY start_of_week) AS previous_week_cases
             FROM (SELECT {_WEEK}, {_GROUP}, {_CASE_SUMS} FROM case_rows WHERE start_of_week IS NOT NULL GROUP BY ALL)
             WINDOW ytd AS (PARTITION BY {_GROUP}, epi_year ORDER BY epi_week ROWS UNBOUNDED PRECEDING))""",
+    "border_rows": """SELECT reporting_date AS d, reporting_county AS county, reporting_subcounty AS subcounty, b.ward,
+        coalesce(nullif(trim(point_of_entry, ' '), ''), 'Unknown') AS point_of_entry, facility_id AS mfl_code, facility_name,
+        CASE WHEN confirmed_flag = 1 THEN 'CONFIRMED' WHEN suspected_flag = 1 THEN 'SUSPECTED' ELSE 'NORMAL' END AS classification,
+        result AS test_result, suspected_flag, confirmed_flag, tested_flag,
+        CASE WHEN nullif(trim(screening, ' '), '') IS NULL OR lower(trim(screening, ' ')) IN ('no', 'n', 'false', '0') THEN 0 ELSE 1 END AS screened_flag
+        FROM (SELECT *, CASE WHEN lower(trim(suspected, ' ')) IN ('yes', 'y', 'true', '1') THEN 1 ELSE 0 END AS suspected_flag,
+                CASE WHEN lower(trim(confirmed, ' ')) IN ('yes', 'y', 'true', '1') THEN 1 ELSE 0 END AS confirmed_flag,
+                CASE WHEN lower(trim(tested, ' ')) IN ('yes', 'y', 'true', '1') THEN 1 ELSE 0 END AS tested_flag
+              FROM slv_uhai_cases) b
+        LEFT JOIN dim_facilitylist f ON b.facility_id = f.facility_key""",
     "report_screening_summary": f"""SELECT *, {pct('total_screened', 'total_screening_records')} AS screening_completion_rate,
-        {pct('total_suspected', 'total_screened')} AS suspected_screening_rate
+        {pct('total_suspected', 'total_screened')} AS suspected_screening_rate, {pct('total_tested', 'total_suspected')} AS testing_rate,
+        {pct('total_confirmed', 'total_tested')} AS positivity_rate, {pct('total_confirmed', 'total_screened')} AS confirmed_screening_rate
         FROM (SELECT reporting_date AS screening_date, reporting_year AS screening_year,
             reporting_month_number AS screening_month_number, trim(reporting_month_name) AS screening_month_name,
             reporting_epi_week_key AS epi_week_key, reporting_epi_year AS epi_year, reporting_epi_week AS epi_week,
             reporting_epi_week_label AS epi_week_label, reporting_epi_week_start_date AS start_of_week,
-            reporting_epi_week_end_date AS end_of_week, reporting_point_of_entry AS point_of_entry, source_system,
-            reporting_screening_category AS classification, count(*) AS total_screening_records,
+            reporting_epi_week_end_date AS end_of_week, NULL::VARCHAR AS county, NULL::VARCHAR AS subcounty, NULL::VARCHAR AS ward,
+            reporting_point_of_entry AS point_of_entry, NULL::VARCHAR AS mfl_code, NULL::VARCHAR AS facility_name, source_system,
+            reporting_screening_category AS classification, NULL::VARCHAR AS test_result, count(*) AS total_screening_records,
             count(*) FILTER (screened) AS total_screened,
-            sum(suspected_screening_count) AS total_suspected, sum(flagged_screening_count) AS total_flagged
-            FROM report_screening GROUP BY ALL)""",
+            sum(suspected_screening_count) AS total_suspected, sum(flagged_screening_count) AS total_flagged,
+            0::BIGINT AS total_confirmed, 0::BIGINT AS total_tested
+            FROM report_screening GROUP BY ALL
+        UNION ALL BY NAME SELECT d AS screening_date, year(d) AS screening_year, month(d) AS screening_month_number,
+            monthname(d) AS screening_month_name, {sunday_week('d')}, county, subcounty, ward, point_of_entry, mfl_code,
+            facility_name, 'UHAI' AS source_system, classification, test_result, count(*) AS total_screening_records,
+            sum(screened_flag) AS total_screened, sum(suspected_flag) AS total_suspected, sum(suspected_flag) AS total_flagged,
+            sum(confirmed_flag) AS total_confirmed, sum(tested_flag) AS total_tested
+            FROM border_rows GROUP BY ALL)""",
     "lab_days": """SELECT r.*, coalesce(reporting_result_date, reporting_collection_date) AS d, f.county, f.subcounty, f.facility_name
         FROM report_lab_result r LEFT JOIN dim_facilitylist f ON r.requesting_facility_key = f.facility_key""",
     "report_laboratory_summary": f"""SELECT *, {pct('positive_tests', '(positive_tests + negative_tests + inconclusive_tests)')} AS positivity_rate,
@@ -524,22 +543,28 @@ MODELS: dict[str, str] = {
             sum(unknown_result_count) AS unknown_tests, sum(other_result_count) AS other_tests
             FROM lab_days GROUP BY ALL)""",
     "report_geographic_summary": f"""SELECT activity_date, county, subcounty, point_of_entry, facility, total_cases, confirmed_cases,
-        deaths, total_screening_records, total_screened, suspected_screenings, laboratory_tests, positive_tests,
+        deaths, total_screening_records, total_screened, suspected_screenings, confirmed_screenings, tested_screenings,
+        laboratory_tests, positive_tests,
         negative_tests, inconclusive_tests, {sunday_week('activity_date')}, year(activity_date) AS activity_year,
         month(activity_date) AS activity_month_number, monthname(activity_date) AS activity_month_name,
         {pct('confirmed_cases', 'total_cases')} AS confirmation_rate, {pct('deaths', 'confirmed_cases')} AS case_fatality_rate,
         {pct('suspected_screenings', 'total_screened')} AS suspected_screening_rate,
+        {pct('tested_screenings', 'suspected_screenings')} AS screening_testing_rate,
+        {pct('confirmed_screenings', 'tested_screenings')} AS screening_positivity_rate,
         {pct('positive_tests', '(positive_tests + negative_tests + inconclusive_tests)')} AS laboratory_positivity_rate
         FROM (SELECT activity_date, county, subcounty, point_of_entry, facility, sum(a) AS total_cases, sum(b) AS confirmed_cases,
             sum(c) AS deaths, sum(s) AS total_screening_records, sum(t) AS total_screened, sum(u) AS suspected_screenings,
+            sum(v) AS confirmed_screenings, sum(w) AS tested_screenings,
             sum(l) AS laboratory_tests, sum(p) AS positive_tests, sum(q) AS negative_tests, sum(i) AS inconclusive_tests
         FROM (SELECT d AS activity_date, county, subcounty, NULL AS point_of_entry, health_facility AS facility, n AS a,
-                confirmed AS b, died AS c, 0 AS s, 0 AS t, 0 AS u, 0 AS l, 0 AS p, 0 AS q, 0 AS i
+                confirmed AS b, died AS c, 0 AS s, 0 AS t, 0 AS u, 0 AS v, 0 AS w, 0 AS l, 0 AS p, 0 AS q, 0 AS i
               FROM case_rows WHERE record_type = 'case'
             UNION ALL SELECT reporting_date, NULL, NULL, reporting_point_of_entry, NULL, 0, 0, 0, 1,
-                CASE WHEN screened THEN 1 ELSE 0 END, suspected_screening_count, 0, 0, 0, 0
+                CASE WHEN screened THEN 1 ELSE 0 END, suspected_screening_count, 0, 0, 0, 0, 0, 0
               FROM report_screening
-            UNION ALL SELECT d, county, subcounty, NULL, facility_name, 0, 0, 0, 0, 0, 0, 1, positive_test_count,
+            UNION ALL SELECT d, county, subcounty, point_of_entry, facility_name, 0, 0, 0, 1, screened_flag, suspected_flag,
+                confirmed_flag, tested_flag, 0, 0, 0, 0 FROM border_rows
+            UNION ALL SELECT d, county, subcounty, NULL, facility_name, 0, 0, 0, 0, 0, 0, 0, 0, 1, positive_test_count,
                 negative_test_count, inconclusive_test_count FROM lab_days) GROUP BY ALL)""",
 }
 

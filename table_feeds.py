@@ -143,7 +143,7 @@ BORDER = f"""
         {words(_c, 2, ['passport', ''])} AS identifier_type,
         concat('ID', {_c}) AS identifier,
         {words(_c, 3, ['yes', 'no', ''])} AS suspected,
-        'done' AS screening,
+        {words(_c, 5, ['done', 'yes', 'No', '', ' '])} AS screening,
         {words(_c, 4, ['yes', '', 'no', ' '])} AS confirmed,
         '' AS died,
         {words(_c, 2, ['', 'yes'])} AS recovered,
@@ -152,8 +152,8 @@ BORDER = f"""
         CASE WHEN {_c} % 9 = 0 THEN '' ELSE concat('Airport ', {_c} % 50, ' ') END AS point_of_entry,
         concat('County ', c_nationkey) AS reporting_county,
         c_mktsegment AS reporting_sub_county,
-        '' AS ward,
-        concat('F', {_c} % 100) AS facility_fid,
+        CASE WHEN {_c} % 2 = 0 THEN '' ELSE concat('Ward ', {_c} % 5) END AS ward,
+        CASE WHEN {_c} % 3 = 0 THEN concat('F', {_c} % 100) ELSE concat('', 10000 + {_c} % 13) END AS facility_fid,
         '' AS community_health_unit_chu,
         {pick(_c, 2, ["'2024-02-29'", "''"])} AS reporting_date,
         '10:15' AS reporting_time,

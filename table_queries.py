@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -41,12 +40,17 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def settings(spark: SparkSession, sf: str) -> Settings:
-    """Calendar bounds taken from the tables; the last order day stands for today."""
-    first, today = read(spark, sf, "orders").agg(
-        F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))
-    ).first()
-    (last,) = read(spark, sf, "events").agg(F.to_date(F.max("ts"))).first()
-    return Settings(as_of=today, spine_start=first, spine_end=last)
+    """Calendar bounds from the tables, as part of the plan; the last order day stands for today."""
+    (today,) = read(spark, sf, "orders").agg(F.to_date(F.max("o_orderdate"))).first()
+    return Settings(as_of=today, spine_bounds=spine_bounds(spark, sf))
+
+
+def spine_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """first_day and last_day: from the first order to the last event."""
+    none = F.lit(None).cast("date")
+    first = read(spark, sf, "orders").select(F.to_date("o_orderdate").alias("first_day"), none.alias("last_day"))
+    later = read(spark, sf, "events").select(none, F.to_date("ts"))
+    return first.union(later).agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
@@ -82,7 +86,7 @@ def model(name: str):
 def confirmed_by_week_and_county(spark: SparkSession, sf: str) -> DataFrame:
     """The whole chain in one plan: landing rows to confirmed cases per week and county."""
     s = settings(spark, sf)
-    dates = dim.dim_date(spark, s.spine_start, s.spine_end)
+    dates = dim.dim_date(spark, bounds=s.spine_bounds)
     cases = silver.cases(spark_feed(spark, sf, "adam_cases_raw"))
     report = gold.case_investigation(
         facts.case_investigations(cases, dates), dates, dim.dim_epiweek(dates, s.as_of)
@@ -396,10 +400,10 @@ def duplicate_fact_keys(spark, sf):
 
 
 def _spine(spark, sf) -> DataFrame:
-    first, last = read(spark, sf, "orders").agg(
-        F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))
-    ).first()
-    return cal.date_attributes(cal.date_spine(spark, first, last + timedelta(days=1)))
+    bounds = read(spark, sf, "orders").agg(
+        F.to_date(F.min("o_orderdate")).alias("first_day"), F.date_add(F.to_date(F.max("o_orderdate")), 1).alias("last_day")
+    )
+    return cal.date_attributes(cal.spine_over(bounds))
 
 
 def calendar_activity(spark, sf):

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.plans import summaries
 from vigil.plans import silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
 from vigil.sources.landing import LandingTable
@@ -183,15 +184,35 @@ def test_summaries(house):
     # All four dated cases, also the one of 2019, before the calendar starts.
     assert sum(r.total_cases for r in trend) == 4 and sum(r.deaths for r in trend) == 1
     assert trend[0].start_of_week == date(2019, 12, 29) and trend[0].total_cases == 1
-    screened = house.table("report_screening_summary").agg(F.sum("total_screened")).first()
-    assert screened[0] == 2
+    summary = house.table("report_screening_summary")
+    assert summary.filter("source_system = 'ADAM'").agg(F.sum("total_screened")).first()[0] == 2
+    border = house.table("slv_uhai_cases").count()
+    assert summary.filter("source_system = 'UHAI'").agg(F.sum("total_screening_records")).first()[0] == border > 0
     whole = house.table("report_case_distribution").agg(F.sum("total_cases"), F.sum("deaths")).first()
     assert tuple(whole) == (5, 1)
     labs = house.table("report_laboratory_summary").agg(F.sum("total_tests")).first()
     assert labs[0] == 4
     geo = house.table("report_geographic_summary").agg(
         F.sum("total_cases"), F.sum("total_screening_records"), F.sum("laboratory_tests")).first()
-    assert tuple(geo) == (4, 4, 4)
+    assert tuple(geo) == (4, 4 + border, 4)
+
+
+def test_screenings_of_the_second_system(spark):
+    columns = "screening, suspected, confirmed, tested, result, facility_id, point_of_entry, reporting_date"
+    rows = [
+        ("done", "yes", "Yes", "y", "POS", "101", " Busia ", date(2024, 2, 29)), ("done", "yes", "no", "yes", "neg", "101", "Busia", date(2024, 2, 29)),
+        ("No", "", "", "", None, "7", " ", date(2024, 2, 29)), (None, None, None, None, None, None, None, None),
+    ]
+    kinds = ", ".join(f"{c} {'date' if c.endswith('date') else 'string'}" for c in columns.split(", "))
+    border = spark.createDataFrame(rows, kinds).withColumns(
+        {c: F.lit("x") for c in ("reporting_county", "reporting_subcounty", "ward")})
+    facilities = spark.createDataFrame([("101", "Kanduyi")], "facility_key string, facility_name string")
+    found = summaries.border_screenings(border, facilities).orderBy(F.desc("confirmed"), F.desc("suspected"), F.desc("point_of_entry"), "mfl_code")
+    names = ["classification", "screened", "suspected", "confirmed", "tested", "test_result", "facility_name", "point_of_entry", "start_of_week"]
+    week = date(2024, 2, 25)
+    assert sorted((tuple(r) for r in found.select(names).collect()), key=str) == sorted([
+        ("CONFIRMED", 1, 1, 1, 1, "POS", "Kanduyi", "Busia", week), ("SUSPECTED", 1, 1, 0, 1, "neg", "Kanduyi", "Busia", week),
+        ("NORMAL", 0, 0, 0, 0, None, None, "Unknown", week), ("NORMAL", 0, 0, 0, 0, None, None, "Unknown", None)], key=str)
 
 
 def test_rebuild_gives_the_same_rows(house):

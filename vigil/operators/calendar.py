@@ -24,6 +24,14 @@ def date_spine(
     )
 
 
+def spine_over(bounds: DataFrame) -> DataFrame:
+    """One row per day from first_day up to, but without, last_day of a one-row table. The bounds
+    are found when the calendar is, in one query; without them there are no days."""
+    last = F.date_sub("last_day", 1)
+    days = F.when(F.col("first_day") <= last, F.sequence("first_day", last))
+    return bounds.select(F.explode(days).alias("date_day"))
+
+
 def date_attributes(spine: DataFrame) -> DataFrame:
     day = F.col("date_day")
     year, quarter = F.year(day), F.quarter(day)

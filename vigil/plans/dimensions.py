@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigil.functions.keys import surrogate_key, unknown_key
 from vigil.functions.text import blank_to_null
-from vigil.operators.calendar import SPINE_END, SPINE_START, date_attributes, date_spine, epi_weeks
+from vigil.operators.calendar import SPINE_END, SPINE_START, date_attributes, date_spine, epi_weeks, spine_over
 from vigil.operators.conform import canonical_spelling
 from vigil.operators.dedup import representative_row
 
@@ -17,9 +17,11 @@ TEST_IDENTITY = ["test_code", "test_name", "component_code", "specimen_type", "u
 
 def dim_date(
     spark: SparkSession, start: date = SPINE_START, end: date = SPINE_END,
-    include_end: bool = False,
+    include_end: bool = False, bounds: DataFrame | None = None,
 ) -> DataFrame:
-    return date_attributes(date_spine(spark, start, end, include_end))
+    """Days from start to end, or those between first_day and last_day of `bounds`."""
+    spine = date_spine(spark, start, end, include_end) if bounds is None else spine_over(bounds)
+    return date_attributes(spine)
 
 
 def dim_epiweek(dates: DataFrame, as_of: date) -> DataFrame:

@@ -32,6 +32,7 @@ class Settings:
     as_of: date = field(default_factory=date.today)
     spine_start: date = SPINE_START
     spine_end: date = SPINE_END
+    spine_bounds: DataFrame | None = None  # first_day and last_day, in place of the two above
 
 
 # (layer, name, builder). A builder reads landing tables and earlier models by name.
@@ -42,7 +43,7 @@ MODELS: list[tuple[str, str, Callable[[Table, SparkSession, Settings], DataFrame
     ("silver", "slv_uhai_cases", lambda t, s, c: silver.border_cases(t("uhai_raw"))),
     ("silver", "slv_test_time",
      lambda t, s, c: silver.traveller_timestamp_profile(t("adam_travellers_raw"))),
-    ("marts", "dim_date", lambda t, s, c: dim.dim_date(s, c.spine_start, c.spine_end)),
+    ("marts", "dim_date", lambda t, s, c: dim.dim_date(s, c.spine_start, c.spine_end, bounds=c.spine_bounds)),
     ("marts", "dim_epiweek", lambda t, s, c: dim.dim_epiweek(t("dim_date"), c.as_of)),
     ("marts", "dim_facilitylist", lambda t, s, c: dim.dim_facilitylist(t("facility_seed"))),
     ("marts", "dim_laboratory", lambda t, s, c: dim.dim_laboratory(t("slv_lims_results"))),
@@ -87,14 +88,15 @@ MODELS: list[tuple[str, str, Callable[[Table, SparkSession, Settings], DataFrame
          t("report_case_investigation"), t("report_contact_registration"),
          t("report_treatment_outcome"))),
     ("gold", "report_screening_summary",
-     lambda t, s, c: summaries.screening_summary(t("report_screening"))),
+     lambda t, s, c: summaries.screening_summary(
+         t("report_screening"), t("slv_uhai_cases"), t("dim_facilitylist"))),
     ("gold", "report_laboratory_summary",
      lambda t, s, c: summaries.laboratory_summary(t("report_lab_result"), t("dim_facilitylist"))),
     ("gold", "report_geographic_summary",
      lambda t, s, c: summaries.geographic_summary(
          t("report_case_investigation"), t("report_contact_registration"),
          t("report_treatment_outcome"), t("report_screening"), t("report_lab_result"),
-         t("dim_facilitylist"))),
+         t("dim_facilitylist"), t("slv_uhai_cases"))),
 ]
 LANDING_TABLES = ("adam_cases_raw", "adam_travellers_raw", "lims_raw", "uhai_raw")
 _BY_NAME = {name: (layer, build) for layer, name, build in MODELS}

@@ -3,14 +3,15 @@
 The guide these follow documents columns, not queries. Choices made here: totals are
 brought to the trend's own grain (county, subcounty, facility, source, record type) before
 running totals and averages; frames count rows and do not fill missing weeks; columns
-today's facts do not carry (tests per case, ward) are left out.
+today's facts do not carry (tests per case) are left out. The second screening system has no
+fact, so its rows come from its cleaned entity.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vigil.functions import temporal as tm
+from vigil.functions import temporal as tm, text as tx
 from vigil.functions.keys import surrogate_key
 from vigil.operators.conform import conformed_union, zero_filled_union
 from vigil.operators.lookup import attributes
@@ -154,36 +155,97 @@ def case_trend(cases: DataFrame, contacts: DataFrame, outcomes: DataFrame) -> Da
     return with_rates(trend, CASE_RATES)
 
 
-def screening_summary(screenings: DataFrame) -> DataFrame:
-    by = [
+PLACE = ["county", "subcounty", "ward", "point_of_entry", "mfl_code", "facility_name"]
+SCREENING_TOTALS = {
+    "total_screening_records": "n",
+    "total_screened": "screened",
+    "total_suspected": "suspected",
+    "total_flagged": "flagged",
+    "total_confirmed": "confirmed",
+    "total_tested": "tested",
+}
+SCREENING_RATES = {
+    "screening_completion_rate": ("total_screened", "total_screening_records"),
+    "suspected_screening_rate": ("total_suspected", "total_screened"),
+    "testing_rate": ("total_tested", "total_suspected"),
+    "positivity_rate": ("total_confirmed", "total_tested"),
+    "confirmed_screening_rate": ("total_confirmed", "total_screened"),
+}
+
+
+def _traveller_rows(screenings: DataFrame) -> DataFrame:
+    """Screenings of the first system, which knows points of entry and no tests."""
+    no_text, none = F.lit(None).cast("string"), F.lit(0)
+    return screenings.select(
         F.col("reporting_date").alias("screening_date"),
         F.col("reporting_year").alias("screening_year"),
         F.col("reporting_month_number").alias("screening_month_number"),
         F.trim("reporting_month_name").alias("screening_month_name"),
         *_week(),
+        *(no_text.alias(c) for c in PLACE if c != "point_of_entry"),
         F.col("reporting_point_of_entry").alias("point_of_entry"),
         "source_system",
         F.col("reporting_screening_category").alias("classification"),
-    ]
-    daily = totals(
-        screenings,
-        by,
-        {
-            "total_screening_records": "total_screening_count",
-            "total_screened": _screened(),
-            "total_suspected": "suspected_screening_count",
-            "total_flagged": "flagged_screening_count",
-        },
+        no_text.alias("test_result"),
+        F.col("total_screening_count").alias("n"),
+        _screened().alias("screened"),
+        F.col("suspected_screening_count").alias("suspected"),
+        F.col("flagged_screening_count").alias("flagged"),
+        none.alias("confirmed"),
+        none.alias("tested"),
     )
-    return with_rates(
-        daily,
-        {
-            "screening_completion_rate": ("total_screened", "total_screening_records"),
-            "suspected_screening_rate": ("total_suspected", "total_screened"),
-        },
+
+
+def border_screenings(border: DataFrame, dim_facility: DataFrame) -> DataFrame:
+    """Screenings of the second system, with tests and their results, places and facilities.
+
+    A record counts as screened if its answer is there and is no "no". It is classified by
+    the gravest of what it says: confirmed, suspected, else normal.
+    """
+    named = attributes(
+        border, dim_facility, F.col("facility_id"), {"facility_name": "facility_name"}, "facility_key"
+    )
+    dated = _with_epi_week(named.withColumn("screening_date", F.col("reporting_date")), "screening_date")
+    day, answer = F.col("screening_date"), tx.blank_to_null(F.col("screening"))
+    suspected, confirmed = tx.yes_flag(F.col("suspected")), tx.yes_flag(F.col("confirmed"))
+    refused = F.coalesce(~tx.yes_no(answer), F.lit(False))
+    return dated.select(
+        day,
+        F.year(day).alias("screening_year"),
+        F.month(day).alias("screening_month_number"),
+        F.date_format(day, "MMMM").alias("screening_month_name"),
+        *WEEK,
+        F.col("reporting_county").alias("county"),
+        F.col("reporting_subcounty").alias("subcounty"),
+        "ward",
+        F.coalesce(tx.blank_to_null(F.col("point_of_entry")), F.lit("Unknown")).alias("point_of_entry"),
+        F.col("facility_id").alias("mfl_code"),
+        "facility_name",
+        F.lit("UHAI").alias("source_system"),
+        F.when(confirmed == 1, "CONFIRMED").when(suspected == 1, "SUSPECTED").otherwise("NORMAL").alias("classification"),
+        F.col("result").alias("test_result"),
+        F.lit(1).alias("n"),
+        F.when(answer.isNotNull() & ~refused, 1).otherwise(0).alias("screened"),
+        suspected.alias("suspected"),
+        suspected.alias("flagged"),
+        confirmed.alias("confirmed"),
+        tx.yes_flag(F.col("tested")).alias("tested"),
     )
 
 
+def screening_summary(screenings: DataFrame, border: DataFrame, dim_facility: DataFrame) -> DataFrame:
+    """Daily screenings of both systems by place, facility and class, with testing rates."""
+    by = [
+        "screening_date", "screening_year", "screening_month_number", "screening_month_name", *WEEK, *PLACE,
+        "source_system", "classification", "test_result",
+    ]
+    # Each system is summed by itself: its rows meet no others.
+    daily = totals(_traveller_rows(screenings), by, SCREENING_TOTALS).unionByName(
+        totals(border_screenings(border, dim_facility), by, SCREENING_TOTALS)
+    )
+    return with_rates(daily, SCREENING_RATES)
+
+
 def laboratory_summary(labs: DataFrame, dim_facility: DataFrame) -> DataFrame:
     """Weekly and monthly totals; the result date counts, else the collection date."""
     day = F.coalesce("reporting_result_date", "reporting_collection_date")
@@ -232,8 +294,8 @@ def laboratory_summary(labs: DataFrame, dim_facility: DataFrame) -> DataFrame:
 
 GEO_MEASURES = [
     "total_cases", "confirmed_cases", "deaths", "total_screening_records",
-    "total_screened", "suspected_screenings", "laboratory_tests", "positive_tests",
-    "negative_tests", "inconclusive_tests",
+    "total_screened", "suspected_screenings", "confirmed_screenings", "tested_screenings",
+    "laboratory_tests", "positive_tests", "negative_tests", "inconclusive_tests",
 ]
 GEO_GROUP = ["activity_date", "county", "subcounty", "point_of_entry", "facility"]
 
@@ -245,6 +307,7 @@ def geographic_summary(
     screenings: DataFrame,
     labs: DataFrame,
     dim_facility: DataFrame,
+    border: DataFrame,
 ) -> DataFrame:
     """Three domains per day and place, stacked and zero-filled, then summed.
 
@@ -273,6 +336,20 @@ def geographic_summary(
             "suspected_screenings": "suspected_screening_count",
         },
     )
+    at_borders = totals(
+        border_screenings(border, dim_facility),
+        [
+            F.col("screening_date").alias("activity_date"), "county", "subcounty", "point_of_entry",
+            F.col("facility_name").alias("facility"),
+        ],
+        {
+            "total_screening_records": "n",
+            "total_screened": "screened",
+            "suspected_screenings": "suspected",
+            "confirmed_screenings": "confirmed",
+            "tested_screenings": "tested",
+        },
+    )
     placed = attributes(
         labs, dim_facility, F.col("requesting_facility_key"),
         {"county": "county", "subcounty": "subcounty", "facility": "facility_name"},
@@ -290,7 +367,7 @@ def geographic_summary(
             "inconclusive_tests": "inconclusive_test_count",
         },
     )
-    stacked = zero_filled_union([case, screening, lab], GEO_MEASURES)
+    stacked = zero_filled_union([case, screening, at_borders, lab], GEO_MEASURES)
     summed = totals(stacked, GEO_GROUP, {m: m for m in GEO_MEASURES})
     day = F.col("activity_date")
     return with_rates(
@@ -306,6 +383,8 @@ def geographic_summary(
             "confirmation_rate": ("confirmed_cases", "total_cases"),
             "case_fatality_rate": ("deaths", "confirmed_cases"),
             "suspected_screening_rate": ("suspected_screenings", "total_screened"),
+            "screening_testing_rate": ("tested_screenings", "suspected_screenings"),
+            "screening_positivity_rate": ("confirmed_screenings", "tested_screenings"),
             "laboratory_positivity_rate": ("positive_tests", "__decided"),
         },
     ).drop("__decided")
