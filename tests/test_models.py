@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators.lookup import RepeatedKey
 from vigil.plans import summaries
 from vigil.plans import silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
@@ -264,3 +265,19 @@ def test_landing_columns_no_file_has_brought_read_as_null(spark):
     )
     row = silver.cases(raw).first()
     assert (row.id_field, row.type, row.outcome, row.latitude, row.sex) == ("k", "case", None, None, None)
+
+
+def test_a_dimension_with_a_repeated_key_fails_the_build_by_name(house, spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "w"), house.landing, house.settings)
+    store.build(["fct_lab_result"])
+    kept = store.path("fct_lab_result")
+    dates = store.table("dim_date")
+    twice = tmp_path / "twice"
+    dates.union(dates).write.parquet(str(twice))
+    read = store._refreshed
+    store._refreshed = lambda name: spark.read.parquet(str(twice)) if name == "dim_date" else read(name)
+    with pytest.raises(RepeatedKey, match="fct_lab_result, lookup by full_date: 4 rows became"):
+        store.build(["fct_lab_result"])
+    assert store.path("fct_lab_result") == kept and store.table("fct_lab_result").count() == 4
+    plan = store.plan("fct_lab_result")._jdf.queryExecution().executedPlan().toString()
+    assert "CollectMetrics" not in plan

@@ -7,9 +7,13 @@ spark.sql.autoBroadcastJoinThreshold and otherwise shuffles, with skewed keys sp
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vigil.functions.temporal import epi_week_start
 from vigil.functions.text import folded
@@ -18,8 +22,61 @@ from vigil.session import stored_bytes
 MISSING_DATE_KEY = -1
 
 
+class RepeatedKey(ValueError):
+    """A dimension holds a key more than once, so a lookup gave more rows than it got."""
+
+
+@dataclass
+class RowGuard:
+    """Row numbers around each lookup of a plan, counted while the plan runs."""
+
+    steps: list[tuple[str, Observation, Observation]] = field(default_factory=list)
+    last: tuple[DataFrame, Observation] | None = None
+
+    def around(self, name: str, df: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        if self.last is not None and self.last[0] is df:
+            before = self.last[1]  # what the lookup before gave is what this one gets
+        else:
+            before = Observation()
+            df = df.observe(before, F.count(F.lit(1)).alias("n"))
+        after = Observation()
+        out = join(df).observe(after, F.count(F.lit(1)).alias("n"))
+        self.steps.append((name, before, after))
+        self.last = out, after
+        return out
+
+    def check(self) -> None:
+        """After the plan has run once."""
+        for name, before, after in self.steps:
+            if before.get["n"] != after.get["n"]:
+                raise RepeatedKey(f"{name}: {before.get['n']} rows became {after.get['n']}")
+
+
+_guard: ContextVar[RowGuard | None] = ContextVar("row_guard", default=None)
+
+
+@contextmanager
+def guarded_rows() -> Iterator[RowGuard]:
+    """Lookups made inside count their rows. It costs no pass over any table."""
+    guard = RowGuard()
+    token = _guard.set(guard)
+    try:
+        yield guard
+    finally:
+        _guard.reset(token)
+
+
+def _one_to_one(name: str, df: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    guard = _guard.get()
+    return join(df) if guard is None else guard.around(name, df, join)
+
+
 def date_keys(df: DataFrame, dim_date: DataFrame, roles: dict[str, Column]) -> DataFrame:
     """Add one date key per role: {key column: date expression}. -1 outside the calendar."""
+    return _one_to_one("lookup by full_date", df, lambda rows: _date_keys(rows, dim_date, roles))
+
+
+def _date_keys(df: DataFrame, dim_date: DataFrame, roles: dict[str, Column]) -> DataFrame:
     for name, day in roles.items():
         side = dim_date.select(
             F.col("full_date").alias("__day"), F.col("date_key").alias("__found")
@@ -41,10 +98,12 @@ def attributes(
         F.col(dim_key).alias("__dim_key"),
         *(F.col(c).alias(name) for name, c in columns.items()),
     )
-    return (
-        df.withColumn("__key", on)
+    return _one_to_one(
+        f"lookup of {', '.join(columns.values())} by {dim_key}",
+        df,
+        lambda rows: rows.withColumn("__key", on)
         .join(side, F.col("__key") == F.col("__dim_key"), "left")
-        .drop("__key", "__dim_key")
+        .drop("__key", "__dim_key"),
     )
 
 

@@ -18,9 +18,10 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.operators.calendar import SPINE_END, SPINE_START
+from vigil.operators.lookup import RepeatedKey, guarded_rows
 from vigil.plans import dimensions as dim, facts, gold, silver, summaries
 from vigil.session import sized_shuffles, stored_bytes
-from vigil.sources.files import exists, remove_folder, subfolders
+from vigil.sources.files import create_file, exists, remove_folder, subfolders
 
 Table = Callable[[str], DataFrame]
 _VERSION = r"v[0-9]{8}-[0-9a-f]{8}"
@@ -172,8 +173,16 @@ class Warehouse:
 
     def _write(self, name: str, upstream: Table) -> None:
         layer, build = _BY_NAME[name]
-        rows = build(upstream, self.spark, self.settings)
-        rows.write.parquet(f"{self.root}/{self._current()}/{layer}/{name}")
+        with guarded_rows() as guard:
+            rows = build(upstream, self.spark, self.settings)
+        path = f"{self.root}/{self._current()}/{layer}/{name}"
+        # The table counts as written once its lookups are known to have kept its rows.
+        rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+        try:
+            guard.check()
+        except RepeatedKey as problem:
+            raise RepeatedKey(f"{name}, {problem}") from None
+        create_file(self.spark, f"{path}/_SUCCESS")
         for old in list(self._finished(name, self._versions()))[KEPT_VERSIONS:]:
             remove_folder(self.spark, old)
 
