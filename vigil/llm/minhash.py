@@ -225,7 +225,8 @@ def _block_links(table: pa.Table) -> pa.Table:
     every = np.concatenate([number[starts[i] : starts[i + 1]] for i in others]) if len(others) else number[:0]
     first = np.r_[0, np.cumsum(sizes[others])][:-1]
     held = np.zeros(number.max(initial=-1) + 1, np.int64)
-    links = []
+    # Links between members that earlier ones connect are left out, so there are fewer links than members.
+    links, part = [], np.unique(parts, return_inverse=True)[1]
     for i in np.flatnonzero(lead).tolist():
         if not len(others):
             break
@@ -234,8 +235,10 @@ def _block_links(table: pa.Table) -> pa.Table:
         shared = np.add.reduceat(held[every], first)
         held[mine] = 0
         union = sizes[i] + sizes[others] - shared
-        hit = others[(100 * shared >= PERCENT * union) & (parts[others] != parts[i])]
-        links.extend((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in hit)
+        hit = others[(100 * shared >= PERCENT * union) & (part[others] != part[i])]
+        joined, one = np.unique(part[hit], return_index=True)
+        links.extend((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in hit[one])
+        part[np.isin(part, joined)] = part[i]
     links = sorted(set(links))
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
