@@ -23,6 +23,7 @@ import heapq
 import re
 from array import array
 from collections import deque
+from collections.abc import Collection
 from itertools import count, groupby
 
 import numpy as np
@@ -34,7 +35,7 @@ from vigil.llm.bytetext import bounded_batches, mix, powers
 N_BEST = 4
 SPACE = "▁"
 UNKNOWN_BELOW = 10.0  # a character without a piece scores this below the worst piece
-CACHE_BYTES = 64 << 20  # of solved parts that a worker keeps
+CACHE_BYTES = 128 << 20  # of solved parts that a worker keeps
 PART_BYTES = 300  # about what a part takes beside 8 bytes a character
 SLAB_CHARS = 1 << 17  # of parts that are solved at once
 CHUNK_CHARS = 1 << 20
@@ -76,6 +77,7 @@ class Model:
         self.unknown = min(s for s in self.score.values() if s > -1e8) - UNKNOWN_BELOW
         ids = np.array(plain)
         self.hashes = np.array([self._hash(self.text[i]) for i in plain], np.uint64)
+        self.chars = np.array([len(self.text[i]) for i in every])
         self.ids, self.scores = ids, np.array([self.score[i] for i in plain])
         self._tables()
         self.forget()
@@ -112,6 +114,7 @@ class Model:
         self.n_ids = np.empty(1024, np.int64)
         self.whole = np.empty(1024, bool)
         self.held = 0
+        self.last: tuple[list[str] | None, np.ndarray] = (None, np.empty(0, np.int64))
         self.encoded: list[bytes] = []
         self.near: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
@@ -289,11 +292,19 @@ class Model:
         for k in np.unique(lacking).tolist():
             own = self._with_bytes(parts[k], ids[known[k] : known[k + 1]])
             self.encoded[n + k] = np.array(own, np.int32).tobytes()
-        # What a part's ids spell is seen once, when it is solved.
-        for k, part in enumerate(parts, n):
-            own = array("i", self.encoded[k])
-            self.n_ids[k], self.whole[k] = len(own), self._spelled(own) == part
-        self.held += sum(map(_bytes_of, parts))
+        self.n_ids[n : n + len(parts)] = np.diff(known)
+        # What ids spell is seen once, when parts are solved: that of all parts side by side,
+        # and how much of it each part has; that of parts with bytes one by one.
+        plain = np.ones(len(parts), bool)
+        plain[lacking] = False
+        own = ids[np.repeat(plain, np.diff(known))]
+        same = "".join(map(self.text.__getitem__, own.tolist())) == "".join([p for p, x in zip(parts, plain.tolist()) if x])
+        chars = np.r_[0, np.cumsum(self.chars[ids])]
+        self.whole[n : n + len(parts)] = same & (np.diff(chars[known]) == np.fromiter(map(len, parts), np.int64, len(parts)))
+        for k in np.unique(lacking).tolist():
+            own = array("i", self.encoded[n + k])
+            self.n_ids[n + k], self.whole[n + k] = len(own), self._spelled(own) == parts[k]
+        self.held += _bytes_of(parts)
 
     def _with_bytes(self, part: str, ids: np.ndarray) -> list[int]:
         out, at = [], 0
@@ -318,6 +329,12 @@ class Model:
 
     # --- texts ---
 
+    def numbers(self, parts: list[str]) -> np.ndarray:
+        """Places of solved parts in the cache; those of the last text are at hand."""
+        if self.last[0] is not parts:
+            self.last = parts, np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        return self.last[1]
+
     def prepare(self, texts: list[str]) -> list[list[str]]:
         """Parts of each text, all solved."""
         split = [_PART.findall(normalised(t)) for t in texts]
@@ -326,7 +343,7 @@ class Model:
             split = [[b for p in own for b in (self.cut(p) if len(p) > LONG_PART else [p])] for own in split]
             wanted = set().union(*split)
         new = wanted.difference(self.index)
-        if self.index and self.held + sum(map(_bytes_of, new)) > CACHE_BYTES:
+        if self.index and self.held + _bytes_of(new) > CACHE_BYTES:
             self.forget()
             new = wanted
         slab: list[str] = []
@@ -351,7 +368,7 @@ class Model:
         """Ids of the best segmentation, scores of the n best, and what each of them changes."""
         if not parts:
             return b"", [0.0], [{}]
-        k = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        k = self.numbers(parts)
         total = float(self.best[k].sum())
         behind = self.behind[k]
         few = min(n - 1, len(parts))
@@ -374,7 +391,7 @@ class Model:
         in the segmentation of this rank; the last place of a rank comes first."""
         out = []
         if any(changes):
-            at = self.n_ids[np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))]
+            at = self.n_ids[self.numbers(parts)]
             end = np.cumsum(at)
             for rank, change in enumerate(changes):
                 out += [(rank, int(end[p] - at[p]), int(at[p]), change[p]) for p in sorted(change, reverse=True)]
@@ -393,7 +410,7 @@ class Model:
     def round_trip(self, text: str, parts: list[str]) -> bool:
         """Whether decoding the best ids gives the text back. Parts hold whole characters, so
         the text's ids spell what its parts' ids spell."""
-        return SPACE not in text and bool(self.whole[[self.index[p] for p in parts]].all())
+        return SPACE not in text and bool(self.whole[self.numbers(parts)].all())
 
     def _spelled(self, ids) -> str:
         """Pieces side by side. Bytes that are no valid UTF-8 become U+FFFD."""
@@ -412,8 +429,8 @@ class Model:
         return self._spelled(ids).replace(SPACE, " ").removeprefix(" ")
 
 
-def _bytes_of(part: str) -> int:
-    return PART_BYTES + 8 * len(part)
+def _bytes_of(parts: Collection[str]) -> int:
+    return PART_BYTES * len(parts) + 8 * sum(map(len, parts))
 
 
 def model(path: str) -> Model:
@@ -434,25 +451,37 @@ def encoder(spark: SparkSession, path: str, n: int = N_BEST, with_ids: bool = Fa
     counts as empty, which has no piece.
     """
     bounded_batches(spark)
-    change = pa.struct([("rank", pa.int32()), ("place", pa.int32()), ("count", pa.int32()), ("ids", pa.list_(pa.int32()))])
-    kinds = [pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.string(), pa.list_(change)]
     names = ["n_pieces", "scores", "ids_sha256", "round_trip", "ids", "n_best_sha256", "changes"]
 
+    def lists(sizes: list[int], values: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), values)
+
     def slab(own: Model, texts: list[str]) -> pa.StructArray:
-        rows = []
+        raws, scored, digests, whole, n_best, patched = [], [], [], [], [], []
         for text, parts in zip(texts, own.prepare(texts)):
             raw, scores, changes = own.encode(parts, n)
             every = hashlib.sha256()
             for way in own.segmentations(parts, changes, raw):
                 every.update((len(way) // 4).to_bytes(4, "little") + way)
-            patches = [dict(zip(("rank", "place", "count", "ids"), x)) for x in own.patches(parts, changes)] if with_ids else None
-            rows.append(
-                (
-                    len(raw) // 4, scores, hashlib.sha256(raw).hexdigest(), own.round_trip(text, parts),
-                    np.frombuffer(raw, np.int32) if with_ids else None, every.hexdigest(), patches,
-                )
-            )
-        return pa.StructArray.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
+            raws.append(raw)
+            scored.append(scores)
+            digests.append(hashlib.sha256(raw).hexdigest())
+            whole.append(own.round_trip(text, parts))
+            n_best.append(every.hexdigest())
+            patched.append(own.patches(parts, changes) if with_ids else [])
+        sizes = [len(r) // 4 for r in raws]
+        if with_ids:
+            ids = lists(sizes, pa.array(np.frombuffer(b"".join(raws), np.int32)))
+            flat = [x for own_ in patched for x in own_]
+            new = lists([len(x[3]) for x in flat], pa.array([i for x in flat for i in x[3]], pa.int32()))
+            fields = [pa.array([x[c] for x in flat], pa.int32()) for c in range(3)]
+            changed = lists([len(x) for x in patched], pa.StructArray.from_arrays([*fields, new], ["rank", "place", "count", "ids"]))
+        else:
+            kind = pa.struct([("rank", pa.int32()), ("place", pa.int32()), ("count", pa.int32()), ("ids", pa.list_(pa.int32()))])
+            ids, changed = pa.nulls(len(raws), pa.list_(pa.int32())), pa.nulls(len(raws), pa.list_(kind))
+        scores = lists([len(x) for x in scored], pa.array([y for x in scored for y in x], pa.float64()))
+        columns = [pa.array(sizes, pa.int64()), scores, pa.array(digests, pa.string()), pa.array(whole, pa.bool_()), ids, pa.array(n_best, pa.string()), changed]
+        return pa.StructArray.from_arrays(columns, names)
 
     def run(column: pa.Array) -> pa.Array:
         own, texts = model(path), [t or "" for t in column.to_pylist()]
