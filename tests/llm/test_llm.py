@@ -397,3 +397,42 @@ def test_forms_of_candidates():
     form = re.compile(pii.FORMS["token"].replace("\\p{L}", "[a-zA-Z]"))
     text = "jane.doe x_y @me a1 12 end. well-known plain ... -- (see e.g."
     assert [m[0] for m in form.finditer(text)] == ["jane.doe", "x_y", "@me", "a1", "12", "well-known", "e.g."]
+
+
+def test_secrets_are_seeds_of_their_own(spark):
+    digest, mixed = "04dbebab91ab85687d33eeaaf9ac699e1188f962", "aB3dE5gH7jK9mN1pQ2sT4vW6yZ8bC0dF"
+    texts = [
+        f'run token = "{digest}"### now', f"see ({mixed}), or", "api_key=abc12345; done", "password: hunter42x",
+        "my-long-article-name-about-2020-and-1999", "the monkey: abc12345", "token = abc", "a" * 40, "1" * 40, None,
+        f"mail me at a@b.cd, key: {digest}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.b, r.s) for r in pii.found_spans(docs).select(
+        "doc_id", pii.as_text(F.col("base")).alias("b"), pii.as_text(F.col("spans")).alias("s")).collect()}
+    assert [found[i] for i in range(10)] == [
+        ("", "secret:13:53"), ("", "secret:5:37"), ("", "secret:8:16"), ("", "secret:10:19"), *[("", "")] * 6,
+    ]
+    assert found[10] == ("email:11:17", "email:11:17,secret:24:64")
+    assert pii.mask(docs).filter("doc_id = 0").first().text == 'run token = "<secret>"### now'
+
+
+def test_a_pattern_is_learnt_on_the_given_table(spark):
+    """Without their form, secrets are found by the contexts of those that keep it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    broken = F.regexp_replace("text", 'token = "([0-7][0-9a-f]{39})"', "token = $1.-.-.").alias("text")
+    plain = docs.select("doc_id", broken)
+    hidden = plain.filter(F.col("text").contains(".-.-.")).count()
+    kinds = pii.found_spans(plain).select("doc_id", F.explode(F.array_except("spans", "base")).alias("s"))
+    assert hidden > 0 and kinds.filter("s.kind = 'secret'").select("doc_id").distinct().count() >= hidden
+
+
+def test_columns_named_like_the_operators_own_stay(spark, tmp_path):
+    names = ["_row", "_key", "_text_key", "_spans", "a.b", "_Row_"]
+    rows = [(i, t, "en", *[f"{n}{i}" for n in names]) for i, t in enumerate([prose(1, 30), prose(1, 30), "mail a@b.cd now", None])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    spark.createDataFrame([(1, prose(9, 12))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage, left in ((corpus_pipeline.drop_near_duplicates, [0, 2, 3]), (corpus_pipeline.drop_contaminated, [0, 1, 2, 3]),
+                        (corpus_pipeline.mask_personal_data, [0, 1, 2, 3])):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns[: len(docs.columns)] == docs.columns
+        assert sorted((r.doc_id, *r[3:9]) for r in out.collect()) == [(i, *[f"{n}{i}" for n in names]) for i in left]

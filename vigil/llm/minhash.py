@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, ngram_hashes, text_bytes
-from vigil.llm.stores import Store, least_label
+from vigil.llm.stores import Store, least_label, quoted, spare
 
 SHINGLE = 5
 PERCENT = 75  # of the union that two sets must share
@@ -147,10 +147,11 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .filter("not stays or n > 1"),
         "marked",
     )
-    keyed = docs.withColumn("_row", _row_key(F.col(id_col), F.xxhash64(text_col)))
-    rest = keyed.join(number.select(F.col("row").alias("_row")), "_row", "left_anti")
-    once = keyed.join(number.filter("stays").select(F.col("row").alias("_row")), "_row", "left_semi").dropDuplicates(["_row"])
-    return rest.unionByName(once).select(*[f"`{c}`" for c in docs.columns])
+    key = spare(docs, "row")
+    keyed = docs.withColumn(key, _row_key(F.col(id_col), F.xxhash64(text_col)))
+    rest = keyed.join(number.select(F.col("row").alias(key)), key, "left_anti")
+    once = keyed.join(number.filter("stays").select(F.col("row").alias(key)), key, "left_semi").dropDuplicates([key])
+    return rest.unionByName(once).select(quoted(docs.columns))
 
 
 def _row_key(doc_id: Column, text_key: Column) -> Column:

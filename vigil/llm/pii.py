@@ -1,12 +1,14 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction, natively in Spark.
 
-E-mail and IP addresses, card and phone numbers are found by their form. These seeds induce
-lexical patterns, the two words before them. Patterns and the identifiers seen with them are
-the two sides of a graph that Spark scores in turns: a pattern is worth the share of its
+E-mail and IP addresses, card and phone numbers are found by their form, and so are secrets:
+long runs of mixed digits and letters, and what is assigned to a name like token or key. These
+seeds induce lexical patterns: the two words before them, and the word before, the word after
+or both together with the identifier's shape. Patterns and the identifiers seen with
+them are the two sides of a graph that Spark scores in turns: a pattern is worth the share of its
 identifiers that are known or believed, an identifier is believed as far as its patterns are
-worth it. Seeds, and identifiers that a pattern of high score stands before, support the
-patterns of the next turn, until nothing is added. Patterns that end with enough support and a
-high score tag the unseen identifiers they stand before.
+worth it. Seeds, and identifiers that stand in a pattern of high score, support the patterns of
+the next turn, until nothing is added. Patterns that end with enough support and a high score tag
+the unseen identifiers that stand in them.
 
 Only mentions are shuffled, never texts. One row of its own keeps every document in the result.
 """
@@ -15,9 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigil.llm.stores import Store
+from vigil.llm.stores import Store, quoted, spare
 
 KINDS = ["email", "ip", "card", "phone"]
+SECRET = "secret"
 # Each finds, left to right, what the kind's form describes. A possessive quantifier gives
 # nothing back, and a match may begin inside a run of its characters only where the previous
 # match ended, so the time is linear in the text.
@@ -32,6 +35,13 @@ FORMS = {
 }
 NEEDS = {"email": "@", "phone": "+"}  # without it a text has no match
 TOKEN_LENGTH = (3, 128)
+RUN_LENGTH = 256  # of a candidate with the name, quotes and points around it
+# A name that secrets are assigned to, and what may stand around a candidate in its run.
+NAME = r"(?:[\p{L}0-9]+[_.-])*(?:api|access|private|secret|auth)?(?:token|key|secret|password|passwd|pwd|credential)s?"
+OPENS, CLOSES = r"""["'(\[{<]*""", r"""(?:"\S*|["')\]}>,;:.!?]*)\z"""
+LEAD = rf"""(?i)^{OPENS}(?:({NAME}["']?[=:]){OPENS})?"""
+ASSIGNED = rf"""(?i)(?<!\p{{L}}){NAME}["']?\s?[=:]\z"""
+SECRET_LENGTH = (8, 32)  # at least, where it is assigned and where only its form tells
 CONTEXT_CHARS = 80
 TURNS = 3  # at least
 LEAST_SEEDS = 5  # different seeds or sure identifiers, before a pattern may tag anything
@@ -41,21 +51,61 @@ SURE = 0.8
 
 def _mentions(text: Column, kind: str) -> Column:
     """Every match of a form: its number, the length of what lies before it since the previous
-    match, itself, and its context."""
+    match, itself, up to two words before it and the word after it."""
     form = F.lit(FORMS[kind])
     found = F.regexp_extract_all(text, form, F.lit(0))
     if kind in NEEDS:
         found = F.when(F.contains(text, F.lit(NEEDS[kind])), found)
     between = F.when(F.size(found) > 0, F.split(text, FORMS[kind], -1))
-    rows = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(m.alias("m"), b.alias("b")))
-    out = F.transform(
-        rows,
+    n = F.size(found)
+    pairs = F.zip_with(found, F.slice(between, 1, n), lambda m, b: F.struct(m.alias("m"), b.alias("b")))
+    triples = F.zip_with(pairs, F.slice(between, 2, n), lambda r, a: F.struct(r["m"].alias("m"), r["b"].alias("b"), a.alias("a")))
+    rows = F.transform(
+        triples,
         lambda r, i: F.struct(
             F.lit(kind).alias("kind"), i.alias("i"), F.length(r["b"]).cast("bigint").alias("gap"), r["m"].alias("value"),
-            F.lower(F.regexp_extract(F.right(r["b"], F.lit(CONTEXT_CHARS)), r"(?<!\S)(\S++\s++\S++)\s*+\z", 1)).alias("context"),
+            _alike(F.regexp_extract(F.right(r["b"], F.lit(CONTEXT_CHARS)), rf"(?<!\S)((?:\S++\s++)?\S++)\s*+{OPENS}\z", 1)).alias("left"),
+            _alike(F.regexp_extract(F.left(r["a"], F.lit(CONTEXT_CHARS)), r"\A\S*+\s++(\S++)", 1)).alias("right"),
         ),
     )
-    return F.coalesce(out, F.array())
+    return F.coalesce(rows, F.array())
+
+
+def _alike(words: Column) -> Column:
+    """Words of a context with case, numbers and most punctuation made alike."""
+    one = F.regexp_replace(F.regexp_replace(F.lower(words), "[0-9]+", "0"), r"[\p{P}\p{S}&&[^=:]]+", ".")
+    return F.regexp_replace(one, r"\s+", " ")
+
+
+def _shape(value: Column) -> Column:
+    """An identifier's form: runs of letters a, of digits 0, of eight digits or more #, of many such runs x."""
+    digits = F.regexp_replace(F.regexp_replace(value, "[0-9]{8,}", "#"), "[0-9]+", "0")
+    return F.regexp_replace(F.regexp_replace(digits, r"\p{L}+", "a"), "[a0#]{3,}", "x")
+
+
+def patterns_of(left: Column, right: Column, value: Column) -> Column:
+    """The lexical patterns that a mention stands in."""
+    last = F.element_at(F.split(left, " "), -1)
+    slot = F.concat(F.lit(" <"), _shape(F.left(value, F.lit(TOKEN_LENGTH[1]))), F.lit("> "))
+    return F.array_compact(
+        F.array(
+            F.when(F.contains(left, F.lit(" ")), F.concat(left, F.lit(" <>"))),
+            F.when((left != "") & (right != ""), F.concat(last, slot, right)),
+            F.when(left != "", F.concat(last, slot)),
+            F.when(right != "", F.concat(slot, right)),
+        )
+    )
+
+
+def is_secret(value: Column, named: Column) -> Column:
+    """Whether a candidate is a secret by its form, or by its name and less of a form."""
+    digit_runs = F.size(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0)))
+    kinds = F.size(F.array_distinct(F.split(value, "")))
+    hexed = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & (kinds >= 8)
+    based = value.rlike("^[A-Za-z0-9+/_-]+={0,2}$") & value.rlike("[a-z]") & value.rlike("[A-Z]") & (kinds >= 16)
+    by_form = (F.length(value) >= SECRET_LENGTH[1]) & (digit_runs >= 3) & (hexed | based)
+    by_name = named & (F.length(value) >= SECRET_LENGTH[0]) & (digit_runs >= 1) & value.rlike(r"\p{L}")
+    return by_form | by_name
 
 
 def _digits(value: Column) -> Column:
@@ -85,13 +135,14 @@ def _valid(kind: Column, value: Column) -> Column:
         .when(kind == "ip", part)
         .when(kind == "card", count.between(14, 19) & luhn(F.when(count.between(14, 19), digits).otherwise("1")))
         .when(kind == "phone", count.between(10, 15))
-        .otherwise(F.length(value).between(*TOKEN_LENGTH))
+        .otherwise(F.length(value) <= RUN_LENGTH)
     )
 
 
 def mentions(docs: DataFrame, store: Store, id_col: str, text_col: str) -> DataFrame:
-    """Stored rows (_row, doc_id, text_key, kind, start, end, value, context); kind is null in
-    the one row that every document has."""
+    """Stored rows (_row, doc_id, text_key, kind, start, end, value, left, right); kind is null in
+    the one row that every document has. Candidates have the kind token, or secret if they are
+    one, and lie without the name, quotes and points around them."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
@@ -100,16 +151,24 @@ def mentions(docs: DataFrame, store: Store, id_col: str, text_col: str) -> DataF
     blank = F.array(
         F.struct(
             F.lit(None).cast("string").alias("kind"), F.lit(0).alias("i"), F.lit(0).cast("bigint").alias("gap"),
-            F.lit("").alias("value"), F.lit("").alias("context"),
+            F.lit("").alias("value"), F.lit("").alias("left"), F.lit("").alias("right"),
         )
     )
     rows = own.select("_row", "doc_id", "text_key", F.inline(F.concat(blank, *[_mentions(F.col("text"), k) for k in FORMS])))
     before = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(before)
-    placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
+    placed = rows.withColumn("end", end).filter(F.col("kind").isNull() | _valid(F.col("kind"), F.col("value")))
+    token = F.col("kind") == "token"
+    lead = F.when(token, F.length(F.regexp_extract("value", LEAD, 0))).otherwise(0)
+    cut = placed.withColumn("start", F.col("end") - F.length("value") + lead).withColumn(
+        "named", token & ((F.regexp_extract("value", LEAD, 1) != "") | F.col("left").rlike(ASSIGNED))
+    ).withColumn("value", F.substring(F.col("value"), lead + 1, F.length("value")))
+    tail = F.when(token, F.length(F.regexp_extract(F.right("value", F.lit(16)), CLOSES, 0))).otherwise(0)
+    core = cut.withColumn("end", F.col("end") - tail).withColumn("value", F.substring(F.col("value"), F.lit(1), F.length("value") - tail))
     return store.keep(
-        placed.filter(F.col("kind").isNull() | _valid(F.col("kind"), F.col("value")))
-        .select("_row", "doc_id", "text_key", "kind", "start", "end", "value", "context"),
+        core.filter(F.col("kind").isNull() | (F.col("kind") != "token") | F.length("value").between(*TOKEN_LENGTH))
+        .withColumn("kind", F.when(token & is_secret(F.col("value"), F.col("named")), F.lit(SECRET)).otherwise(F.col("kind")))
+        .select("_row", "doc_id", "text_key", "kind", "start", "end", "value", "left", "right"),
         "mentions",
     )
 
@@ -161,9 +220,10 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """For each row of docs: doc_id, text_key (md5 of the text), base and spans.
 
     Both are arrays of struct(start, rank, end, kind), ascending, in code points, end
-    exclusive: `base` are the seeds, `spans` have the discovered identifiers too, which never
-    overlap a seed. Null texts count as empty. Rows that repeat, or share an id, or have none,
-    are searched one by one; other columns are not read.
+    exclusive: `base` are the e-mail and IP addresses, card and phone numbers, `spans` have the
+    secrets and the discovered identifiers too. Discovered ones never overlap a base span.
+    Null texts count as empty. Rows that repeat, or share an id, or have none, are searched one
+    by one; other columns are not read.
     """
     store = Store(docs.sparkSession, "pii")
     seen = mentions(docs, store, id_col, text_col)
@@ -173,23 +233,25 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     free = store.keep(
         other.join(
             taken, (other["_row"] == taken["_row"]) & (taken["s"] < other["end"]) & (taken["e"] > other["start"]), "left_anti"
-        ),
+        )
+        .withColumn("pattern", F.explode_outer(patterns_of(F.col("left"), F.col("right"), F.col("value")))),
         "free",
     )
-    edges = base.select(F.col("context").alias("pattern"), "value", "kind").union(
-        free.select("context", "value", F.lit(None).cast("string"))
-    ).filter("pattern <> ''")
+    seeds = seen.filter(F.col("kind").isin(KINDS + [SECRET])).select(
+        F.explode(patterns_of(F.col("left"), F.col("right"), F.col("value"))).alias("pattern"), "value", "kind"
+    )
+    edges = seeds.union(free.select("pattern", "value", F.lit(None).cast("string"))).filter("pattern is not null")
     patterns, unseen = pattern_scores(edges, store)
-    sure = patterns.filter(F.col("score") >= SURE).select(F.col("pattern").alias("context"), "kind")
+    sure = patterns.filter(F.col("score") >= SURE).select("pattern", "kind")
     new = (
-        free.drop("kind").join(sure, "context")
+        free.drop("kind").join(sure, "pattern")
         .join(unseen.filter(F.col("score") >= SURE).select("value", "kind"), ["value", "kind"])
-        .select("_row", "doc_id", "text_key", "kind", "start", "end", F.lit(False).alias("seed"))
+        .select("_row", "doc_id", "text_key", "kind", "start", "end")
     )
     every = seen.filter("kind is null or kind <> 'token'").select(
-        "_row", "doc_id", "text_key", "kind", "start", "end", F.lit(True).alias("seed")
-    ).unionByName(new)
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+        "_row", "doc_id", "text_key", "kind", "start", "end", F.col("kind").isin(KINDS).alias("seed")
+    ).unionByName(new.withColumn("seed", F.lit(False)))
+    rank = F.array_position(F.array(*map(F.lit, KINDS + [SECRET])), F.col("kind"))
     span = F.when(F.col("kind").isNotNull(), F.struct("start", rank.alias("rank"), "end", "kind"))
     return every.groupBy("_row", "doc_id", "text_key").agg(
         F.array_sort(F.collect_list(F.when(F.col("seed"), span))).alias("base"),
@@ -227,14 +289,15 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     What is masked depends on the text alone, so rows are matched by its md5. Null stays null.
     """
+    key, found_col = spare(docs, "text_key"), spare(docs, "spans")
     spans = (
         found_spans(docs, id_col, text_col).filter(F.size("spans") > 0)
-        .groupBy(F.col("text_key").alias("_text_key")).agg(F.first("spans").alias("_spans"))
+        .groupBy(F.col("text_key").alias(key)).agg(F.first("spans").alias(found_col))
     )
-    keyed = docs.withColumn("_text_key", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    found = F.coalesce("_spans", F.array().cast("array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>"))
+    keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    found = F.coalesce(found_col, F.array().cast("array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>"))
     return (
-        keyed.join(spans, "_text_key", "left")
+        keyed.join(spans, key, "left")
         .withColumn(text_col, masked(F.col(text_col), found))
-        .select(*[f"`{c}`" for c in docs.columns])
+        .select(quoted(docs.columns))
     )

@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vigil.session import shared_dir
 
 
+def spare(docs: DataFrame, name: str) -> str:
+    """A column name like `name` that docs does not have, in either case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names as select() takes them, with points and backticks in them."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 class Store:
     """Parquet tables of one run. A written table cuts lineage and survives lost executors."""
 
