@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigil.llm import decontaminate, minhash, nbest, pii, toxicity
+from vigil.llm.stores import quoted, spare
 from vigil.session import shared_dir
 
 
@@ -36,10 +37,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows are told apart by a hash of id and text, so null and repeated ids do no harm.
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = decontaminate.contamination(keyed, items, id_col="_key")
-    dirty = found.filter("contaminated").select(F.col("doc_id").alias("_key"))
-    return keyed.join(dirty, "_key", "left_anti").select(docs.columns)
+    key = spare(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = decontaminate.contamination(keyed, items, id_col=key)
+    dirty = found.filter("contaminated").select(F.col("doc_id").alias(key))
+    return keyed.join(dirty, key, "left_anti").select(quoted(docs.columns))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
