@@ -136,6 +136,56 @@ fit as (
 )
 select page_id, host, path, rule, coalesce(rverdict, 'allow') as verdict
 from parts left join fit using (r)
+""",
+    "op3_decontamination": r"""
+with items as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+),
+windows as (
+    select distinct item_id, least(len(w), 10) as size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as phrase
+    from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)
+),
+texts as (
+    select row_number() over () as t, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+),
+words as (select t, unnest(w) as word, generate_subscripts(w, 1) as i from texts),
+tens as (select t, i, list(word) over (partition by t order by i rows between current row and 9 following) as w from words),
+hits as (
+    select t, i, size, item_id
+    from (select t, i, size, array_to_string(w[1 : size], ' ') as phrase from tens, (select distinct size from windows) where size <= len(w))
+    join windows using (size, phrase)
+),
+hit as (select t, count(distinct place) as n_hit from (select t, unnest(range(i, i + size)) as place from hits) group by t),
+found as (select t, list_sort(list(distinct item_id::varchar)) as ids from hits group by t)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(ids), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from texts left join hit using (t) left join found using (t)
+""",
+    "op9_minhash": r"""
+with recursive texts as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i, len(w) as n from texts),
+fives as (
+    select doc_id, i, n, list(word) over (partition by doc_id order by i rows between current row and 4 following) as w from words
+),
+shingles as (
+    select distinct doc_id, array_to_string(w, ' ') as s from fives where len(w) = 5 or (n < 5 and i = 1)
+),
+sizes as (select doc_id, count(*)::bigint as n from shingles group by doc_id),
+shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as c
+    from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all
+),
+links as (
+    select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * c >= 75 * (p.n + q.n - c)
+),
+reach(doc_id, other) as (
+    select doc_id, doc_id from documents union select reach.doc_id, links.b from reach join links on links.a = reach.other
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from (select doc_id, min(other) as component_id from reach group by doc_id) left join sizes using (doc_id)
 """,
     "op12_filter_audit": r"""
 with recursive letters(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
