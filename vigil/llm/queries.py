@@ -28,7 +28,8 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffix_dedup.repeated(read(spark, sf, "documents"), with_text=False).drop("kept_text")
+    found = suffix_dedup.repeated(read(spark, sf, "documents"), with_text=False).drop("kept_text")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,11 +10,12 @@ Every byte that a string of LENGTH bytes covers goes if the string also starts e
    Larsson-Sadakane refinement (the order by h bytes becomes the order by 2h bytes by sorting
    unsettled groups by the rank h bytes on), and Kasai's walk in text order gives the common
    prefixes of neighbours. A string is repeated if its piece occurs again or the common prefix
-   with a neighbour has LENGTH bytes.
+   with a neighbour has LENGTH bytes. An anchor with one distinct piece needs no sort: the
+   piece occurs again, so all its strings do.
 3. An anchor whose pieces would overfill a shard is split over several. Their strings are
    merged across shards: each shard sends the sorted fingerprints of its strings by range, each
-   once, and in each range those that several shards sent are found by one sort. There are as
-   many ranges as the bytes of the split anchors ask for.
+   once, and each shard's run is looked up in the union of the range by binary search. There
+   are as many ranges as the bytes of the split anchors ask for.
 
 Decisions depend on the text alone, so copies of a text are handled once.
 """
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from vigil.llm.bytetext import ARROW_BATCH_BYTES, bounded_batches, chunks, mix, powers, text_bytes
@@ -183,7 +185,7 @@ def common_prefixes(
     text: np.ndarray, left: np.ndarray, order: np.ndarray, first: np.ndarray, size: np.ndarray, most: int
 ) -> np.ndarray:
     """Common prefix, up to `most`, of each suffix in the order with the one before it; gaps
-    have nothing in common.
+    have nothing in common. Zero for suffixes of fewer than `most` bytes, which end the walk.
 
     Kasai: from one place to the next in the text, a common prefix shrinks by one at most. The
     walk goes through all pieces (first place, size) side by side, eight bytes at a time.
@@ -195,10 +197,11 @@ def common_prefixes(
     padded[:n] = text
     words = np.lib.stride_tricks.sliding_window_view(padded, 8)
     out = np.zeros(n, np.int64)
-    by_size = np.argsort(-size, kind="stable")
-    first, size = first[by_size], size[by_size]
+    walk = np.maximum(size - most + 1, 0)
+    by_walk = np.argsort(-walk, kind="stable")
+    first, walk = first[by_walk], walk[by_walk]
     held = np.zeros(len(first), np.int64)
-    active = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), "right") if len(size) else []
+    active = np.searchsorted(-walk, -np.arange(1, int(walk[0]) + 1), "right") if len(walk) else []
     for t, m in enumerate(active):
         i = first[:m] + t
         h = np.maximum(held[:m] - 1, 0)
@@ -232,6 +235,8 @@ def _low_byte(x: np.ndarray) -> np.ndarray:
 def repeated_starts(bodies: list[bytes]) -> np.ndarray:
     """For the bodies laid side by side with a gap byte after each: which places begin a
     LENGTH-byte string, inside one body, that also begins elsewhere in them."""
+    if not bodies:
+        return np.zeros(0, bool)
     text = np.frombuffer(b"".join(x + bytes([_GAP]) for x in bodies), np.uint8)
     size = np.fromiter(map(len, bodies), np.int64, len(bodies))
     first = np.r_[0, np.cumsum(size + 1)][:-1]
@@ -244,9 +249,12 @@ def repeated_starts(bodies: list[bytes]) -> np.ndarray:
     return again
 
 
-def intervals(flags: np.ndarray) -> list[dict[str, int]]:
-    edges = np.flatnonzero(np.diff(np.r_[False, flags, False].view(np.int8)))
-    return [{"first": a, "last": b - 1} for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist())]
+def starts_column(piece: np.ndarray, first: np.ndarray, last: np.ndarray, n: int) -> pa.Array:
+    """For each of n pieces its intervals of starts, as a list."""
+    order = np.argsort(piece, kind="stable")
+    ends = np.r_[0, np.cumsum(np.bincount(piece, minlength=n))]
+    values = pa.StructArray.from_arrays([pa.array(x[order].astype(np.int64)) for x in (first, last)], ["first", "last"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 _STARTS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
@@ -264,38 +272,56 @@ def _shard(ranges: int):
 def _shard_rows(table: pa.Table, ranges: int) -> pa.Table:
     """Repeated starts of each piece, within the shard; of split anchors also the fingerprints
     of what they hold, sorted and cut to ranges."""
-    rows = table.to_pylist()
-    again = repeated_starts([r["body"] for r in rows])
-    out, left, at = [], [], 0
-    for r in rows:
-        n = len(r["body"]) - LENGTH + 1
-        flags = again[at : at + n] if r["copies"] < 2 else np.ones(n, bool)
-        out.append((r["s1"], r["s2"], intervals(flags)))
-        if r["split"]:
-            prints = rolling(np.frombuffer(r["body"], np.uint8), LENGTH)
-            left.append((prints, np.full(n, r["s1"]), np.full(n, r["s2"]), np.arange(n)))
-        at += len(r["body"]) + 1
+    anchor, s1, s2, copies, split = (
+        table.column(c).to_numpy() for c in ("anchor", "s1", "s2", "copies", "split")
+    )
+    bodies = table.column("body").to_pylist()
+    count = np.fromiter(map(len, bodies), np.int64, len(bodies)) - LENGTH + 1
+    which, members = np.unique(anchor, return_inverse=True, return_counts=True)[1:]
+    # The other places of an only piece's strings are its copies: no suffixes to compare.
+    alone = (copies > 1) & (members[which] == 1) & ~split
+    compared = np.flatnonzero(~alone)
+    again = repeated_starts([bodies[i] for i in compared])
+    at = np.r_[0, np.cumsum(count[compared] + LENGTH)]
+    for i in np.flatnonzero(copies[compared] > 1).tolist():
+        again[at[i] : at[i] + count[compared[i]]] = True
+    # Intervals end in the piece they begin in, as its last LENGTH - 1 bytes begin no string.
+    edges = np.flatnonzero(np.diff(np.r_[False, again, False].view(np.int8)))
+    low, high = edges[0::2], edges[1::2] - 1
+    owner = np.searchsorted(at, low, "right") - 1
+    settled = np.flatnonzero(alone)
+    starts = starts_column(
+        np.r_[compared[owner], settled],
+        np.r_[low - at[owner], np.zeros(len(settled), np.int64)],
+        np.r_[high - at[owner], count[settled] - 1],
+        len(bodies),
+    )
+    left = []
+    for i in np.flatnonzero(split).tolist():
+        prints = rolling(np.frombuffer(bodies[i], np.uint8), LENGTH)
+        left.append((prints, np.full(count[i], s1[i]), np.full(count[i], s2[i]), np.arange(count[i])))
     sent: list[tuple] = []
     if left:
-        prints, s1, s2, start = (np.concatenate(x) for x in zip(*left))
+        prints, p1, p2, start = (np.concatenate(x) for x in zip(*left))
         order = np.argsort(prints, kind="stable")
         # What the shard has several times is settled here; once is enough for the others.
         order = order[np.r_[True, prints[order[1:]] != prints[order[:-1]]]]
-        prints, s1, s2, start = prints[order], s1[order], s2[order], start[order]
+        prints, p1, p2, start = prints[order], p1[order], p2[order], start[order]
         cut = np.searchsorted(prints, range_cuts(ranges))
         for r, (a, b) in enumerate(zip(cut, np.r_[cut[1:], len(prints)])):
             if b > a:
-                sent.append((r, *(x[a:b].tobytes() for x in (prints, s1, s2, start))))
-    n, m = len(out), len(sent)
-    column = lambda values, kind: pa.array(values, kind)
+                sent.append((r, *(x[a:b].tobytes() for x in (prints, p1, p2, start))))
+    found = pa.table({"s1": s1, "s2": s2, "starts": starts}).filter(pc.greater(pc.list_value_length(starts), 0))
+    n, m = len(found), len(sent)
+    after = lambda column, kind: pa.concat_arrays([*column.chunks, pa.nulls(m, kind)])
     return pa.table(
         {
-            "s1": column([x[0] for x in out] + [None] * m, pa.int64()),
-            "s2": column([x[1] for x in out] + [None] * m, pa.int64()),
-            "starts": column([x[2] for x in out] + [None] * m, _STARTS),
-            "range": column([None] * n + [x[0] for x in sent], pa.int64()),
+            "s1": after(found["s1"], pa.int64()),
+            "s2": after(found["s2"], pa.int64()),
+            "starts": after(found["starts"], _STARTS),
+            "range": pa.array([None] * n + [x[0] for x in sent], pa.int64()),
             **{
-                name: column([None] * n + [x[c] for x in sent], pa.binary())
+                name: pa.array([None] * n + [x[c] for x in sent], pa.binary())
                 for c, name in enumerate(("prints", "p1", "p2", "at"), 1)
             },
         }
@@ -307,24 +333,29 @@ _SHARD_SCHEMA = """s1 bigint, s2 bigint, starts array<struct<first:bigint,last:b
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """Strings of one range that more than one shard sent, found by one sort: no shard sends a
-    string twice. A string that its own shard already found again changes nothing."""
-    prints, s1, s2, start = (
-        np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+    """Strings of one range that more than one shard sent: each shard's sorted run is looked up
+    in the union of all by binary search, and no shard sends a string twice. A string that its
+    own shard already found again changes nothing."""
+    runs = [
+        [np.frombuffer(x, kind) for x in table.column(c).to_pylist()]
         for c, kind in (("prints", np.uint64), ("p1", np.int64), ("p2", np.int64), ("at", np.int64))
-    )
-    order = np.argsort(prints, kind="stable")
-    same = prints[order[1:]] == prints[order[:-1]]
-    hit = order[np.r_[False, same] | np.r_[same, False]]
-    out: dict[tuple[int, int], list[int]] = {}
-    for a, b, at in zip(s1[hit].tolist(), s2[hit].tolist(), start[hit].tolist()):
-        out.setdefault((a, b), []).append(at)
+    ]
+    union = np.sort(np.concatenate(runs[0]))
+    found = []
+    for prints, s1, s2, start in zip(*runs):
+        hit = np.searchsorted(union, prints, "right") - np.searchsorted(union, prints, "left") > 1
+        found.append((s1[hit], s2[hit], start[hit]))
+    s1, s2, start = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((start, s2, s1))
+    s1, s2, start = s1[order], s2[order], start[order]
+    new = np.r_[True, (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])][: len(s1)]
+    # Neighbouring starts of one piece are one interval.
+    head = np.flatnonzero(new | np.r_[True, start[1:] != start[:-1] + 1][: len(s1)])
+    last = start[np.r_[head[1:], len(s1)] - 1] if len(head) else head
+    pieces = np.flatnonzero(new)
+    owner = np.searchsorted(pieces, head, "right") - 1
     return pa.table(
-        {
-            "s1": pa.array([k[0] for k in out], pa.int64()),
-            "s2": pa.array([k[1] for k in out], pa.int64()),
-            "starts": pa.array([[{"first": x, "last": x} for x in v] for v in out.values()], _STARTS),
-        }
+        {"s1": s1[pieces], "s2": s2[pieces], "starts": starts_column(owner, start[head], last, len(pieces))}
     )
 
 
@@ -375,8 +406,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     own = docs.select(*keys, text.alias("text")).filter(F.octet_length("text") >= LENGTH)
 
     anchors = store.keep(own.mapInArrow(_anchors, "k1 bigint, k2 bigint, anchor bigint, place bigint"), "anchors")
-    again = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    live = anchors.join(again, "anchor", "left_semi").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
+    live = _live(store, anchors).groupBy(*KEY).agg(F.collect_set("place").alias("places"))
     texts = store.keep(
         own.groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies")).join(live, KEY), "texts"
     )
@@ -417,6 +447,19 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     )
 
 
+def _live(store: Store, anchors: DataFrame) -> DataFrame:
+    """Rows of anchors that occur again. An anchor with more than a quarter of a shuffle
+    partition's share of all rows is known by its count, so its rows are not shuffled; there
+    are at most four of them for each shuffle partition."""
+    spark = store.spark
+    again = store.keep(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "again")
+    total = again.agg(F.sum("n")).first()[0] or 0
+    share = max(1, total // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = F.broadcast(again.filter(F.col("n") > share).select("anchor"))
+    rest = anchors.join(hot, "anchor", "left_anti").join(again.filter(F.col("n") <= share), "anchor", "left_semi")
+    return anchors.join(hot, "anchor", "left_semi").unionByName(rest)
+
+
 def _repeated_pieces(store: Store, distinct: DataFrame) -> DataFrame:
     """(s1, s2, starts): where repeated strings begin in each distinct piece that has some."""
     size = F.octet_length("body") + 1
@@ -427,7 +470,7 @@ def _repeated_pieces(store: Store, distinct: DataFrame) -> DataFrame:
         "anchor", F.ceil(F.col("bytes") / (SHARD_BYTES // 2)).alias("salts")
     )
     dealt = distinct.join(hot, "anchor", "left").select(
-        "s1", "s2", "body", "copies", F.col("salts").isNotNull().alias("split"),
+        "anchor", "s1", "s2", "body", "copies", F.col("salts").isNotNull().alias("split"),
         # Split anchors have shards of their own, numbered below zero.
         F.when(F.col("salts").isNull(), F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .otherwise(-1 - F.pmod(F.xxhash64("anchor", F.pmod(F.col("s1"), F.col("salts"))), F.lit(1 << 40))).alias("shard"),
@@ -439,5 +482,5 @@ def _repeated_pieces(store: Store, distinct: DataFrame) -> DataFrame:
         found.filter("`range` is not null").groupBy("range")
         .applyInArrow(_merge, "s1 bigint, s2 bigint, starts array<struct<first:bigint,last:bigint>>")
     )
-    each = found.filter("s1 is not null and size(starts) > 0").select("s1", "s2", "starts")
+    each = found.filter("s1 is not null").select("s1", "s2", "starts")
     return each.unionByName(merged)
