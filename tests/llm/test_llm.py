@@ -181,6 +181,7 @@ def test_quality_counts_and_bands(spark):
     noise = "".join(chr(33 + x) for x in np.random.default_rng(1).integers(0, 90, 4000))
     texts = [prose(3, 300, 5000), "same line here\nsame line here\n \nother #$", noise + " a" * 3, prose(4, 60, 400) * 40]
     rows = quality.quality(table(spark, texts)).collect()
+    rows.sort(key=lambda r: 3 if r.doc_id is None else r.doc_id)
     for text, r in zip(texts, rows):
         words = re.findall(r"[^\x20\x09-\x0D]+", text)
         windows = Counter(zip(words, words[1:], words[2:]))
@@ -190,21 +191,47 @@ def test_quality_counts_and_bands(spark):
             len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again)
         )
     assert [r.kept for r in rows] == [True, False, False, False]
-    press = quality.zstandard.ZstdCompressor(level=3)
-    assert not quality.compression(noise.encode(), press)[3]
+    assert not rows[2].in_band
 
 
-def test_the_rest_of_a_text_is_judged_too():
-    press = quality.zstandard.ZstdCompressor(level=3)
+def test_the_rest_of_a_text_is_judged_too(spark):
     rng = np.random.default_rng(4)
     words = ["".join(chr(97 + x) for x in rng.integers(0, 26, 3 + i % 7)) for i in range(900)]
     text = " ".join(words[x] for x in (900 * rng.random(6000) ** 2).astype(int)).encode()
     noise = base64.b64encode(rng.bytes(9000))
-    assert quality.compression(text[:8191], press)[1:] == (2, 0, True)
-    assert quality.compression(text[:4096] + noise[:4095], press)[1:] == (2, 1, False)
-    assert quality.compression(text[:6000] + b"again and " * 209, press)[1:] == (2, 1, False)
     # A rest weighs by its bytes: 300 of 4396 are no quarter.
-    assert quality.compression(text[:4096] + noise[:300], press)[1:] == (2, 1, True)
+    texts = [text[:8191], text[:4096] + noise[:4095], text[:6000] + b"again and " * 209, text[:4096] + noise[:300]]
+    docs = spark.createDataFrame([(i, x.decode()) for i, x in enumerate(texts)], "doc_id bigint, text string")
+    rows = sorted(quality.quality(docs).collect())
+    assert [(r.n_chunks, r.n_bad_chunks, r.in_band) for r in rows] == [(2, 0, True), (2, 1, False), (2, 1, False), (2, 1, True)]
+
+
+def test_bands_come_from_the_corpus(spark):
+    """Quartiles by hand; a text at a limit is kept, one beyond it is not; copies count once."""
+    rows = [(i, 1500, 0.5005 + i / 1000) for i in range(100)] + [(7, 1500, 0.5075)] * 900
+    rows += [(1000 + i, 3000, 0.4) for i in range(99)]  # too few for limits of their own
+    least, greatest = quality.band_limits(spark.createDataFrame(rows, "text_key bigint, n_bytes bigint, ratio double"))
+    band, few = quality.BANDS_FROM.index(1024), quality.BANDS_FROM.index(2048)
+    # The middle half goes from bin 524 to bin 574, three times 50 reach on from there.
+    assert (least[band], greatest[band]) == (0.374, 0.725)
+    assert (least[few], greatest[few]) == (quality.LEAST[few], quality.GREATEST[few])
+    alike = [(i, 1500, 0.5005) for i in range(200)]
+    least, greatest = quality.band_limits(spark.createDataFrame(alike, "text_key bigint, n_bytes bigint, ratio double"))
+    assert np.isclose(least[band], 0.455) and np.isclose(greatest[band], 0.546)
+    nothing = spark.createDataFrame([], "text_key bigint, n_bytes bigint, ratio double")
+    assert quality.band_limits(nothing) == (quality.LEAST, quality.GREATEST)
+
+
+def test_bands_reject_documents_of_a_corpus(spark):
+    """A text of few different words passes the base rules and every fixed limit; among 200
+    of many words it stands out."""
+    texts = [prose(i, 330, 1500) for i in range(200)]
+    marked = prose(500, 400, 60)
+    alone = quality.quality(table(spark, [marked])).collect()
+    assert [(r.base_failed, r.kept) for r in alone if r.doc_id == 0] == [(False, True)]
+    rows = [r for r in quality.quality(table(spark, [*texts, marked])).collect() if r.doc_id is not None]
+    assert sorted(r.doc_id for r in rows if not r.kept and not r.base_failed) == [200]
+    assert all(r.kept == (r.least_ratio <= r.ratio <= r.greatest_ratio) for r in rows if r.n_chunks == 0 and not r.base_failed)
 
 
 def test_nested_url_rules(spark):

@@ -5,18 +5,22 @@ held against limits for their length, because short texts compress worse: below
 limit a text is repetitive, above the upper one it is noise. A text whose whole lies in its
 band still fails if chunks with more than BAD_CHUNK_SHARE of its bytes do not; the last chunk
 is what remains, held against the limits for its own length.
+
+Fixed limits hold everywhere. In a band with LEAST_TEXTS different texts or more, the corpus
+narrows them: a text fails too if its ratio lies further outside the middle half of the band's
+ratios than FENCE times the width of that half. Ratios of all texts are counted in bins, copies
+of a text once, so the limits take one small row for each band and bin.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, mix, ngram_hashes, text_bytes
+from vigil.llm.stores import Store
 
 LEVEL = 3
 CHUNK = 4096
@@ -26,10 +30,14 @@ BAD_CHUNK_SHARE = 0.25
 BANDS_FROM = [0, 128, 256, 512, 1024, 2048, 4096, 8192, 16384]
 LEAST = [0.0, 0.30, 0.33, 0.33, 0.32, 0.30, 0.28, 0.27, 0.26]
 GREATEST = [float("inf"), 0.98, 0.90, 0.80, 0.74, 0.70, 0.68, 0.66, 0.65]
+LEAST_TEXTS = 100
+FENCE = 3.0
+LEAST_WIDTH = 0.03  # of the median; many alike texts must not make the middle half narrower
+BINS = 1000  # in a ratio of 1
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
 SCHEMA = """struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,
-            n_repeat_words:bigint,ratio:double,n_chunks:bigint,n_bad_chunks:bigint,in_band:boolean>"""
+            n_repeat_words:bigint,ratio:double,chunk_ratios:array<double>>"""
 _CHAR_STARTS = (np.arange(256) & 0xC0) != 0x80
 
 
@@ -77,27 +85,13 @@ def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
-def in_band(size: int, ratio: float) -> bool:
-    band = bisect_right(BANDS_FROM, size) - 1
-    return LEAST[band] <= ratio <= GREATEST[band]
-
-
-def compression(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, int, int, bool]:
-    """Ratio of the whole text, number of chunks, of those out of band, and the verdict."""
+def ratios(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, list[float]]:
+    """Compressed share of the whole text, and of each chunk if there are several."""
     if not text:
-        return 1.0, 0, 0, True
-    ratio = len(press.compress(text)) / len(text)
-    whole = in_band(len(text), ratio)
-    n = bad = bad_bytes = 0
-    if len(text) > CHUNK:
-        for at in range(0, len(text), CHUNK):
-            part = text[at : at + CHUNK]
-            n += 1
-            if not in_band(len(part), len(press.compress(part)) / len(part)):
-                bad += 1
-                bad_bytes += len(part)
-    return ratio, n, bad, whole and bad_bytes <= BAD_CHUNK_SHARE * len(text)
-
+        return 1.0, []
+    parts = [text[at : at + CHUNK] for at in range(0, len(text), CHUNK)] if len(text) > CHUNK else []
+    whole, *rest = (len(press.compress(x)) / len(x) for x in (text, *parts))
+    return whole, rest
 
 
 def measured(column: pa.Array) -> pa.Array:
@@ -105,32 +99,90 @@ def measured(column: pa.Array) -> pa.Array:
     press = zstandard.ZstdCompressor(level=LEVEL)
     for a, b in chunks(texts):
         found = counts(texts[a:b])
-        ratio, n, bad, ok = zip(*(compression(t, press) for t in texts[a:b]))
+        whole, rest = zip(*(ratios(t, press) for t in texts[a:b]))
         parts.append(
             pa.StructArray.from_arrays(
                 [pa.array(v, pa.int64()) for v in found.values()]
-                + [pa.array(ratio, pa.float64()), pa.array(n, pa.int64()), pa.array(bad, pa.int64()), pa.array(ok, pa.bool_())],
-                [*found, "ratio", "n_chunks", "n_bad_chunks", "in_band"],
+                + [pa.array(whole, pa.float64()), pa.array(rest, pa.list_(pa.float64()))],
+                [*found, "ratio", "chunk_ratios"],
             )
         )
     return pa.concat_arrays(parts)
 
 
+def by_length(size: Column, values: list) -> Column:
+    """The value of the band that a length lies in."""
+    found = F.lit(values[0])
+    for low, value in zip(BANDS_FROM[1:], values[1:]):
+        found = F.when(size >= low, F.lit(value)).otherwise(found)
+    return found
+
+
+def band_limits(measures: DataFrame) -> tuple[list[float], list[float]]:
+    """Least and greatest ratio of each band, from (text_key, n_bytes, ratio) of all texts.
+
+    Quartiles are those of the bins, exact and the same however rows are dealt. At most one row
+    for each band reaches the driver.
+    """
+    bins = (
+        measures.select(
+            "text_key", by_length(F.col("n_bytes"), list(range(len(BANDS_FROM)))).alias("band"),
+            F.floor(F.col("ratio") * BINS).alias("bin"),
+        )
+        .distinct().groupBy("band", "bin").agg(F.count("*").alias("n"))
+    )
+    of_band = Window.partitionBy("band")
+    placed = bins.withColumn("upto", F.sum("n").over(of_band.orderBy("bin"))).withColumn("all", F.sum("n").over(of_band))
+    quartiles = placed.filter(F.col("all") >= LEAST_TEXTS).groupBy("band").agg(
+        *[F.min(F.when(4 * F.col("upto") >= q * F.col("all"), F.col("bin"))).alias(f"q{q}") for q in (1, 2, 3)]
+    )
+    least, greatest = list(LEAST), list(GREATEST)
+    for r in quartiles.filter("band > 0").collect():
+        reach = FENCE * max(r.q3 - r.q1, LEAST_WIDTH * r.q2)
+        least[r.band] = max(least[r.band], (r.q1 - reach) / BINS)
+        greatest[r.band] = min(greatest[r.band], (r.q3 + 1 + reach) / BINS)
+    return least, greatest
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts, base_failed, kept, and the compression figures, for each row of docs.
+    """Counts, base_failed, kept, and the compression figures with their limits, for each row.
 
     Null texts have no words, as have empty ones; both fail the base rules. Repeated rows are
-    judged one by one; other columns are not read.
+    judged one by one and count once for the limits; other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    measures = Store(spark, "quality").keep(
+        docs.select(
+            F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
+            F.octet_length(text).cast("bigint").alias("n_bytes"), F.arrow_udf(measured, SCHEMA)(F.col(text_col)).alias("m"),
+        ).select("doc_id", "text_key", "n_bytes", "m.*"),
+        "measures",
+    )
+    limits = band_limits(measures)
+    size, n = F.col("n_bytes"), F.col("n_chunks")
+    last = size - CHUNK * (n - 1)
+
+    def outside(ratio: Column, length: Column) -> Column:
+        least, greatest = (by_length(length, x) for x in limits)
+        return ~ratio.between(least, greatest)
+
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    full = F.slice("chunk_ratios", F.lit(1), F.greatest(n - 1, F.lit(0)).cast("int"))
+    bad_full = F.size(F.filter(full, lambda x: outside(x, F.lit(CHUNK)))).cast("bigint")
+    bad_last = F.coalesce(outside(F.try_element_at("chunk_ratios", F.lit(-1)), last), F.lit(False)).cast("bigint")
     return (
-        docs.select(F.col(id_col).alias("doc_id"), F.arrow_udf(measured, SCHEMA)(F.col(text_col)).alias("m"))
-        .select("doc_id", "m.*")
+        measures.withColumn("n_chunks", F.size("chunk_ratios").cast("bigint"))
+        .withColumns({"bad_full": bad_full, "bad_last": bad_last})
+        .withColumn("n_bad_chunks", F.col("bad_full") + F.col("bad_last"))
+        .withColumn("bad_bytes", CHUNK * F.col("bad_full") + F.col("bad_last") * last)
+        .withColumn("in_band", ~outside(F.col("ratio"), size) & (F.col("bad_bytes") <= BAD_CHUNK_SHARE * size))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & F.col("in_band"))
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks",
+            "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks", "in_band",
+            *[by_length(size, x).alias(name) for x, name in zip(limits, ("least_ratio", "greatest_ratio"))],
         )
     )
