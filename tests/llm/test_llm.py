@@ -222,6 +222,15 @@ def test_bands_come_from_the_corpus(spark):
     assert quality.band_limits(nothing) == (quality.LEAST, quality.GREATEST)
 
 
+def test_near_copies_do_not_set_the_bands(spark):
+    """Three hundred near copies of a text that compresses well, beside 120 others of its length."""
+    texts = [prose(i, 330, 1500) for i in range(120)]
+    words = prose(600, 420, 90).split()
+    copies = [" ".join([*words[:200], f"v{i}", *words[201:]]) for i in range(300)]
+    rows = quality.quality(table(spark, texts + copies)).collect()
+    assert all(r.kept for r in rows if r.doc_id is not None and r.doc_id < 120)
+
+
 def test_bands_reject_documents_of_a_corpus(spark):
     """A text of few different words passes the base rules and every fixed limit; among 200
     of many words it stands out."""

@@ -8,8 +8,10 @@ is what remains, held against the limits for its own length.
 
 Fixed limits hold everywhere. In a band with LEAST_TEXTS different texts or more, the corpus
 narrows them: a text fails too if its ratio lies further outside the middle half of the band's
-ratios than FENCE times the width of that half. Ratios of all texts are counted in bins, copies
-of a text once, so the limits take one small row for each band and bin.
+ratios than FENCE times the width of that half. Ratios of all texts that pass the base rules and
+lie within the fixed limits are counted in bins, so the limits take one small row for each band and bin. Texts of a band with the same least hash of
+five words in a row count once there, so that a large group of copies or near copies does not
+set the limits for other texts.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ BINS = 1000  # in a ratio of 1
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
 SCHEMA = """struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,
-            n_repeat_words:bigint,ratio:double,chunk_ratios:array<double>>"""
+            n_repeat_words:bigint,least_window:bigint,ratio:double,chunk_ratios:array<double>>"""
 _CHAR_STARTS = (np.arange(256) & 0xC0) != 0x80
 
 
@@ -53,9 +55,8 @@ def _repeated(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
     return again, later
 
 
-def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
-    words = Words(texts, NOT_SPACE)
-    buf, n = words.buffer, len(texts)
+def counts(words: Words) -> dict[str, np.ndarray]:
+    buf, n = words.buffer, words.buffer.n
 
     def per_text(flags: np.ndarray) -> np.ndarray:
         return np.add.reduceat(flags, buf.text_at[:-1], dtype=np.int64)
@@ -85,6 +86,19 @@ def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
+def least_windows(words: Words) -> pa.Array:
+    """For each text the least hash of five words in a row; null for fewer words."""
+    owner, windows = words.text_of_word(), ngram_hashes(words.hashes, 5)
+    inside = owner[: len(windows)] == owner[4:]
+    owner, windows = owner[: len(windows)][inside], windows[inside]
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
+    out, none = np.zeros(words.buffer.n, np.int64), np.ones(words.buffer.n, bool)
+    if len(first):
+        out[owner[first]] = np.minimum.reduceat(windows, first).view(np.int64)
+        none[owner[first]] = False
+    return pa.array(out, mask=none)
+
+
 def ratios(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, list[float]]:
     """Compressed share of the whole text, and of each chunk if there are several."""
     if not text:
@@ -98,13 +112,14 @@ def measured(column: pa.Array) -> pa.Array:
     texts, parts = text_bytes(column), []
     press = zstandard.ZstdCompressor(level=LEVEL)
     for a, b in chunks(texts):
-        found = counts(texts[a:b])
+        words = Words(texts[a:b], NOT_SPACE)
+        found = counts(words)
         whole, rest = zip(*(ratios(t, press) for t in texts[a:b]))
         parts.append(
             pa.StructArray.from_arrays(
                 [pa.array(v, pa.int64()) for v in found.values()]
-                + [pa.array(whole, pa.float64()), pa.array(rest, pa.list_(pa.float64()))],
-                [*found, "ratio", "chunk_ratios"],
+                + [least_windows(words), pa.array(whole, pa.float64()), pa.array(rest, pa.list_(pa.float64()))],
+                [*found, "least_window", "ratio", "chunk_ratios"],
             )
         )
     return pa.concat_arrays(parts)
@@ -119,17 +134,20 @@ def by_length(size: Column, values: list) -> Column:
 
 
 def band_limits(measures: DataFrame) -> tuple[list[float], list[float]]:
-    """Least and greatest ratio of each band, from (text_key, n_bytes, ratio) of all texts.
+    """Least and greatest ratio of each band, from (text_key, n_bytes, ratio) of texts; those
+    outside the fixed limits do not count, those of one key and band once, by their least ratio.
 
     Quartiles are those of the bins, exact and the same however rows are dealt. At most one row
     for each band reaches the driver.
     """
+    fixed = (by_length(F.col("n_bytes"), x) for x in (LEAST, GREATEST))
     bins = (
-        measures.select(
+        measures.filter(F.col("ratio").between(*fixed)).select(
             "text_key", by_length(F.col("n_bytes"), list(range(len(BANDS_FROM)))).alias("band"),
             F.floor(F.col("ratio") * BINS).alias("bin"),
         )
-        .distinct().groupBy("band", "bin").agg(F.count("*").alias("n"))
+        .groupBy("text_key", "band").agg(F.min("bin").alias("bin"))
+        .groupBy("band", "bin").agg(F.count("*").alias("n"))
     )
     of_band = Window.partitionBy("band")
     placed = bins.withColumn("upto", F.sum("n").over(of_band.orderBy("bin"))).withColumn("all", F.sum("n").over(of_band))
@@ -155,12 +173,14 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     measures = Store(spark, "quality").keep(
         docs.select(
-            F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"),
+            F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("own_key"),
             F.octet_length(text).cast("bigint").alias("n_bytes"), F.arrow_udf(measured, SCHEMA)(F.col(text_col)).alias("m"),
-        ).select("doc_id", "text_key", "n_bytes", "m.*"),
+        ).select("doc_id", "own_key", "n_bytes", "m.*")
+        .select("*", F.coalesce("least_window", "own_key").alias("text_key")),
         "measures",
     )
-    limits = band_limits(measures)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    limits = band_limits(measures.filter(~failed))
     size, n = F.col("n_bytes"), F.col("n_chunks")
     last = size - CHUNK * (n - 1)
 
@@ -168,7 +188,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         least, greatest = (by_length(length, x) for x in limits)
         return ~ratio.between(least, greatest)
 
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     full = F.slice("chunk_ratios", F.lit(1), F.greatest(n - 1, F.lit(0)).cast("int"))
     bad_full = F.size(F.filter(full, lambda x: outside(x, F.lit(CHUNK)))).cast("bigint")
     bad_last = F.coalesce(outside(F.try_element_at("chunk_ratios", F.lit(-1)), last), F.lit(False)).cast("bigint")
