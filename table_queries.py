@@ -228,10 +228,13 @@ def ingest_array_document(spark, sf):
         F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("rank")).alias("customer"),
         F.array(F.struct(F.concat(F.lit('],{"'), "o_orderstatus").alias("status"))).alias("marks"),
     )
+    # Many tasks make the elements and one puts them into the document. Only there is it known
+    # which comes first: the first partition of a table may hold no rows.
+    o.select(F.to_json(body, {"pretty": "true"}).alias("value")).write.parquet(f"{root}/elements")
     first = F.monotonically_increasing_id() == 0
-    elements = o.select(F.concat(F.when(first, "[").otherwise(","), F.to_json(body, {"pretty": "true"})).alias("value"))
-    end = spark.range(1).select(F.lit("]").alias("value"))
-    elements.union(end).coalesce(1).write.text(f"{root}/raw/lims_raw/records")
+    elements = spark.read.parquet(f"{root}/elements").coalesce(1).select(F.concat(F.when(first, "").otherwise(","), "value").alias("value"))
+    edge = [spark.range(1).select(F.lit(c).alias("value")) for c in "[]"]
+    edge[0].union(elements).union(edge[1]).coalesce(1).write.text(f"{root}/raw/lims_raw/records")
     ingest(spark, source_for("lims_raw"), f"{root}/raw", f"{root}/landing", f"{root}/ckpt", archive=False)
     table = LandingTable(spark, f"{root}/landing", "lims_raw").read()
     return table.select("order", "customer__id", "customer__rank", "marks__0__status")
