@@ -152,6 +152,10 @@ def record_hash_dedup(spark, sf):
     every = each.withColumn("id", F.col("event_id") + F.col("form") * F.lit(10**12))
     exact = F.try_parse_json(exact_json(F.col("text")))
     hashed = every.withColumn("_raw_hash", record_hash(F.parse_json("text"), exact))
+    # Each record is parsed once, not once for every side of the comparison.
+    path = f"{shared_dir(spark)}/vigil-{uuid.uuid4().hex}/hashed"
+    hashed.select("event_id", "event_type", "id", "_raw_hash").write.parquet(path)
+    hashed = spark.read.parquet(path)
     stored = hashed.filter(F.col("event_type") == "view")
     return dedup.unseen(hashed, "_raw_hash", "id", stored).select("event_id", "id")
 

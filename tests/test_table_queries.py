@@ -58,3 +58,12 @@ def test_lines_left_unparsed_are_no_json(spark):
     got = {r.value: (r.piece, r.parses) for r in df.select("value", records._piece(F.col("value")).alias("piece"), parsed.alias("parses")).collect()}
     assert not [v for v, (piece, parses) in got.items() if piece and parses]
     assert not [v for v in pieces if v not in ('"x" : [ "', '"a{') and not got[v][0]]
+
+
+def test_record_hashes_are_made_once(spark, tmp_path):
+    """Neither side of the comparison parses the records again."""
+    spark.sql("SELECT id AS event_id, id % 3 AS user_id, if(id % 4 = 0, 'view', 'click') AS event_type, 1.5D AS value FROM range(40)").write.parquet(str(tmp_path / "events.parquet"))
+    found = all_queries()["record_hash_dedup"](spark, str(tmp_path))
+    assert "parse_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # The repeat with other key order is left out, the other spelling of the number is not.
+    assert sorted(r.id for r in found.collect()) == sorted(k + form * 10**12 for k in range(40) if k % 4 for form in (0, 2))
