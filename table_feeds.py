@@ -8,6 +8,8 @@ Spark and DuckDB read alike, so both sides of a check start from the same rows.
 
 from __future__ import annotations
 
+from vigil.session import stored_bytes
+
 
 def iso(day: str) -> str:
     return f"CAST(CAST({day} AS DATE) AS STRING)"
@@ -181,10 +183,17 @@ TABLES = (
 )
 
 
+def _sources(spark, sf_dir: str, name: str) -> dict:
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in FEEDS[name]}
+
+
 def spark_feed(spark, sf_dir: str, name: str):
-    text = FEEDS[name]
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
-    return spark.sql(text, **used)
+    return spark.sql(FEEDS[name], **_sources(spark, sf_dir, name))
+
+
+def feed_bytes(spark, sf_dir: str, name: str) -> int:
+    """Size of the largest table a feed is made of."""
+    return max(stored_bytes(df) for df in _sources(spark, sf_dir, name).values())
 
 
 def duckdb_feed(name: str) -> str:

@@ -7,12 +7,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from table_feeds import spark_feed
+from table_feeds import feed_bytes, spark_feed
 from vigil.functions import keys, measures, numeric as num, rules, temporal as tm, text as tx
 from vigil.operators import calendar as cal, conform, dedup, lookup, rollup
 from vigil.plans import dimensions as dim, facts, gold, silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
-from vigil.session import configure, shared_dir
+from vigil.session import METHOD_LIMIT, configure, shared_dir, size_shuffles, small_methods, stored_bytes
 from vigil.sources.files import exists, list_files
 from vigil.sources.flatten import exact_json, flatten, leaf_rows, leaf_types, record_hash
 from vigil.sources.landing import LandingTable
@@ -53,6 +53,8 @@ def spine_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return first.union(later).agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
+SPLIT_BYTES = 4 << 20  # Spark cuts files no smaller
+
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -61,11 +63,16 @@ def _landing(spark: SparkSession, sf: str, root: str, name: str) -> DataFrame:
     path = f"{root}/{name}"
     if not exists(spark, f"{path}/_SUCCESS"):
         feed = spark_feed(spark, sf, name)
-        # One small input file is one task; stored landing tables have many.
-        tasks = spark.sparkContext.defaultParallelism
-        narrow = feed.rdd.getNumPartitions() < tasks
-        (feed.repartition(tasks) if narrow else feed).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        # Files of fewer splits than tasks are one task each; stored landing tables have many.
+        # Asking the rows for their partitions would run every shuffle below them twice.
+        tasks, size = spark.sparkContext.defaultParallelism, feed_bytes(spark, sf, name)
+        size_shuffles(spark, size)
+        narrow = size < tasks * SPLIT_BYTES
+        with small_methods(spark):
+            (feed.repartition(tasks) if narrow else feed).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    size_shuffles(spark, stored_bytes(stored))
+    return stored
 
 
 def warehouse(spark: SparkSession, sf: str) -> Warehouse:
@@ -79,8 +86,15 @@ def warehouse(spark: SparkSession, sf: str) -> Warehouse:
     return _warehouses[key]
 
 
-def model(name: str):
-    return lambda spark, sf: warehouse(spark, sf).prepared(name)
+def model(name: str, layer: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = warehouse(spark, sf).prepared(name)
+        if layer == "silver":
+            # Runs when the caller reads it; the next query sets its own.
+            spark.conf.set(METHOD_LIMIT, "8000")
+        return df
+
+    return run
 
 
 def confirmed_by_week_and_county(spark: SparkSession, sf: str) -> DataFrame:
@@ -745,5 +759,5 @@ def _prepared(build):
 def all_queries():
     named = {f.__name__: f for f in OPERATORS}
     named["lookup_cascade_large"] = partial(lookup_cascade, direct=False)
-    named |= {name: model(name) for _, name, _ in MODELS}
+    named |= {name: model(name, layer) for layer, name, _ in MODELS}
     return {name: _prepared(f) for name, f in named.items()}

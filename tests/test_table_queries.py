@@ -1,5 +1,7 @@
 """Queries over tables of other file layouts and sizes than the benchmark's."""
 
+import os
+import uuid
 from datetime import datetime
 
 import pyarrow as pa
@@ -7,9 +9,13 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import table_queries
 from table_queries import all_queries
+from vigil.session import METHOD_LIMIT, shared_dir, small_methods
 from vigil.sources import records
 
+SMALL = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def conf(spark):
@@ -67,3 +73,32 @@ def test_record_hashes_are_made_once(spark, tmp_path):
     assert "parse_json" not in found._jdf.queryExecution().optimizedPlan().toString()
     # The repeat with other key order is left out, the other spelling of the number is not.
     assert sorted(r.id for r in found.collect()) == sorted(k + form * 10**12 for k in range(40) if k % 4 for form in (0, 2))
+
+
+def test_a_landing_table_is_rendered_once(spark, monkeypatch):
+    """Asking a feed for its partitions would run the shuffles below it before the write does."""
+    if not os.path.isdir(SMALL):
+        pytest.skip("benchmark tables not present")
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "rdd", property(lambda df: pytest.fail("the feed is run to count its partitions")))
+    limits = []
+    feed = table_queries.spark_feed
+
+    def seen(*args):
+        limits.append(spark.conf.get("spark.sql.shuffle.partitions"))
+        return feed(*args)
+
+    monkeypatch.setattr(table_queries, "spark_feed", seen)
+    before = spark.conf.get(METHOD_LIMIT, None)
+    root = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    rows = table_queries._landing(spark, SMALL, root, "lims_raw")
+    assert rows.count() == feed(spark, SMALL, "lims_raw").count()
+    assert len(limits) == 1 and spark.conf.get(METHOD_LIMIT, None) == before
+
+
+def test_wide_columns_are_not_one_method(spark):
+    """HotSpot does not compile methods over 8000 bytes."""
+    before = spark.conf.get(METHOD_LIMIT)
+    with small_methods(spark):
+        assert int(spark.conf.get(METHOD_LIMIT)) <= 8000
+    assert spark.conf.get(METHOD_LIMIT) == before
