@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import table_queries
 from table_queries import all_queries
+from vigil.functions import temporal as tm
 from vigil.session import METHOD_LIMIT, shared_dir, small_methods
 from vigil.sources import records
 
@@ -102,3 +103,18 @@ def test_wide_columns_are_not_one_method(spark):
     with small_methods(spark):
         assert int(spark.conf.get(METHOD_LIMIT)) <= 8000
     assert spark.conf.get(METHOD_LIMIT) == before
+
+
+def test_dates_are_cast_and_equal_the_pattern(spark):
+    """A cast is several times faster than a pattern, and takes the same days."""
+    years, months, days = ("0000", "0001", "1582", "1900", "2000", "2023", "2024", "9999"), range(14), range(33)
+    iso = [(f"{y}-{m:02d}-{d:02d}",) for y in years for m in months for d in days]
+    dmy = [(f" {d:02d}/{m:02d}/{y}",) for y in years for m in months for d in days]
+    df = spark.createDataFrame([*iso, *dmy, ("1/2/2024",), (None,)], "c string")
+    text = F.trim("c")
+    pattern = F.when(text.rlike(tm.ISO_DATE), F.try_to_date(text, "yyyy-MM-dd")).when(
+        text.rlike(tm.DMY_DATE), F.try_to_date(text, "dd/MM/yyyy")
+    )
+    found = df.select(tm.safe_date(F.col("c")).alias("d"), tm.safe_timestamp(F.col("c")).alias("t"), pattern.alias("p"))
+    assert found.filter("NOT (d <=> p AND t <=> CAST(p AS TIMESTAMP))").isEmpty()
+    assert "gettimestamp" not in found.select("d", "t")._jdf.queryExecution().optimizedPlan().toString()
