@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -85,11 +86,16 @@ def _turned(fp: Column, by: int) -> Column:
     return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by)) if by else fp
 
 
+def _depth(round_: int, top: int) -> int:
+    """Bits of a node; each round goes LEVELS deeper."""
+    return min(64, top + LEVELS * round_)
+
+
 def _node(round_: int) -> Column:
-    """The node above a turned fingerprint v, as its bits; each round goes LEVELS deeper."""
+    """The node above a turned fingerprint v, as its bits."""
     out = F.lit(None).cast("bigint")
     for turn, top in enumerate(TOPS):
-        out = F.when(F.col("turn") == turn, F.shiftrightunsigned("v", 64 - min(64, top + LEVELS * round_))).otherwise(out)
+        out = F.when(F.col("turn") == turn, F.shiftrightunsigned("v", 64 - _depth(round_, top))).otherwise(out)
     return out
 
 
@@ -107,8 +113,9 @@ def links(prints: DataFrame, store: Store) -> DataFrame:
         size = F.col("na") + F.when(F.col("a") == F.col("b"), 0).otherwise(F.col("nb"))
         small, large = units.filter(size <= UNIT), units.filter(size > UNIT)
         placed = members.withColumn("node", _node(round_))
+        depth = F.array(*[F.lit(_depth(round_, top)) for top in TOPS])[F.col("turn")].alias("depth")
         sides = [
-            placed.join(u, ["turn", "node"]).select("turn", F.lit(round_).alias("round"), "a", "b", "spent", F.lit(s).alias("side"), "v")
+            placed.join(u, ["turn", "node"]).select("turn", depth, "a", "b", "spent", F.lit(s).alias("side"), "v")
             for s, u in enumerate((
                 small.select("turn", F.col("a").alias("node"), "a", "b", "spent"),
                 small.filter("a <> b").select("turn", F.col("b").alias("node"), "a", "b", "spent"),
@@ -118,7 +125,8 @@ def links(prints: DataFrame, store: Store) -> DataFrame:
         found.append(f"links-{round_}")
         store.keep(
             work.repartition("turn", "a", "b").sortWithinPartitions("turn", "a", "b", "side")
-            .mapInArrow(_traversed, "a bigint, b bigint"),
+            # Workers import this module anew, so what is set here goes with the function.
+            .mapInArrow(partial(_traversed, unit=UNIT, frontier=FRONTIER), "a bigint, b bigint"),
             found[-1],
         )
         if large.isEmpty():
@@ -149,23 +157,23 @@ def links(prints: DataFrame, store: Store) -> DataFrame:
 # --- traversal of small node pairs, in a task -----------------------------------------
 
 
-def _traversed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _traversed(batches: Iterator[pa.RecordBatch], unit: int, frontier: int) -> Iterator[pa.RecordBatch]:
     """Links below the node pairs of a partition, whose rows come sorted by node pair and side."""
     held: list[pa.Table] = []
     rows = 0
     for batch in batches:
         held.append(pa.Table.from_batches([batch]))
         rows += batch.num_rows
-        if rows > UNIT:
+        if rows > unit:
             table = pa.concat_tables(held).combine_chunks()
-            unit = _changes(table)
-            cut = int(unit[-1])  # the last node pair may go on in the next batch
+            first = _changes(table)
+            cut = int(first[-1])  # the last node pair may go on in the next batch
             held, rows = [table.slice(cut)], table.num_rows - cut
             if cut:
-                yield from _links(table.slice(0, cut), unit[:-1])
+                yield from _links(table.slice(0, cut), first[:-1], frontier)
     if rows:
         table = pa.concat_tables(held).combine_chunks()
-        yield from _links(table, _changes(table))
+        yield from _links(table, _changes(table), frontier)
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
@@ -182,7 +190,7 @@ def _changes(table: pa.Table) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _links(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _links(table: pa.Table, first: np.ndarray, frontier: int) -> Iterator[pa.RecordBatch]:
     turn, side = _column(table, "turn"), _column(table, "side")
     unit = np.repeat(np.arange(len(first)), np.diff(np.r_[first, table.num_rows]))
     order = np.lexsort((_column(table, "v").view(np.uint64), side, unit))
@@ -191,11 +199,11 @@ def _links(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
     of_a = np.bincount(unit, side == 0, minlength=len(first)).astype(np.int64)
     alone = of_a == size  # a node with itself
     lo, mid, hi = first, first + of_a, first + size
-    depth = np.minimum(64, np.array(TOPS)[turn[first]] + LEVELS * _column(table, "round")[first])
+    depth = _column(table, "depth")[first]
     for level in np.unique(depth).tolist():
         at = depth == level
         start = (lo[at], mid[at], np.where(alone, lo, mid)[at], hi[at], _column(table, "spent")[first][at].astype(np.int8))
-        for a, b in traverse(v, level, start):
+        for a, b in traverse(v, level, start, frontier):
             t = turn[a]  # every row of a node pair has its trie
             yield _unturned(v[a], v[b], t)
 
@@ -213,7 +221,9 @@ def _unturned(a: np.ndarray, b: np.ndarray, turn: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64))], ["a", "b"])
 
 
-def traverse(v: np.ndarray, depth: int, pairs: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def traverse(
+    v: np.ndarray, depth: int, pairs: tuple[np.ndarray, ...], frontier: int = FRONTIER
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of v, sorted below each node, whose values differ in ERRORS bits or fewer.
 
     A node is the range of v below it; pairs are (from a, to a, from b, to b, errors spent) of
@@ -232,9 +242,9 @@ def traverse(v: np.ndarray, depth: int, pairs: tuple[np.ndarray, ...]) -> Iterat
     stack = [(depth, pairs)]
     while stack:
         level, (la, ha, lb, hb, spent) = stack.pop()
-        if len(la) > FRONTIER:
-            for i in range(0, len(la), FRONTIER):
-                stack.append((level, tuple(x[i : i + FRONTIER] for x in (la, ha, lb, hb, spent))))
+        if len(la) > frontier:
+            for i in range(0, len(la), frontier):
+                stack.append((level, tuple(x[i : i + frontier] for x in (la, ha, lb, hb, spent))))
             continue
         itself = la == lb
         # Two single fingerprints are compared at once: below them the trie has no branch.
