@@ -3,6 +3,7 @@
 import os
 import uuid
 from datetime import datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 import table_queries
 from table_queries import all_queries
 from vigil.functions import temporal as tm
-from vigil.session import METHOD_LIMIT, shared_dir, small_methods
+from vigil.plans import pipeline
+from vigil.session import METHOD_LIMIT, STORED, shared_dir, small_methods
 from vigil.sources import records
 
 SMALL = "/root/testdata/sf0.001"
@@ -97,6 +99,29 @@ def test_a_landing_table_is_rendered_once(spark, monkeypatch):
     assert len(limits) == 1 and spark.conf.get(METHOD_LIMIT, None) == before
 
 
+def row_groups(folder):
+    """Row groups of the fullest file below a folder."""
+    return max(pq.ParquetFile(f).num_row_groups for f in Path(folder).rglob("*.parquet"))
+
+
+def test_stored_tables_have_row_groups_that_splits_can_part(spark, monkeypatch, tmp_path):
+    """One row group is read by one task, however small the file splits are."""
+    if not os.path.isdir(SMALL):
+        pytest.skip("benchmark tables not present")
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) >= int(STORED["parquet.block.size"])
+    small = {"parquet.block.size": "65536"}
+    monkeypatch.setattr(table_queries, "STORED", small)
+    monkeypatch.setattr(pipeline, "STORED", small)
+    texts = {c: F.sha2(F.concat(F.lit(c), F.col("id")), 256) for c in ("Facility Name", "Province", "County", "Sub County", "Ward")}
+    seed = spark.range(0, 40000, 1, 1).select(F.col("id").alias("Code"), *(c.alias(name) for name, c in texts.items()))
+    monkeypatch.setattr(table_queries, "spark_feed", lambda *args: seed)
+    assert table_queries._landing(spark, SMALL, str(tmp_path / "landing"), "facility_seed").count() == 40000
+    assert row_groups(tmp_path / "landing") > 1
+    store = pipeline.Warehouse(spark, str(tmp_path / "store"), lambda name: seed)
+    assert store._filled("dim_facilitylist").count() == 40000
+    assert row_groups(tmp_path / "store") > 1
+
+
 def test_wide_columns_are_not_one_method(spark):
     """HotSpot does not compile methods over 8000 bytes."""
     before = spark.conf.get(METHOD_LIMIT)
