@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigil.llm import decontaminate, minhash, nbest, pii, toxicity
-from vigil.llm.stores import quoted, spare
+from vigil.llm.stores import Store, quoted, spare
 from vigil.session import shared_dir
 
 
@@ -40,7 +40,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = spare(docs, "key")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     found = decontaminate.contamination(keyed, items, id_col=key)
-    dirty = found.filter("contaminated").select(F.col("doc_id").alias(key))
+    # Stored, its size is known: a short list is broadcast, so that no text is shuffled or sorted for it.
+    dirty = Store(spark, "contaminated").keep(found.filter("contaminated").select(F.col("doc_id").alias(key)), "keys")
     return keyed.join(dirty, key, "left_anti").select(quoted(docs.columns))
 
 

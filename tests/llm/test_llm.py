@@ -472,3 +472,22 @@ def test_columns_named_like_the_operators_own_stay(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns[: len(docs.columns)] == docs.columns
         assert sorted((r.doc_id, *r[3:9]) for r in out.collect()) == [(i, *[f"{n}{i}" for n in names]) for i in left]
+
+
+def test_texts_are_not_shuffled_to_drop_contaminated_ones(spark, tmp_path):
+    """The list of what to drop is joined by its own size, not that of the index it comes from."""
+    phrase = " ".join(f"b{i}" for i in range(12))
+    spark.createDataFrame([("i1", phrase)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    words = [F.sha2(F.concat("id", F.lit(f"-{j}")), 256) for j in range(40)]
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", *words, F.when(F.col("id") == 7, phrase)).alias("text")
+    )
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "20000")
+    try:
+        clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+        assert "SortMergeJoin" not in clean._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in clean.collect()) == [i for i in range(400) if i != 7]
+    finally:
+        spark.conf.set(limit, before)

@@ -202,7 +202,8 @@ def _search(block: Block | None, slack: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()  # one segment at a time is copied
                 segment, n = Segment(row), row["n_docs"]
                 spans: list[list] = [[] for _ in range(n)]
                 items: list[list] = [[] for _ in range(n)]
