@@ -203,8 +203,10 @@ def stream_ingest(spark, sf):
 def _place(spark, df: DataFrame, folder: str, name: str, packed: bool = False) -> None:
     """One JSON file of this name; packed ones do not say so in their name."""
     apart = f"{folder}-{uuid.uuid4().hex}"
-    writer = df.coalesce(1).write
-    (writer.option("compression", "gzip") if packed else writer).json(apart)
+    # Many tasks make the lines and one puts them into the file.
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.parquet(f"{apart}-lines")
+    writer = spark.read.parquet(f"{apart}-lines").coalesce(1).write
+    (writer.option("compression", "gzip") if packed else writer).text(apart)
     (file,) = [f for f in list_files(spark, apart) if f.length]
     path = spark._jvm.org.apache.hadoop.fs.Path
     store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())

@@ -9,6 +9,7 @@ from vigil.sources import files as fs
 from vigil.sources.flatten import discover, flatten, record_hash
 from vigil.sources.landing import LandingTable
 from vigil.sources.naming import distinct_names
+from vigil.sources.numbering import numbered
 from vigil.sources.preview import preview_schema
 from vigil.sources.records import MalformedJson, open_records
 from vigil.sources.specs import SOURCES, SourceSpec, source_for
@@ -167,6 +168,24 @@ def test_every_file_form_gives_the_same_records(spark, tmp_path):
     assert all(ks == [0, 1, 2, 3, 4] for ks in by_file.values())
 
 
+@pytest.mark.parametrize("name", ["hidden.json", "named.json.gz"])
+def test_a_packed_file_is_parsed_by_many_tasks_in_order(spark, tmp_path, request, name):
+    lines = [json.dumps({"k": i, "s": "x" * 700}) for i in range(30_000)]
+    lines[50], lines[200] = "[]", json.dumps([{"k": 200}, {"k": -1}])
+    put(tmp_path / "in" / name, "\n".join(lines) + "\n", 1000, packed=True)
+    few = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}  # else small partitions are merged
+    before = {k: spark.conf.get(k) for k in few}
+    request.addfinalizer(lambda: [spark.conf.set(k, v) for k, v in before.items()])
+    for k, v in few.items():
+        spark.conf.set(k, v)
+    with open_records(spark, fs.list_files(spark, str(tmp_path / "in"))) as records:
+        got, total = numbered(spark, records, lambda n: 0)
+        got = got.select("id", F.variant_get("record", "$.k", "int").alias("k"), F.spark_partition_id().alias("p")).collect()
+    assert [x.k for x in sorted(got, key=lambda x: x.id)] == [*range(50), *range(51, 201), -1, *range(201, 30_000)]
+    assert sorted(x.id for x in got) == list(range(1, total + 1))
+    assert len({x.p for x in got}) > 1
+
+
 def test_a_bad_line_is_an_error_not_a_loss(spark, tmp_path):
     put(tmp_path / "in" / "bad.json", '{"a":1}\n{"a":\n{"a":3}\n', 1000)
     with pytest.raises(MalformedJson):

@@ -92,7 +92,8 @@ class LandingTable:
         """First record of each hash the table does not hold, and the run of their hashes to hand
         to `append`. Needs `_raw_hash` and `id`, which must be the same whenever they are read.
 
-        Only hashes and ids are compared; a record itself moves at most once, to meet its id.
+        Only hashes and ids are compared; a record itself moves at most once, to meet its id and
+        the hash that was made for the comparison.
         """
         self._catch_up()
         once = records.groupBy("_raw_hash").agg(F.min("id").alias("id"))
@@ -101,7 +102,7 @@ class LandingTable:
         arriving = self.spark.read.schema(once.schema).parquet(path)
         held = self.hashes.holding(arriving)
         run = self.hashes.add(arriving if held is None else arriving.join(held, "_raw_hash", "left_anti"))
-        return records.join(self.hashes.read(run).select("id"), "id", "left_semi"), run
+        return records.drop("_raw_hash").join(self.hashes.read(run), "id"), run
 
     def _catch_up(self) -> None:
         stored = None

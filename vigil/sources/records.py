@@ -25,6 +25,7 @@ from vigil.sources.flatten import exact_json
 _SCHEMA = "value string, file_path string, modified timestamp, block_start bigint"
 LINE_BYTES = 64 << 20  # a longer line is no record by itself
 UNPACK_BYTES = 4 << 20
+SPREAD_BYTES = 64 << 20  # a packed file up to this size is unpacked in blocks, which are parsed by many tasks
 _META = ["_metadata.file_path", "_metadata.file_modification_time as modified"]
 
 
@@ -41,18 +42,19 @@ def _same(path: str) -> str:
 
 
 def _unpacked(frames: Iterable[pd.DataFrame], sep: str) -> Iterator[pd.DataFrame]:
-    """Text, in pieces that end at `sep`, of files whose name hides how they are packed."""
+    """Text of files that are packed, or whose name says so, one row for each block of pieces that end
+    at `sep`; blocks are counted from 0."""
     for frame in frames:
         for row in frame.itertuples(index=False):
             raw = io.BytesIO(row.content)
             packed = row.content[:2] == b"\x1f\x8b"
-            for values in _pieces(gzip.open(raw) if packed else raw, sep.encode()):
+            for number, values in enumerate(_pieces(gzip.open(raw) if packed else raw, sep.encode())):
                 yield pd.DataFrame(
                     {
-                        "value": values,
+                        "value": [sep.join(values)],
                         "file_path": row.file_path,
                         "modified": row.modified,
-                        "block_start": 0,
+                        "block_start": number,
                     }
                 )
 
@@ -78,11 +80,12 @@ def _literal(path: str) -> str:
 def _texts(spark: SparkSession, files: list[SourceFile], sep: str) -> DataFrame:
     """Text of the files in pieces that end at `sep`. Lines over LINE_BYTES are left out of
     files that are not packed; the column `size` tells that some are."""
-    plain, hidden, named_packed = [], [], []
+    plain, whole, streamed = [], [], []
     packed = packed_files(spark, files)
     for f in files:
         named = f.path.endswith(".gz")
-        kind = hidden if named != (f.path in packed) else named_packed if named else plain
+        spread = named != (f.path in packed) or named and f.length <= SPREAD_BYTES
+        kind = whole if spread else streamed if named else plain
         kind.append(_literal(f.path))
     columns = ["value", *_META, "_metadata.file_block_start as block_start"]
     parts = []
@@ -91,16 +94,20 @@ def _texts(spark: SparkSession, files: list[SourceFile], sep: str) -> DataFrame:
         if sep == "\n":
             reader = reader.option("mapreduce.input.linerecordreader.line.maxlength", str(LINE_BYTES))
         parts.append(reader.text(plain).selectExpr(*columns, "_metadata.file_size as size"))
-    if named_packed:
-        parts.append(spark.read.option("lineSep", sep).text(named_packed).selectExpr(*columns, "0L as size"))
-    if hidden:
-        parts.append(
+    if streamed:
+        parts.append(spark.read.option("lineSep", sep).text(streamed).selectExpr(*columns, "0L as size"))
+    if whole:
+        # One task unpacks a file; its blocks are parsed by many. Sorted, they are in the same order
+        # whenever they are read.
+        blocks = (
             spark.read.format("binaryFile")
-            .load(hidden)
+            .load(whole)
             .selectExpr("content", *_META)
             .mapInPandas(lambda frames: _unpacked(frames, sep), _SCHEMA)
-            .selectExpr("*", "0L as size")
+            .repartition("file_path", "block_start").sortWithinPartitions("file_path", "block_start")
         )
+        pieces = F.explode(F.split("value", f"[{sep}]")).alias("value")
+        parts.append(blocks.select(pieces, "file_path", "modified", "block_start", F.lit(0).cast("bigint").alias("size")))
     return reduce(DataFrame.union, parts)
 
 

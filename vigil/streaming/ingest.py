@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from vigil.session import sized_shuffles
+from vigil.session import hashed_joins, sized_shuffles
 from vigil.sources.files import (
     SourceFile, copy_file, data_folder, exists, list_files, move_unchanged,
 )
@@ -111,7 +111,7 @@ def load_files(
     inserted, total, added = 0, 0, []
     while wanted:
         try:
-            with sized_shuffles(spark, sum(f.length for f in files)):
+            with sized_shuffles(spark, sum(f.length for f in files)), hashed_joins(spark):
                 inserted, total, added = _load(
                     table, source, wanted, batch, now, max_depth
                 )
