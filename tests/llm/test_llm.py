@@ -2,11 +2,13 @@
 empty tables and clashing columns."""
 
 import base64
+import gc
 import hashlib
 import os
 import re
 import subprocess
 import sys
+import weakref
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -276,6 +278,14 @@ def every_segmentation(model, part):
     return out
 
 
+def test_a_worker_keeps_the_tables_of_one_operator():
+    kept = weakref.ref(nbest.model(PIECES))
+    assert nbest.model(PIECES) is kept()
+    tables = minhash.permutations()
+    gc.collect()
+    assert kept() is None and minhash.permutations() is tables
+
+
 @pytest.mark.parametrize("text", ["hello world", "  a  b", "éeaueau leß", "中😀ａ\n\tx", "aaaaaaaa", ""])
 def test_n_best_segmentations(text):
     model = nbest.model(PIECES)

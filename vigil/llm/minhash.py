@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.bytetext import NOT_SPACE, Words, bounded_batches, chunks, ngram_hashes, text_bytes
+from vigil.llm.resident import resident
 from vigil.llm.stores import Store, least_label, quoted, spare
 
 SHINGLE = 5
@@ -31,21 +32,18 @@ UNIVERSE = 1 << 20
 BANDS, ROWS = 32, 4  # at the threshold a pair shares no band once in 200,000 times
 BLOCK_SHINGLES = 100_000  # about how many shingles of members are verified against as many others at once
 
-_tables: list[np.ndarray] = []
-
 
 def permutations() -> list[np.ndarray]:
     """The first permutation, and windows of K places over the second one, seen as a circle."""
-    if not _tables:
+
+    def make() -> list[np.ndarray]:
         rng = np.random.Generator(np.random.PCG64(7))
         k = BANDS * ROWS
         second = rng.permutation(UNIVERSE).astype(np.uint32)
         circle = np.concatenate([second, second[: k - 1]])
-        _tables[:] = [
-            rng.permutation(UNIVERSE).astype(np.int64),
-            np.lib.stride_tricks.sliding_window_view(circle, k),
-        ]
-    return _tables
+        return [rng.permutation(UNIVERSE).astype(np.int64), np.lib.stride_tricks.sliding_window_view(circle, k)]
+
+    return resident("minhash", "permutations", make)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vigil.llm.bytetext import bounded_batches, mix, powers
+from vigil.llm.resident import resident
 
 N_BEST = 4
 SPACE = "▁"
@@ -44,7 +45,6 @@ SLOTS_LOG = 20
 
 _PART = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _BASE = 0x9E3779B97F4A7C15 | 5
-_models: dict[str, Model] = {}
 
 
 def normalised(text: str) -> str:
@@ -434,9 +434,7 @@ def _bytes_of(parts: Collection[str]) -> int:
 
 
 def model(path: str) -> Model:
-    if path not in _models:
-        _models[path] = Model(path)
-    return _models[path]
+    return resident("nbest", path, lambda: Model(path))
 
 
 def encoder(spark: SparkSession, path: str, n: int = N_BEST, with_ids: bool = False):
