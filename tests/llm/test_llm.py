@@ -332,6 +332,24 @@ def test_long_parts_in_blocks_give_the_same(monkeypatch, text):
         assert np.allclose([s for s, _ in model.n_best(text[:9], n)], [s for s, _ in model.n_best_long(text[:9], n)])
 
 
+@pytest.mark.parametrize("slab", [1 << 16, 50])
+def test_parts_solved_side_by_side_are_as_one_by_one(monkeypatch, slab):
+    """Each character is looked up only as long as some piece goes on, not with every length of pieces."""
+    monkeypatch.setattr(nbest, "SLAB_CHARS", slab)
+    model = nbest.Model(PIECES)
+    rng, looked_up = np.random.default_rng(4), []
+    step = model.step
+    monkeypatch.setattr(model, "step", lambda nodes, codes: looked_up.append(len(nodes)) or step(nodes, codes))
+    words = ["".join(rng.choice(list("abcdef0123456789é中😀"), n)) for n in rng.integers(1, 30, 200)]
+    (parts,) = model.prepare([" ".join(words)])
+    assert sum(looked_up) < 5 * sum(map(len, parts))
+    for k, part in zip(parts.numbers.tolist(), parts):
+        (best, ids), *second = model.n_best(part, 2)
+        assert model.best[k] == pytest.approx(best, abs=1e-9) and model.whole[k]
+        assert model.behind[k] == (pytest.approx(best - second[0][0], abs=1e-9) if second else np.inf)
+        assert model.decode(model.close(k, part, 1)[0][1]) == part.replace(nbest.SPACE, " ").removeprefix(" ")
+
+
 LONG_PART_TEST = """
 import base64, resource, sys
 import numpy as np

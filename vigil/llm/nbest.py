@@ -11,8 +11,9 @@ Entries of the heap link to the one they go on from, and a place is left at most
 Parts of more than LONG_PART characters are cut at every place that no piece crosses, which
 changes nothing. What is still longer gets the N best of every prefix instead, which keeps
 N numbers a character.
-Forward Viterbi runs over many parts at once, place by place, and the same pass backward
-tells how far the second best of each part lies behind. Only the N-1 parts of a text whose
+Forward Viterbi runs over many parts of about one length at once, place by place, and the same
+pass backward tells how far the second best of each part lies behind. The pieces that begin at a
+place are found in a trie, a character of all places at a time. Only the N-1 parts of a text whose
 second best is closest can take part in its N best, so A* runs for those alone.
 """
 
@@ -23,28 +24,28 @@ import heapq
 import re
 from array import array
 from collections import deque
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
 from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vigil.llm.bytetext import bounded_batches, mix, powers
+from vigil.llm.bytetext import bounded_batches
 from vigil.llm.resident import resident
 
 N_BEST = 4
 SPACE = "▁"
 UNKNOWN_BELOW = 10.0  # a character without a piece scores this below the worst piece
-CACHE_BYTES = 128 << 20  # of solved parts that a worker keeps
+CACHE_BYTES = 64 << 20  # of solved parts that a worker keeps
 PART_BYTES = 300  # about what a part takes beside 8 bytes a character
-SLAB_CHARS = 1 << 17  # of parts that are solved at once
+SLAB_CHARS = 1 << 16  # of parts that are solved at once, each as long as the longest
 CHUNK_CHARS = 1 << 20
 LONG_PART = 1024
-SLOTS_LOG = 20
+CODE_BITS = 21  # of a character
 
 _PART = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_BASE = 0x9E3779B97F4A7C15 | 5
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def normalised(text: str) -> str:
@@ -56,6 +57,24 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+class Numbers(dict[str, int]):
+    """Numbers of parts, from 0 on; a part without one gets the next and is noted as fresh."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.fresh.append(part)
+        return number
+
+
+class Parts(list[str]):
+    """Parts of a text, and their numbers in the cache."""
+
+    numbers: np.ndarray
+
+
 class Model:
     """Pieces and scores of a SentencePiece model file, and one worker's solved parts."""
 
@@ -75,47 +94,71 @@ class Model:
         self.id_of = {self.text[i]: i for i in plain}
         self.longest = max(map(len, self.id_of))
         self.unknown = min(s for s in self.score.values() if s > -1e8) - UNKNOWN_BELOW
-        ids = np.array(plain)
-        self.hashes = np.array([self._hash(self.text[i]) for i in plain], np.uint64)
         self.chars = np.array([len(self.text[i]) for i in every])
-        self.ids, self.scores = ids, np.array([self.score[i] for i in plain])
         self._tables()
         self.forget()
 
-    @staticmethod
-    def _hash(piece: str) -> int:
-        codes = _codes(piece).astype(np.uint64) + np.uint64(1)
-        return int(mix((codes * powers(_BASE, len(codes))).sum(keepdims=True))[0])
-
     def _tables(self) -> None:
-        """Two tables from hash bits to pieces; what finds its slot taken goes to the second."""
-        self.slots = np.full((2, 1 << SLOTS_LOG), -1, np.int32)
-        for k, h in enumerate(self.hashes.tolist()):
-            for t, slot in enumerate((h >> (64 - SLOTS_LOG), h & ((1 << SLOTS_LOG) - 1))):
-                if self.slots[t, slot] < 0:
-                    self.slots[t, slot] = k
-                    break
-            else:
-                raise ValueError("two pieces share both slots; enlarge SLOTS_LOG")
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Number of the piece with each hash, or -1."""
-        out = self.slots[0][(hashes >> np.uint64(64 - SLOTS_LOG)).astype(np.int64)]
-        out = np.where((out >= 0) & (self.hashes[out] == hashes), out, -1)
-        again = np.flatnonzero(out < 0)
-        second = self.slots[1][(hashes[again] & np.uint64((1 << SLOTS_LOG) - 1)).astype(np.int64)]
-        out[again] = np.where((second >= 0) & (self.hashes[second] == hashes[again]), second, -1)
+        """The pieces as a trie, whose steps lie in a hash table at the first free slot."""
+        steps: dict[int, int] = {}
+        ids, scores = [-1], [-np.inf]
+        for piece, i in self.id_of.items():
+            node = 0
+            for code in map(ord, piece):
+                key = node << CODE_BITS | code
+                if key not in steps:
+                    steps[key] = len(ids)
+                    ids.append(-1)
+                    scores.append(-np.inf)
+                node = steps[key]
+            ids[node], scores[node] = i, self.score[i]
+        self.node_id, self.node_score = np.array(ids, np.int32), np.array(scores)
+        self.slots_log = (4 * len(steps)).bit_length()
+        self.key = np.full(1 << self.slots_log, -1)
+        self.child = np.full(1 << self.slots_log, -1, np.int32)
+        keys = np.fromiter(steps, np.int64, len(steps))
+        for slot, key, child in zip(self._slots(keys).tolist(), keys.tolist(), steps.values()):
+            while self.child[slot] >= 0:
+                slot = (slot + 1) % len(self.key)
+            self.key[slot], self.child[slot] = key, child
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _BASE) >> np.uint64(64 - self.slots_log)).view(np.int64)
+
+    def step(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The node that each node goes on to with each character, or -1."""
+        keys = nodes.astype(np.int64) << CODE_BITS | codes
+        slots = self._slots(keys)
+        out = self.child[slots]
+        other = np.flatnonzero((out >= 0) & (self.key[slots] != keys))
+        while len(other):
+            slots[other] = (slots[other] + 1) % len(self.key)
+            out[other] = self.child[slots[other]]
+            other = other[(out[other] >= 0) & (self.key[slots[other]] != keys[other])]
         return out
 
+    def found(self, codes: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, places, nodes) of the pieces of n characters that begin at places with as many left."""
+        at, nodes = np.arange(len(left)), np.zeros(len(left), np.int32)
+        for n in range(1, self.longest + 1):
+            room = left[at] >= n
+            at = at[room]
+            nodes = self.step(nodes[room], codes[at + n - 1])
+            on = nodes >= 0
+            at, nodes = at[on], nodes[on]
+            real = self.node_id[nodes] >= 0
+            yield n, at[real], nodes[real]
+
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Numbers()
         self.best = np.empty(1024)
         self.behind = np.empty(1024)
+        self.start = np.empty(1024, np.int64)
         self.n_ids = np.empty(1024, np.int64)
         self.whole = np.empty(1024, bool)
+        self.ids = np.empty(4096, np.int32)
+        self.n_held = 0  # of ids
         self.held = 0
-        self.last: tuple[list[str] | None, np.ndarray] = (None, np.empty(0, np.int64))
-        self.encoded: list[bytes] = []
         self.near: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
 
     # --- one part ---
@@ -186,113 +229,89 @@ class Model:
 
     def cut(self, part: str) -> list[str]:
         """A part in blocks between the places that no piece crosses."""
-        codes = _codes(part).astype(np.uint64) + np.uint64(1)
+        codes = _codes(part)
         total = len(codes)
         crossed = np.zeros(total + 1, bool)
         # A slab at a time; pieces that begin in it may end beyond it.
         for low in range(0, total, CHUNK_CHARS):
-            own = codes[low : low + CHUNK_CHARS + self.longest]
-            prefix = np.zeros(len(own) + 1, np.uint64)
-            np.cumsum(own * powers(_BASE, len(own)), out=prefix[1:])
-            back = powers(pow(_BASE, -1, 1 << 64), len(own) + 1)
-            for n in range(2, min(self.longest, len(own)) + 1):
-                i = np.arange(min(CHUNK_CHARS, len(own) - n + 1))
-                i = i[self.find(mix((prefix[i + n] - prefix[i]) * back[i])) >= 0] + low
+            first = np.arange(low, min(low + CHUNK_CHARS, total))
+            for n, i, _ in self.found(codes[low:], total - first):
                 for k in range(1, n):
-                    crossed[i + k] = True
+                    crossed[low + i + k] = True
         places = np.flatnonzero(~crossed).tolist()
         return [part[a:b] for a, b in zip(places, places[1:])]
 
     # --- many parts ---
 
-    def solve(self, parts: list[str]) -> None:
-        """Best segmentation of each part and how far its second best is behind, into the cache."""
-        parts = sorted(parts, key=len, reverse=True)
+    def solve(self, parts: list[str], numbers: np.ndarray) -> None:
+        """Best segmentation of each part and how far its second best is behind, into the cache.
+        Parts come in order of rising length."""
+        parts, numbers = parts[::-1], numbers[::-1]
         size = np.fromiter(map(len, parts), np.int64, len(parts))
-        codes = _codes("".join(parts)).astype(np.uint64) + np.uint64(1)
-        total = len(codes)
-        prefix = np.zeros(total + 1, np.uint64)
-        np.cumsum(codes * powers(_BASE, total), out=prefix[1:])
-        back = powers(pow(_BASE, -1, 1 << 64), total + 1)
-        at = np.r_[0, np.cumsum(size)]
-        left = np.repeat(at[1:], size) - np.arange(total)  # characters up to the part's end
-        longest = min(self.longest, int(size[0]))
-        piece = np.full((longest + 1, total), -1, np.int32)
-        score = np.full((longest + 1, total), -np.inf)
-        score[1] = self.unknown
-        i = np.arange(total)
-        for n in range(1, longest + 1):
-            i = i[left[i] >= n]
-            found = self.find(mix((prefix[i + n] - prefix[i]) * back[i]))
-            real = np.flatnonzero(found >= 0)
-            piece[n, i[real]] = found[real]
-            score[n, i[real]] = self.scores[found[real]]
-
-        # Place k of part p is number at[p] + p + k; parts are in order of falling length.
-        node = at[:-1] + np.arange(len(parts))
-        forward = np.full(total + len(parts), -np.inf)
-        forward[node] = 0.0
-        taken = np.zeros(total + len(parts), np.int64)
-        active = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), "right").tolist()
-        by_start = np.ascontiguousarray(score.T)  # row: where a piece begins, column: its length
-        lengths = np.arange(1, longest + 1)
-        for j, m in enumerate(active, 1):
-            n = lengths[:j]
-            value = forward[(node[:m] + j)[:, None] - n] + by_start[(at[:m] + j)[:, None] - n, n]
-            arg = value.argmax(axis=1)
-            forward[node[:m] + j] = value[np.arange(m), arg]
-            taken[node[:m] + j] = arg + 1
-        backward = np.full(total + len(parts), -np.inf)
-        backward[node + size] = 0.0
-        for k, m in enumerate(active, 1):
-            # k characters before the end.
-            n = min(k, longest)
-            start = at[:m] + size[:m] - k
-            value = by_start[start, 1 : n + 1] + backward[(node[:m] + size[:m] - k)[:, None] + lengths[:n]]
-            backward[node[:m] + size[:m] - k] = value.max(axis=1)
-
-        # Walk the best paths back and mark their pieces.
-        used = np.zeros((longest + 1, total), bool)
-        place, live = size.copy(), np.arange(len(parts))
+        total, count, most = int(size.sum()), len(parts), int(size[0])
+        longest = min(self.longest, most)
+        owner = np.repeat(np.arange(count), size)
+        place = np.arange(total) - np.repeat(np.cumsum(size) - size, size)
+        # Of the piece of n characters that ends at place j of part p.
+        score = np.full((most + 1, longest + 1, count), -np.inf)
+        piece = np.full(score.shape, -1, np.int32)
+        row = (longest + 1) * count
+        cell = place * row + owner
+        score.ravel()[cell + row + count] = self.unknown
+        for n, i, nodes in self.found(_codes("".join(parts)), size[owner] - place):
+            if n <= longest:
+                to = cell[i] + n * (row + count)
+                score.ravel()[to], piece.ravel()[to] = self.node_score[nodes], self.node_id[nodes]
+
+        forward = np.full((most + 1, count), -np.inf)
+        forward[0] = 0.0
+        taken = np.zeros((most + 1, count), np.int32)
+        # Parts are in order of falling length: those of j characters or more come first.
+        active = np.searchsorted(-size, -np.arange(most + 1), "right").tolist()
+        for j in range(1, most + 1):
+            m, n = active[j], min(j, longest)
+            value = score[j, 1 : n + 1, :m] + forward[j - n : j, :m][::-1]
+            value.max(axis=0, out=forward[j, :m])
+            taken[j, :m] = value.argmax(axis=0) + 1
+        backward = np.full((most + 1, count), -np.inf)
+        backward[size, np.arange(count)] = 0.0
+        for j in range(most - 1, -1, -1):
+            m, lengths = active[j + 1], np.arange(1, min(most - j, longest) + 1)
+            value = score[j + lengths, lengths, :m] + backward[j + lengths, :m]
+            value.max(axis=0, out=backward[j, :m])
+
+        # Walk the best paths back and take their pieces out.
+        place, live = size.copy(), np.arange(count)
+        walked = []
         while len(live):
-            n = taken[node[live] + place[live]]
-            place[live] -= n
-            used[n, at[live] + place[live]] = True
+            j = place[live]
+            n = taken[j, live]
+            edge = j * row + n * count + live
+            walked.append((live, piece.ravel()[edge]))
+            score.ravel()[edge] = -np.inf
+            place[live] = j - n
             live = live[place[live] > 0]
         # The second best path has a piece that the best one has not.
-        owner = np.repeat(np.arange(len(parts)), size)
-        first = np.arange(total) + owner
-        second = np.full(len(parts), -np.inf)
+        second = np.full(count, -np.inf)
         for n in range(1, longest + 1):
-            i = np.flatnonzero((score[n] > -np.inf) & ~used[n])
-            if len(i):
-                value = forward[first[i]] + score[n][i] + backward[first[i] + n]
-                np.maximum.at(second, owner[i], value)
-        length, start = np.nonzero(used)
-        order = np.argsort(start)
-        start, length = start[order], length[order]
-        number = piece[length, start]
-        ids = np.where(number >= 0, self.ids[number], -1).astype(np.int32)
-        known = np.searchsorted(start, at)
-        best = forward[node + size]
-        self._remember(parts, best, best - second, ids, known)
-
-    def _remember(self, parts, best, behind, ids, known) -> None:
-        n = len(self.index)
-        while len(self.best) < n + len(parts):
-            self.best, self.behind, self.n_ids, self.whole = (
-                np.resize(x, 2 * len(x)) for x in (self.best, self.behind, self.n_ids, self.whole)
+            value = forward[: most + 1 - n] + score[n:, n] + backward[n:]
+            np.maximum(second, value.max(axis=0), out=second)
+        owner, number = (np.concatenate(x) for x in zip(*walked[::-1]))
+        ids = number[np.argsort(owner, kind="stable")]
+        known = np.r_[0, np.cumsum(np.bincount(owner, minlength=count))]
+        best = forward[size, np.arange(count)]
+        self._remember(parts, numbers, best, best - second, ids, known)
+
+    def _remember(self, parts, k, best, behind, ids, known) -> None:
+        while len(self.best) <= k.max():
+            self.best, self.behind, self.start, self.n_ids, self.whole = (
+                np.resize(x, 2 * len(x)) for x in (self.best, self.behind, self.start, self.n_ids, self.whole)
             )
-        self.best[n : n + len(parts)] = best
-        self.behind[n : n + len(parts)] = behind
-        self.index.update(zip(parts, range(n, n + len(parts))))
-        raw, ends = ids.tobytes(), (4 * known).tolist()
-        self.encoded.extend(raw[a:b] for a, b in zip(ends, ends[1:]))
-        lacking = np.searchsorted(known, np.flatnonzero(ids < 0), "right") - 1
-        for k in np.unique(lacking).tolist():
-            own = self._with_bytes(parts[k], ids[known[k] : known[k + 1]])
-            self.encoded[n + k] = np.array(own, np.int32).tobytes()
-        self.n_ids[n : n + len(parts)] = np.diff(known)
+        self.best[k] = best
+        self.behind[k] = behind
+        self.start[k] = self._hold(ids) + known[:-1]
+        self.n_ids[k] = np.diff(known)
+        lacking = np.unique(np.searchsorted(known, np.flatnonzero(ids < 0), "right") - 1).tolist()
         # What ids spell is seen once, when parts are solved: that of all parts side by side,
         # and how much of it each part has; that of parts with bytes one by one.
         plain = np.ones(len(parts), bool)
@@ -300,12 +319,27 @@ class Model:
         own = ids[np.repeat(plain, np.diff(known))]
         same = "".join(map(self.text.__getitem__, own.tolist())) == "".join([p for p, x in zip(parts, plain.tolist()) if x])
         chars = np.r_[0, np.cumsum(self.chars[ids])]
-        self.whole[n : n + len(parts)] = same & (np.diff(chars[known]) == np.fromiter(map(len, parts), np.int64, len(parts)))
-        for k in np.unique(lacking).tolist():
-            own = array("i", self.encoded[n + k])
-            self.n_ids[n + k], self.whole[n + k] = len(own), self._spelled(own) == parts[k]
+        self.whole[k] = same & (np.diff(chars[known]) == np.fromiter(map(len, parts), np.int64, len(parts)))
+        for p in lacking:
+            own = self._with_bytes(parts[p], ids[known[p] : known[p + 1]])
+            self.start[k[p]], self.n_ids[k[p]] = self._hold(np.array(own, np.int32)), len(own)
+            self.whole[k[p]] = self._spelled(own) == parts[p]
         self.held += _bytes_of(parts)
 
+    def _hold(self, ids: np.ndarray) -> int:
+        """Where the ids are in the cache."""
+        first, self.n_held = self.n_held, self.n_held + len(ids)
+        while len(self.ids) < self.n_held:
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.ids[first : self.n_held] = ids
+        return first
+
+    def _encoded(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of parts, one after another."""
+        n = self.n_ids[numbers]
+        ends = np.cumsum(n)
+        return self.ids[np.repeat(self.start[numbers] - ends + n, n) + np.arange(int(n.sum()))]
+
     def _with_bytes(self, part: str, ids: np.ndarray) -> list[int]:
         out, at = [], 0
         for i in ids.tolist():
@@ -321,7 +355,7 @@ class Model:
         """How far the n best segmentations of a part are behind, with their ids; the first is
         the one already chosen."""
         if k not in self.near:
-            chosen = tuple(np.frombuffer(self.encoded[k], np.int32).tolist())
+            chosen = tuple(self.ids[self.start[k] : self.start[k] + self.n_ids[k]].tolist())
             found = (self.n_best if len(part) <= LONG_PART else self.n_best_long)(part, n + 1)
             others = [(self.best[k] - s, ids) for s, ids in found if ids != chosen]
             self.near[k] = [(0.0, chosen), *others][:n]
@@ -329,88 +363,86 @@ class Model:
 
     # --- texts ---
 
-    def numbers(self, parts: list[str]) -> np.ndarray:
-        """Places of solved parts in the cache; those of the last text are at hand."""
-        if self.last[0] is not parts:
-            self.last = parts, np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        return self.last[1]
-
-    def prepare(self, texts: list[str]) -> list[list[str]]:
+    def prepare(self, texts: list[str]) -> list[Parts]:
         """Parts of each text, all solved."""
-        split = [_PART.findall(normalised(t)) for t in texts]
-        wanted = set().union(*split)
-        if any(len(p) > LONG_PART for p in wanted):
-            split = [[b for p in own for b in (self.cut(p) if len(p) > LONG_PART else [p])] for own in split]
-            wanted = set().union(*split)
-        new = wanted.difference(self.index)
-        if self.index and self.held + _bytes_of(new) > CACHE_BYTES:
+        split = []
+        for text in texts:
+            own = Parts(_PART.findall(normalised(text)))
+            if len(text) >= LONG_PART and max(map(len, own)) > LONG_PART:
+                own = Parts(b for p in own for b in (self.cut(p) if len(p) > LONG_PART else [p]))
+            self._number(own)
+            split.append(own)
+        if self.held and self.held + _bytes_of(self.index.fresh) > CACHE_BYTES:
             self.forget()
-            new = wanted
-        slab: list[str] = []
-        size = 0
-        for part in sorted((p for p in new if len(p) <= LONG_PART), key=len):
-            if slab and size + len(part) > SLAB_CHARS:
-                self.solve(slab)
-                slab, size = [], 0
-            slab.append(part)
-            size += len(part)
+            for own in split:
+                self._number(own)
+        new, self.index.fresh = self.index.fresh, []
+        first = len(self.index) - len(new)
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        order = np.argsort(size, kind="stable")
+        slab: list[int] = []
+        for k in order[: np.count_nonzero(size <= LONG_PART)].tolist():
+            if slab and (len(slab) + 1) * len(new[k]) > SLAB_CHARS:
+                self.solve([new[i] for i in slab], first + np.array(slab))
+                slab = []
+            slab.append(k)
         if slab:
-            self.solve(slab)
-        for part in new:
-            if len(part) > LONG_PART:
-                found = self.n_best_long(part, 2)
-                behind = found[0][0] - found[1][0] if len(found) > 1 else np.inf
-                ids = np.array(found[0][1], np.int32)
-                self._remember([part], np.array([found[0][0]]), np.array([behind]), ids, np.array([0, len(ids)]))
+            self.solve([new[i] for i in slab], first + np.array(slab))
+        for k in order[np.count_nonzero(size <= LONG_PART) :].tolist():
+            found = self.n_best_long(new[k], 2)
+            behind = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            ids = np.array(found[0][1], np.int32)
+            self._remember([new[k]], np.array([first + k]), np.array([found[0][0]]), np.array([behind]), ids, np.array([0, len(ids)]))
         return split
 
-    def encode(self, parts: list[str], n: int) -> tuple[bytes, list[float], list[dict[int, tuple[int, ...]]]]:
+    def _number(self, parts: Parts) -> None:
+        parts.numbers = np.fromiter(map(self.index.__getitem__, parts), np.int32, len(parts))
+
+    def encode(self, parts: Parts, n: int) -> tuple[bytes, list[float], list[dict[int, tuple[int, ...]]]]:
         """Ids of the best segmentation, scores of the n best, and what each of them changes."""
         if not parts:
             return b"", [0.0], [{}]
-        k = self.numbers(parts)
+        k = parts.numbers
         total = float(self.best[k].sum())
         behind = self.behind[k]
         few = min(n - 1, len(parts))
-        closest = np.sort(np.argsort(behind, kind="stable")[:few]) if few else []
         ways: list[tuple[float, dict]] = [(0.0, {})]
-        for p in closest:
+        # The closest, and of those as close the first.
+        near = np.flatnonzero(behind <= np.partition(behind, few - 1)[few - 1]) if few else np.empty(0, np.int64)
+        closest = np.sort(near[np.argsort(behind[near], kind="stable")[:few]])
+        for p in closest.tolist():
             if behind[p] == np.inf:
                 continue
             options = self.close(int(k[p]), parts[p], n)
-            ways = sorted(
-                ((loss + more, change | ({int(p): ids} if rank else {}))
-                 for loss, change in ways for rank, (more, ids) in enumerate(options)),
-                key=lambda way: way[0],
-            )[:n]
-        encoded = self.encoded
-        return b"".join([encoded[i] for i in k.tolist()]), [float(total - loss) for loss, _ in ways], [c for _, c in ways]
-
-    def patches(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]]) -> list[tuple[int, int, int, tuple[int, ...]]]:
+            sums = sorted((loss + more, way, rank) for way, (loss, _) in enumerate(ways) for rank, (more, _) in enumerate(options))
+            ways = [(loss, ways[way][1] | ({p: options[rank][1]} if rank else {})) for loss, way, rank in sums[:n]]
+        return self._encoded(k).tobytes(), [float(total - loss) for loss, _ in ways], [c for _, c in ways]
+
+    def patches(self, parts: Parts, changes: list[dict[int, tuple[int, ...]]]) -> list[tuple[int, int, int, tuple[int, ...]]]:
         """(rank, place, count, ids): at this place of the best ids, so many are replaced by others
         in the segmentation of this rank; the last place of a rank comes first."""
         out = []
         if any(changes):
-            at = self.n_ids[self.numbers(parts)]
+            at = self.n_ids[parts.numbers]
             end = np.cumsum(at)
             for rank, change in enumerate(changes):
                 out += [(rank, int(end[p] - at[p]), int(at[p]), change[p]) for p in sorted(change, reverse=True)]
         return out
 
-    def segmentations(self, parts: list[str], changes: list[dict[int, tuple[int, ...]]], raw: bytes | None = None) -> list[bytes]:
+    def segmentations(self, parts: Parts, changes: list[dict[int, tuple[int, ...]]], raw: bytes | None = None) -> list[bytes]:
         """Ids of each of the n best, from what `encode` says that each changes."""
         if raw is None:
-            raw = b"".join([self.encoded[self.index[p]] for p in parts])
+            raw = self._encoded(parts.numbers).tobytes() if parts else b""
         out = [raw] * len(changes)
         for rank, place, count, ids in self.patches(parts, changes):
             own = out[rank]
             out[rank] = own[: 4 * place] + np.array(ids, np.int32).tobytes() + own[4 * (place + count) :]
         return out
 
-    def round_trip(self, text: str, parts: list[str]) -> bool:
+    def round_trip(self, text: str, parts: Parts) -> bool:
         """Whether decoding the best ids gives the text back. Parts hold whole characters, so
         the text's ids spell what its parts' ids spell."""
-        return SPACE not in text and bool(self.whole[self.numbers(parts)].all())
+        return SPACE not in text and bool(self.whole[parts.numbers].all())
 
     def _spelled(self, ids) -> str:
         """Pieces side by side. Bytes that are no valid UTF-8 become U+FFFD."""
