@@ -286,6 +286,27 @@ def test_a_worker_keeps_the_tables_of_one_operator():
     assert kept() is None and minhash.permutations() is tables
 
 
+RELEASE_TEST = """
+import re
+from pathlib import Path
+from vigil.llm.resident import resident
+def held():
+    return int(re.search(r"Rss:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) >> 10
+before = held()
+kept = resident("one", "tables", lambda: [bytes(1000) for _ in range(200_000)])
+assert held() > before + 150
+top = bytes(1000)  # above the freed blocks, so that they are no end of the heap
+del kept
+resident("two", "tables", list)
+assert held() < before + 50, (before, held())
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="reads Linux's figures")
+def test_a_worker_gives_back_what_another_operator_held():
+    subprocess.run([sys.executable, "-c", RELEASE_TEST], env=dict(os.environ, PYTHONPATH=os.pathsep.join(sys.path)), check=True, timeout=60)
+
+
 @pytest.mark.parametrize("text", ["hello world", "  a  b", "éeaueau leß", "中😀ａ\n\tx", "aaaaaaaa", ""])
 def test_n_best_segmentations(text):
     model = nbest.model(PIECES)

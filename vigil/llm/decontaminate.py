@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vigil.llm.bytetext import ALNUM, Words, bounded_batches, chunks, text_bytes
+from vigil.llm.resident import serve
 from vigil.llm.stores import Store
 
 WINDOW = 10
@@ -36,6 +37,7 @@ INDEX_SCHEMA = """segment bigint, n_docs int, doc_ids array<bigint>, doc_words a
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    serve("decontaminate")
     for batch in batches:
         texts = text_bytes(batch.column("text"))
         for a, b in chunks(texts, SEGMENT_BYTES):
@@ -201,6 +203,7 @@ def _search(block: Block | None, slack: int):
     """Per document: the words hit, as disjoint ascending spans, and the items found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serve("decontaminate")
         for batch in batches:
             for at in range(batch.num_rows):
                 (row,) = batch.slice(at, 1).to_pylist()  # one segment at a time is copied
