@@ -12,7 +12,7 @@ from vigil.functions import keys, measures, numeric as num, rules, temporal as t
 from vigil.operators import calendar as cal, conform, dedup, lookup, rollup
 from vigil.plans import dimensions as dim, facts, gold, silver
 from vigil.plans.pipeline import MODELS, Settings, Warehouse
-from vigil.session import METHOD_LIMIT, STORED, configure, shared_dir, size_shuffles, small_methods, stored_bytes
+from vigil.session import METHOD_LIMIT, STORED, configure, freed_shuffles, shared_dir, size_shuffles, small_methods, stored_bytes
 from vigil.sources.files import exists, list_files
 from vigil.sources.flatten import exact_json, flatten, leaf_rows, leaf_types, record_hash
 from vigil.sources.landing import LandingTable
@@ -68,7 +68,7 @@ def _landing(spark: SparkSession, sf: str, root: str, name: str) -> DataFrame:
         tasks, size = spark.sparkContext.defaultParallelism, feed_bytes(spark, sf, name)
         size_shuffles(spark, size)
         narrow = size < tasks * SPLIT_BYTES
-        with small_methods(spark):
+        with small_methods(spark), freed_shuffles(spark):
             (feed.repartition(tasks) if narrow else feed).write.options(**STORED).mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     size_shuffles(spark, stored_bytes(stored))

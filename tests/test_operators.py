@@ -40,6 +40,34 @@ def test_dedup_prunes_before_the_shuffle(spark):
     assert "Partial" in plan[plan.index("Exchange"):]
 
 
+def test_wide_rows_of_stored_tables_are_not_shuffled_to_be_ranked(spark, tmp_path, monkeypatch):
+    """Ranking them by what ranks them and their places keeps the same rows."""
+    wide = {f"c{i}": F.concat(F.lit(f"value {i} of "), "id") for i in range(12)}
+    df = spark.range(0, 30000, 1, 3).select(
+        "id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") * 37 % 9000)).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.col("id") * 7919 % 1000)).alias("at"), *(c.alias(n) for n, c in wide.items()),
+    )
+    df.write.option("parquet.block.size", "65536").parquet(str(tmp_path / "t"))
+    df.limit(0).write.mode("append").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t")).filter("id % 11 > 0").withColumn("c3", F.upper("c3"))
+    key = F.coalesce("k", F.lit("none"))
+    whole = dedup.latest_per_key(stored, key, "at", "id")
+    assert "hashpartitioning(__key" in plan_of(whole) and "row_index" not in plan_of(whole)
+    monkeypatch.setattr(dedup, "APART_BYTES", 0)
+    apart = dedup.latest_per_key(stored, key, "at", "id")
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "row_index" in plan and "Partial" in plan  # one row of a key per task, as before
+    moved = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line]
+    wide_sorts = [line for line in plan.splitlines() if " Sort [" in line and "c3" in line]
+    assert moved and not wide_sorts and "WindowGroupLimit" in plan
+    assert apart.columns == whole.columns and 3000 < whole.count() == apart.count()
+    assert rows(apart, "id") == rows(whole, "id")
+    # What is no stored table, or may hold a file's row twice, is ranked whole.
+    for other in (df, stored.union(stored), stored.join(spark.range(2).toDF("n")), stored.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("n"))):
+        assert dedup._placed(other) is None
+    assert rows(dedup.latest_per_key(stored.filter("id < 0"), key, "at", "id"), "id") == []
+
+
 def test_representative_row(spark):
     df = spark.createDataFrame(
         [("AB", None, "x"), ("ab", None, "a"), ("Ab", "", None), ("ab", "q", None), ("AB", "Q", None), ("AB", "Q", None)],

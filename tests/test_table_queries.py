@@ -14,7 +14,7 @@ import table_queries
 from table_queries import all_queries
 from vigil.functions import temporal as tm
 from vigil.plans import pipeline
-from vigil.session import METHOD_LIMIT, STORED, shared_dir, small_methods
+from vigil.session import FREED, METHOD_LIMIT, STORED, shared_dir, small_methods
 from vigil.sources import records
 
 SMALL = "/root/testdata/sf0.001"
@@ -122,6 +122,24 @@ def test_stored_tables_have_row_groups_that_splits_can_part(spark, monkeypatch,
     assert row_groups(tmp_path / "store") > 1
 
 
+def test_a_store_keeps_no_shuffle_files(spark, tmp_path):
+    """Else a chain of models holds the shuffles of all of them on disk."""
+    cleaned, kind = [], {"Facility Name": "n", "Province": "p", "County": "c", "Sub County": "s", "Ward": "w"}
+    seed = spark.range(20).select(F.col("id").alias("Code"), *(F.lit(v).alias(k) for k, v in kind.items()))
+
+    def landing(name):
+        cleaned.append(spark.conf.get(FREED))
+        return seed
+
+    store = pipeline.Warehouse(spark, str(tmp_path), landing)
+    before = spark.conf.get(FREED)
+    store._filled("dim_facilitylist")
+    store.build(["dim_facilitylist"])
+    assert cleaned and cleaned[0] == cleaned[-1] == "true" and spark.conf.get(FREED) == before == "false"
+    (file, *_) = Path(store.path("dim_facilitylist")).glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
 def test_wide_columns_are_not_one_method(spark):
     """HotSpot does not compile methods over 8000 bytes."""
     before = spark.conf.get(METHOD_LIMIT)
