@@ -281,3 +281,29 @@ def test_a_dimension_with_a_repeated_key_fails_the_build_by_name(house, spark, t
     assert store.path("fct_lab_result") == kept and store.table("fct_lab_result").count() == 4
     plan = store.plan("fct_lab_result")._jdf.queryExecution().executedPlan().toString()
     assert "CollectMetrics" not in plan
+
+
+def test_laboratory_summary_shuffles_only_what_tells_groups_apart(spark):
+    """Of weeks and months their first days move; the other columns are made after the sums."""
+    days = ["2020-12-26", "2020-12-27", "2020-12-31", "2021-01-01", "2021-01-02", "2021-01-03", "2024-02-29", "2024-03-01", None]
+    text = ("source_system", "specimen_type", "test_code", "test_name", "test_code_text", "component_code", "result_unit", "result_category")
+    counts = ("total_test_count", "positive_test_count", "negative_test_count", "inconclusive_test_count", "unknown_result_count", "other_result_count")
+    n = len(days)
+    labs = spark.createDataFrame([(d, i % 3) for i, d in enumerate(days * 3)], "d string, k int").select(
+        F.when(F.col("k") == 0, F.to_date("d")).alias("reporting_result_date"), F.to_date("d").alias("reporting_collection_date"),
+        F.when(F.col("k") < 2, F.col("k").cast("string")).alias("requesting_facility_key"), F.lit("m").alias("reporting_requesting_facility_mfl"),
+        *(F.lit("x").alias(c) for c in text), *(F.lit(1).alias(c) for c in counts),
+    )
+    places = spark.createDataFrame([("0", "C", "S", "F"), ("1", "C", "S", "F")], "facility_key string, county string, subcounty string, facility_name string")
+    found = summaries.laboratory_summary(labs, places)
+    day = F.coalesce("reporting_result_date", "reporting_collection_date")
+    dated = summaries._with_epi_week(labs.withColumn("day", day), "day")
+    placed = dated.join(places, F.col("requesting_facility_key") == F.col("facility_key"), "left")
+    by = [*summaries.WEEK, F.year("day"), F.month("day"), F.date_format("day", "MMMM"), "county", "subcounty", "facility_name"]
+    plain = [tuple(r) for r in placed.groupBy(*by).agg(F.count("*")).collect()]
+    columns = [*summaries.WEEK, "result_year", "result_month_number", "result_month_name", "county", "subcounty", "facility_name", "total_tests"]
+    assert sorted(map(str, plain)) == sorted(str(tuple(r)) for r in found.select(columns).collect())
+    assert found.columns[:13] == [*columns[:9], "county", "subcounty", "mfl_code", "facility_name"] and sum(r[-1] for r in plain) == 3 * n
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("county" in line for line in moved) and not any("epi_week" in line or "end_of_week" in line for line in moved)
