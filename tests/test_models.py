@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators import dedup
 from vigil.operators.lookup import RepeatedKey
 from vigil.plans import summaries
 from vigil.plans import silver
@@ -307,3 +308,28 @@ def test_laboratory_summary_shuffles_only_what_tells_groups_apart(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert any("county" in line for line in moved) and not any("epi_week" in line or "end_of_week" in line for line in moved)
+
+
+@pytest.mark.parametrize(
+    "build, columns, keys",
+    [(silver.lab_results, silver.LAB_COLUMNS, ("identifier", "specimen_identifier", "order_identifier", "id_field")),
+     (silver.cases, silver.CASE_COLUMNS, ("id_field",)), (silver.travellers, silver.TRAVELLER_COLUMNS, ("id_field", "identifier"))],
+)
+def test_latest_records_of_stored_landing_tables_are_found_without_moving_them(spark, tmp_path, monkeypatch, build, columns, keys):
+    """Wide landing rows go to their entity in one scan, and are the rows that ranking them whole gives."""
+    n = F.col("id")
+    given = {c: F.when(n % (i + 2) > 0, F.concat(F.lit(f" {c} "), (n * 31 % 700).cast("string"))) for i, c in enumerate(keys)}
+    texts = {c: F.concat(F.lit(f"{c} "), (n % 97).cast("string")) for c in columns if c not in ("id", "_ingested_at", "_processed")}
+    raw = spark.range(0, 6000, 1, 3).withColumns(
+        {**texts, **given, "_ingested_at": F.when(n % 9 > 0, F.timestamp_seconds(n * 7919 % 500)), "_processed": n % 2 == 0})
+    raw.write.option("parquet.block.size", "65536").parquet(str(tmp_path / "landed"))
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    whole = build(landed)
+    monkeypatch.setattr(dedup, "APART_BYTES", 0)
+    apart = build(landed)
+    found = sorted(str(tuple(r)) for r in apart.collect())
+    assert apart.schema == whole.schema and 700 <= len(found) < 6000
+    assert found == sorted(str(tuple(r)) for r in whole.collect())
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    ranked = plan[plan.index("WindowGroupLimit"):]
+    assert "Exchange hashpartitioning(__key" in ranked and "_source_file" not in ranked[:ranked.index("FileScan")]
